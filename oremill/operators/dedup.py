@@ -36,25 +36,24 @@ def rank_within(
 
     Time is cut into slices.  Rows are ranked inside (key, slice), and the number of rows in newer slices of the key
     is added; that number comes from a count per (key, slice), summed by a window over counts only.  Choose
-    ``slice_by`` so that one slice of the busiest key fits a task; the ranks are exact for any choice.
+    ``slice_by`` so that one slice of the busiest key fits a task; the ranks are exact for any choice.  Key and slice
+    travel as one struct, which is never NULL itself, so rows with NULLs in them join, and the join keeps the
+    partitioning of the window.
     """
-    sliced = df.withColumn("_slice", F.date_trunc(slice_by, F.col(newest_first)))
-    newer = Window.partitionBy(*keys).orderBy(F.col("_slice").desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    place = F.struct(*keys, F.date_trunc(slice_by, F.col(newest_first)).alias("_slice"))
+    sliced = df.withColumn("_place", place)
+    newer = Window.partitionBy(*[f"_place.{k}" for k in keys]).orderBy(F.col("_place._slice").desc_nulls_last())
     offsets = (
-        sliced.groupBy(*keys, "_slice")
+        sliced.groupBy("_place")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_newer", F.coalesce(F.sum("_rows").over(newer), F.lit(0)))
+        .withColumn("_newer", F.sum("_rows").over(newer.rowsBetween(Window.unboundedPreceding, -1)))
+        .select("_place", F.coalesce("_newer", F.lit(0)).alias("_newer"))
     )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(
+    inside = Window.partitionBy("_place").orderBy(
         F.col(newest_first).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in ties]
     )
-    both = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*keys, "_slice"]]
-    ranked = sliced.withColumn("_inside", F.row_number().over(inside)).alias("r")
-    return ranked.join(offsets.alias("o"), both).select(
-        *[F.col(f"r.{c}").alias(c) for c in df.columns],
-        (F.col("_inside") + F.col("_newer")).cast("long").alias(rank),
+    return (
+        sliced.withColumn("_inside", F.row_number().over(inside))
+        .join(offsets, "_place")
+        .select(*df.columns, (F.col("_inside") + F.col("_newer")).cast("long").alias(rank))
     )
-
-

@@ -13,7 +13,7 @@ def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def align_to_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """The columns of ``schema``, in its order and types; others are dropped, a missing one is an error."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[F.col(f.name).cast(f.dataType.simpleString()).alias(f.name) for f in schema.fields])
 
 
 def stamp(df: DataFrame, column: str, at: Column | None = None) -> DataFrame:

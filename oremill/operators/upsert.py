@@ -93,7 +93,13 @@ def upsert_since_watermark(
     return upsert(target, latest_per_key(fresh.select(*target.columns), keys, newest), keys)
 
 
-def commit_upsert(table: VersionedTable, source: DataFrame, keys: list[str], update: list[str] | None = None) -> int:
+def commit_upsert(
+    table: VersionedTable,
+    source: DataFrame,
+    keys: list[str],
+    update: list[str] | None = None,
+    mark: str | None = None,
+) -> int:
     """Upsert into a versioned table; the first commit stores the source as it is.  Returns the new version.
 
     The source is stored first, since it is read by the check and by the upsert.
@@ -102,6 +108,6 @@ def commit_upsert(table: VersionedTable, source: DataFrame, keys: list[str], upd
     broken = key_violations(source, keys).limit(3).collect()
     if broken:
         raise ValueError(f"upsert source has repeated or NULL keys, e.g. {[r.asDict() for r in broken]}")
-    if table.current() is None:
-        return table.commit(source)
-    return table.commit(upsert(table.read(), source, keys, update))
+    version = table.current()
+    state = source if version is None else upsert(table.read(version), source, keys, update)
+    return table.commit(state, mark)

@@ -1,7 +1,9 @@
 """The refresh from raw files to marts.
 
-Each layer is a stored table: bronze grows by the files that are new, silver is rewritten from bronze (or brought
-forward by new bronze rows only), and marts are upserted.  Running it again without new files changes no mart.
+Each layer is stored.  Bronze grows by the rows of new files.  Silver takes over only what bronze has gained, gold
+upserts what its silver tables now say.  Every commit notes a mark of how far its sources had got, and a table whose
+mark still holds is left alone; so a refresh without news reads no data, and one that died half-way is completed by
+running it again.
 """
 
 from __future__ import annotations
@@ -9,16 +11,33 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from oremill.config import Environment
-from oremill.operators.upsert import commit_upsert
+from oremill.operators.upsert import commit_upsert, merge_increment
 from oremill.plans import gold
 from oremill.plans.silver import CLEANERS
 from oremill.schemas import BRONZE, KEYS, payload
-from oremill.sinks.loads import overwrite
+from oremill.sinks.loads import materialize
 from oremill.sinks.versions import VersionedTable
 from oremill.streaming.incremental import ingest_new_files
 
+# The silver tables each mart is built from.
+SOURCES = {
+    "daily_sales": ("orders", "order_items"),
+    "customer_lifetime_value": ("customers", "orders", "order_items"),
+    "top_products": ("products", "order_items"),
+    "category_sales": ("products", "order_items"),
+}
+
+
+def silver_table(spark: SparkSession, env: Environment, table: str) -> VersionedTable:
+    return VersionedTable(spark, env.table_path("silver", table))
+
+
+def mart_table(spark: SparkSession, env: Environment, mart: str) -> VersionedTable:
+    return VersionedTable(spark, env.table_path("gold", mart))
+
 
 def load_bronze(spark: SparkSession, env: Environment, at: Column | None = None) -> dict[str, int]:
     """Append the new files of each entity's landing folder to its bronze table; rows added per table."""
@@ -31,54 +50,80 @@ def load_bronze(spark: SparkSession, env: Environment, at: Column | None = None)
     }
 
 
-def rebuild_silver(spark: SparkSession, env: Environment, at: Column | None = None) -> dict[str, int]:
-    """Rewrite every silver table from bronze; rows per table."""
-    return {
-        table: overwrite(
-            clean(spark.read.parquet(env.table_path("bronze", table)), at), env.table_path("silver", table)
-        )
-        for table, clean in CLEANERS.items()
-    }
-
+def refresh_silver_table(
+    spark: SparkSession, env: Environment, table: str, at: Column | None = None, full: bool = False
+) -> int | None:
+    """Bring one silver table up to its bronze table; the new version, or None if nothing was new.
 
-def read_silver(spark: SparkSession, env: Environment) -> dict[str, DataFrame]:
-    return {table: spark.read.parquet(env.table_path("silver", table)) for table in CLEANERS}
-
-
-def mart_table(spark: SparkSession, env: Environment, mart: str) -> VersionedTable:
-    return VersionedTable(spark, env.table_path("gold", mart))
+    New bronze rows are later than all cleaned before, so a cleaned new row replaces the old row of its key, and the
+    result is that of cleaning all of bronze.  Bronze files without new rows are skipped by their statistics, and
+    the stored table is passed through once, not shuffled, when Spark finds the new keys small enough to broadcast.
+    """
+    target = silver_table(spark, env, table)
+    bronze = spark.read.parquet(env.table_path("bronze", table))
+    newest = bronze.agg(F.unix_micros(F.max("ingest_ts")).alias("newest")).first()["newest"]
+    commit = target.latest()
+    if newest is None or (commit and not full and int(commit["mark"]) >= newest):
+        return None
+    rows = bronze.filter(F.col("ingest_ts") <= F.timestamp_micros(F.lit(newest)))
+    if commit is None or full:
+        return target.commit(CLEANERS[table](rows, at), str(newest))
+    fresh = rows.filter(F.col("ingest_ts") > F.timestamp_micros(F.lit(int(commit["mark"]))))
+    increment = materialize(CLEANERS[table](fresh, at), f"silver-{table}")
+    return target.commit(merge_increment(target.read(), increment, [KEYS[table]]), str(newest))
+
+
+def refresh_silver(
+    spark: SparkSession, env: Environment, at: Column | None = None, full: bool = False
+) -> dict[str, int | None]:
+    return {table: refresh_silver_table(spark, env, table, at, full) for table in CLEANERS}
+
+
+def build_mart(mart: str, silver: dict[str, DataFrame], window: DataFrame) -> DataFrame:
+    """One mart; ``window`` is the part of the orders that daily sales are computed for."""
+    if mart == "daily_sales":
+        # A day must be known to be matched later on.
+        return gold.daily_sales(window.filter("order_date IS NOT NULL"), silver["order_items"])
+    if mart == "customer_lifetime_value":
+        return gold.customer_lifetime_value(silver["customers"], silver["orders"], silver["order_items"])
+    if mart == "top_products":
+        return gold.top_products(silver["products"], silver["order_items"])
+    return gold.category_sales(silver["products"].filter("category IS NOT NULL"), silver["order_items"])
 
 
 def refresh_gold(
     spark: SparkSession, env: Environment, as_of: date | None = None, full: bool = False
-) -> dict[str, int]:
-    """Upsert every mart from silver; versions per mart.
+) -> dict[str, int | None]:
+    """Upsert every mart whose silver tables have changed; new versions, None where nothing was to do.
 
     Daily sales recomputes the environment's last days only, unless ``full`` or the mart is still empty.
     """
-    silver = read_silver(spark, env)
-    customers, products = silver["customers"], silver["products"]
-    orders, items = silver["orders"], silver["order_items"]
-    first = mart_table(spark, env, "daily_sales").current() is None
-    window = orders if full or first else gold.since(orders, as_of, env.incremental_days)
-    marts = {
-        # A day must be known to be matched later on.
-        "daily_sales": gold.daily_sales(window.filter("order_date IS NOT NULL"), items),
-        "customer_lifetime_value": gold.customer_lifetime_value(customers, orders, items),
-        "top_products": gold.top_products(products, items),
-        "category_sales": gold.category_sales(products.filter("category IS NOT NULL"), items),
-    }
-    return {
-        mart: commit_upsert(mart_table(spark, env, mart), source, [KEYS[mart]]) for mart, source in marts.items()
-    }
+    tables = {table: silver_table(spark, env, table) for table in CLEANERS}
+    versions = {table: stored.current() for table, stored in tables.items()}
+    silver = {table: stored.read(versions[table]) for table, stored in tables.items()}
+    today = as_of or date.today()
+    done = {}
+    for mart, sources in SOURCES.items():
+        target = mart_table(spark, env, mart)
+        commit = target.latest()
+        mark = " ".join(f"{table}@{versions[table]}" for table in sources)
+        if mart == "daily_sales":
+            mark = f"{mark} {today}"
+        if commit and commit["mark"] == mark and not full:
+            done[mart] = None
+            continue
+        orders = silver["orders"]
+        window = orders if full or commit is None else gold.since(orders, today, env.incremental_days)
+        done[mart] = commit_upsert(target, build_mart(mart, silver, window), [KEYS[mart]], mark=mark)
+    return done
 
 
 def refresh(
     spark: SparkSession, env: Environment, as_of: date | None = None, at: Column | None = None, full: bool = False
-) -> dict[str, dict[str, int]]:
+) -> dict[str, dict[str, int | None]]:
     """Landing to gold.  ``as_of`` and ``at`` fix today and the audit timestamp."""
     return {
         "bronze": load_bronze(spark, env, at),
-        "silver": rebuild_silver(spark, env, at),
+        "silver": refresh_silver(spark, env, at, full),
         "gold": refresh_gold(spark, env, as_of, full),
     }

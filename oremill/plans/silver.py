@@ -31,43 +31,48 @@ RENAMES = {
 CANCELLED = "CANCELLED"
 
 
+def _newest(named: DataFrame, table: str) -> DataFrame:
+    """One raw row per key.  Casts and patterns come after it: only survivors are cleaned, spread over all tasks."""
+    return latest_per_key(named, [KEYS[table]], ["ingest_ts"])
+
+
 def _finish(cleaned: DataFrame, table: str, at: Column | None) -> DataFrame:
-    newest = latest_per_key(cleaned, [KEYS[table]], ["ingest_ts"])
-    return align_to_schema(stamp(newest, "updated_ts", at), SILVER[table])
+    return align_to_schema(stamp(cleaned, "updated_ts", at), SILVER[table])
 
 
 def silver_customers(bronze: DataFrame, at: Column | None = None) -> DataFrame:
     """The latest record of each customer; sign-up dates that are not dates become NULL."""
-    named = rename_columns(bronze, RENAMES["customers"])
-    return _finish(named.withColumn("signup_date", parse_date("signup_date")), "customers", at)
+    newest = _newest(rename_columns(bronze, RENAMES["customers"]), "customers")
+    return _finish(newest.withColumn("signup_date", parse_date("signup_date")), "customers", at)
 
 
 def silver_products(bronze: DataFrame, at: Column | None = None) -> DataFrame:
     """One row per product; categories upper-cased, malformed prices NULL."""
-    cleaned = rename_columns(bronze, RENAMES["products"]).withColumns(
+    newest = _newest(rename_columns(bronze, RENAMES["products"]), "products")
+    cleaned = newest.withColumns(
         {"category": clean_text("category"), "brand": F.trim("brand"), "price": guarded_double("price")}
     )
     return _finish(cleaned, "products", at)
 
 
 def silver_orders(bronze: DataFrame, at: Column | None = None, keep_null_status: bool = False) -> DataFrame:
-    """One row per order that was not cancelled.
+    """One row per order that was not cancelled; cancelled records are dropped before the latest is chosen.
 
     An order without a status is dropped as well, as a comparison with NULL is not true; ``keep_null_status`` keeps
     it.
     """
-    cleaned = rename_columns(bronze, RENAMES["orders"]).withColumns(
-        {"order_status": clean_text("order_status"), "order_date": parse_date("order_date")}
-    )
+    named = rename_columns(bronze, RENAMES["orders"]).withColumn("order_status", clean_text("order_status"))
     wanted = F.col("order_status") != CANCELLED
     if keep_null_status:
         wanted = wanted | F.col("order_status").isNull()
-    return _finish(cleaned.filter(wanted), "orders", at)
+    newest = _newest(named.filter(wanted), "orders")
+    return _finish(newest.withColumn("order_date", parse_date("order_date")), "orders", at)
 
 
 def silver_order_items(bronze: DataFrame, at: Column | None = None) -> DataFrame:
     """One row per order item; quantities and prices that are not well-formed become NULL."""
-    cleaned = rename_columns(bronze, RENAMES["order_items"]).withColumns(
+    newest = _newest(rename_columns(bronze, RENAMES["order_items"]), "order_items")
+    cleaned = newest.withColumns(
         {"quantity": guarded_int("quantity"), "price_per_unit": guarded_double("price_per_unit")}
     )
     return _finish(cleaned, "order_items", at)

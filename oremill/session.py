@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
+    # Noting the line each column expression was built on takes longer than building it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,13 +8,13 @@ writer at a time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.schemas import declared
 from oremill.sinks.loads import ensure, overwrite
 
-LOG = declared("version INT, row_count BIGINT, committed_ts TIMESTAMP")
+LOG = declared("version INT, row_count BIGINT, mark STRING, committed_ts TIMESTAMP")
 
 
 class VersionedTable:
@@ -23,12 +23,16 @@ class VersionedTable:
         self.path = path.rstrip("/")
 
     def history(self) -> DataFrame:
-        """``version, row_count, committed_ts``, one row per commit."""
+        """``version, row_count, mark, committed_ts``, one row per commit."""
         return ensure(self.spark, f"{self.path}/log", LOG)
 
+    def latest(self) -> Row | None:
+        """The newest commit, or None for a table without commits."""
+        return self.history().agg(F.max(F.struct(*LOG.names)).alias("commit")).first()["commit"]
+
     def current(self) -> int | None:
-        """The newest committed version, or None for a table without commits."""
-        return self.history().agg(F.max("version")).first()[0]
+        commit = self.latest()
+        return commit["version"] if commit else None
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current state, or the state as of ``version``."""
@@ -37,13 +41,16 @@ class VersionedTable:
             raise LookupError(f"{self.path} has no committed version")
         return self.spark.read.parquet(f"{self.path}/v={number}")
 
-    def commit(self, df: DataFrame) -> int:
-        """Store ``df`` as the next version and make it current; returns its number."""
+    def commit(self, df: DataFrame, mark: str | None = None) -> int:
+        """Store ``df`` as the next version and make it current; returns its number.
+
+        ``mark`` notes how far the table's sources had got, so that a refresh can tell whether there is work to do.
+        """
         number = (self.current() or 0) + 1
         rows = overwrite(df, f"{self.path}/v={number}")
         entry = self.spark.range(1).select(
             F.lit(number).alias("version"), F.lit(rows).cast("long").alias("row_count"),
-            F.current_timestamp().alias("committed_ts"),
+            F.lit(mark).cast("string").alias("mark"), F.current_timestamp().alias("committed_ts"),
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return number

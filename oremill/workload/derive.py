@@ -21,81 +21,71 @@ def stamp() -> Column:
     return F.lit(STAMP).cast("timestamp")
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+# Declared like every other table, so that reading one starts no job to infer its schema.
+GIVEN = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
-def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)").cast("string")
 
-
-def _tagged(prefix: str, *columns: str) -> Column:
-    return F.concat(F.lit(prefix), F.concat_ws("-", *[F.col(c).cast("string") for c in columns]))
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(GIVEN[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _repeated(df: DataFrame, key: str, every: int) -> DataFrame:
     """Every row once, and rows whose key is a multiple of ``every`` a second time; ``gen`` numbers the copies."""
-    copies = F.when(F.col(key) % every == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return df.select("*", F.explode(copies).alias("gen"))
-
-
-def _ingested(gen: Column) -> Column:
-    return (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(gen)).alias("ingest_ts")
+    return df.selectExpr("*", f"explode(IF({key} % {every} = 0, array(1, 2), array(1))) AS gen")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = _table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    nation = _table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name")
     rows = _repeated(_table(spark, sf_dir, "customer").join(nation, "c_nationkey"), "c_custkey", 10)
-    signup = F.concat(
-        F.lit("20"), (10 + F.col("c_custkey") % 10).cast("string"), F.lit("-0"),
-        (1 + F.col("c_custkey") % 9).cast("string"), F.lit("-15"),
-    )
-    return rows.select(
-        _tagged("CUST-", "c_custkey").alias("CustomerID"),
-        F.concat(F.lit(" "), "c_name").alias("FullName"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("Email"),
-        F.when(F.col("c_custkey") % 13 == 0, "not-a-date").otherwise(signup).alias("SignUpDate"),
-        F.when(F.col("gen") == 2, "MOVED").otherwise(F.col("c_mktsegment")).alias("City"),
-        F.col("n_name").alias("Country"),
-        _ingested(F.col("gen")),
+    return rows.selectExpr(
+        "concat('CUST-', c_custkey) AS CustomerID",
+        "concat(' ', c_name) AS FullName",
+        "concat(lower(c_name), '@example.com') AS Email",
+        "IF(c_custkey % 13 = 0, 'not-a-date', concat('20', 10 + c_custkey % 10, '-0', 1 + c_custkey % 9, '-15'))"
+        " AS SignUpDate",
+        "IF(gen = 2, 'MOVED', c_mktsegment) AS City",
+        "n_name AS Country",
+        "TIMESTAMP '2024-01-01 00:00:00' + make_dt_interval(gen) AS ingest_ts",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    price = _money("p_retailprice")
-    return _table(spark, sf_dir, "part").select(
-        _tagged("PROD-", "p_partkey").alias("ProductID"),
-        F.col("p_name").alias("ProductName"),
-        F.when(key % 2 == 0, F.concat(F.lit("  "), F.lower("p_type"), F.lit(" ")))
-        .otherwise(F.col("p_type"))
-        .alias("Category"),
-        F.concat(F.lit(" "), "p_brand", F.lit(" ")).alias("Brand"),
-        F.when(key % 17 == 0, "N/A")
-        .when(key % 19 == 0, "")
-        .when(key % 23 == 0, F.concat(F.lit("-"), price))
-        .when(key % 29 == 0, F.lit(None))
-        .otherwise(price)
-        .alias("Price"),
-        _ingested(F.lit(1)),
+    return _table(spark, sf_dir, "part").selectExpr(
+        "concat('PROD-', p_partkey) AS ProductID",
+        "p_name AS ProductName",
+        "IF(p_partkey % 2 = 0, concat('  ', lower(p_type), ' '), p_type) AS Category",
+        "concat(' ', p_brand, ' ') AS Brand",
+        """CASE WHEN p_partkey % 17 = 0 THEN 'N/A'
+                WHEN p_partkey % 19 = 0 THEN ''
+                WHEN p_partkey % 23 = 0 THEN concat('-', CAST(p_retailprice AS DECIMAL(18,2)))
+                WHEN p_partkey % 29 = 0 THEN NULL
+                ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS STRING) END AS Price""",
+        "TIMESTAMP '2024-01-02 00:00:00' AS ingest_ts",
     )
 
 
 def orders_with_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw orders with the number they were made from."""
-    status = (
-        F.when(F.col("o_orderkey") % 50 == 0, F.lit(None))
-        .when(F.col("o_orderstatus") == "P", " cancelled ")
-        .when(F.col("o_orderstatus") == "F", "Completed")
-        .otherwise("pending")
-    )
-    return _repeated(_table(spark, sf_dir, "orders"), "o_orderkey", 20).select(
+    return _repeated(_table(spark, sf_dir, "orders"), "o_orderkey", 20).selectExpr(
         "o_orderkey",
-        _tagged("ORD-", "o_orderkey").alias("OrderID"),
-        _tagged("CUST-", "o_custkey").alias("CustomerID"),
-        F.col("o_orderdate").cast("date").cast("string").alias("OrderDate"),
-        status.alias("OrderStatus"),
-        _ingested(F.lit(1)),
+        "concat('ORD-', o_orderkey) AS OrderID",
+        "concat('CUST-', o_custkey) AS CustomerID",
+        "CAST(CAST(o_orderdate AS DATE) AS STRING) AS OrderDate",
+        """CASE WHEN o_orderkey % 50 = 0 THEN NULL
+                WHEN o_orderstatus = 'P' THEN ' cancelled '
+                WHEN o_orderstatus = 'F' THEN 'Completed'
+                ELSE 'pending' END AS OrderStatus""",
+        "TIMESTAMP '2024-01-02 00:00:00' AS ingest_ts",
     )
 
 
@@ -104,17 +94,15 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, supplier = F.col("l_partkey"), F.col("l_suppkey")
-    return _repeated(_table(spark, sf_dir, "lineitem"), "l_orderkey", 20).select(
-        _tagged("ITEM-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("OrderItemID"),
-        _tagged("ORD-", "l_orderkey").alias("OrderID"),
-        _tagged("PROD-", "l_partkey").alias("ProductID"),
-        F.when(part % 31 == 0, "two")
-        .when(part % 37 == 0, "99999999999")
-        .otherwise(F.col("l_quantity").cast("int").cast("string"))
-        .alias("Quantity"),
-        F.when(supplier % 41 == 0, "1.2.3").otherwise(_money("l_extendedprice")).alias("PricePerUnit"),
-        _ingested(F.lit(1)),
+    return _repeated(_table(spark, sf_dir, "lineitem"), "l_orderkey", 20).selectExpr(
+        "concat('ITEM-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS OrderItemID",
+        "concat('ORD-', l_orderkey) AS OrderID",
+        "concat('PROD-', l_partkey) AS ProductID",
+        """CASE WHEN l_partkey % 31 = 0 THEN 'two'
+                WHEN l_partkey % 37 = 0 THEN '99999999999'
+                ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS Quantity""",
+        "IF(l_suppkey % 41 = 0, '1.2.3', CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS STRING)) AS PricePerUnit",
+        "TIMESTAMP '2024-01-02 00:00:00' AS ingest_ts",
     )
 
 
@@ -123,54 +111,47 @@ BRONZE = {"customers": customers, "products": products, "orders": orders, "order
 
 def task_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One log row per event."""
-    event = F.col("event_id")
-    status = (
-        F.when(event % 7 == 0, "FAILED").when(event % 7 == 1, "INITIATED").when(event % 7 == 2, "NOT STARTED")
-        .otherwise("COMPLETED")
-    )
-    moment = F.col("ts").cast("timestamp")
-    return _table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("job_name"),
-        F.concat(F.lit("J-"), "event_type").alias("job_id"),
-        F.concat(F.lit("R"), (event % 50).cast("string")).alias("parent_run_id"),
-        F.concat(F.lit("T"), (F.col("user_id") % 20).cast("string")).alias("task_name"),
-        event.cast("string").alias("task_run_id"),
-        F.lit(None).cast("timestamp").alias("filter_start_ts"),
-        moment.alias("filter_end_ts"),
-        moment.alias("execution_start_ts"),
-        (moment + F.make_dt_interval(secs=event % 7200)).alias("execution_end_ts"),
-        (event % 1000).cast("int").alias("source_count"),
-        (event % 1000 - F.when(event % 11 == 0, 1).otherwise(0)).cast("int").alias("target_count"),
-        status.alias("status"),
-        F.concat("event_type", F.lit("_"), F.date_format(moment, "yyyyMMdd"), F.lit(".csv")).alias(
-            "last_processed_file"
-        ),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "event_type AS job_name",
+        "concat('J-', event_type) AS job_id",
+        "concat('R', event_id % 50) AS parent_run_id",
+        "concat('T', user_id % 20) AS task_name",
+        "CAST(event_id AS STRING) AS task_run_id",
+        "CAST(NULL AS TIMESTAMP) AS filter_start_ts",
+        "CAST(ts AS TIMESTAMP) AS filter_end_ts",
+        "CAST(ts AS TIMESTAMP) AS execution_start_ts",
+        "CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, event_id % 7200) AS execution_end_ts",
+        "CAST(event_id % 1000 AS INT) AS source_count",
+        "CAST(event_id % 1000 - IF(event_id % 11 = 0, 1, 0) AS INT) AS target_count",
+        """CASE event_id % 7 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'INITIATED' WHEN 2 THEN 'NOT STARTED'
+                             ELSE 'COMPLETED' END AS status""",
+        "concat(event_type, '_', date_format(ts, 'yyyyMMdd'), '.csv') AS last_processed_file",
     )
 
 
 def task_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One metadata row per event, so tasks repeat; some tasks are inactive, some flags need trimming."""
-    task = F.col("user_id") % 20
-    return _table(spark, sf_dir, "events").select(
-        F.lit("retail").alias("application"),
-        F.col("event_type").alias("job_name"),
-        F.concat(F.lit("T"), task.cast("string")).alias("task_name"),
-        F.concat(F.lit("G"), (task % 3).cast("string")).alias("grouping_id"),
-        F.when(task % 7 == 0, "N").when(task % 7 == 1, " y ").otherwise("Y").alias("is_active"),
+    return _table(spark, sf_dir, "events").selectExpr(
+        "'retail' AS application",
+        "event_type AS job_name",
+        "concat('T', user_id % 20) AS task_name",
+        "concat('G', user_id % 20 % 3) AS grouping_id",
+        "CASE user_id % 20 % 7 WHEN 0 THEN 'N' WHEN 1 THEN ' y ' ELSE 'Y' END AS is_active",
     )
 
 
 def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One file arrival per event, in a monthly or daily folder of its job; some names carry no timestamp."""
-    event, moment = F.col("event_id"), F.col("ts").cast("timestamp")
-    dated = F.concat("event_type", F.lit("_"), F.date_format(moment, "yyyyMMddHHmmss"), F.lit(".csv"))
-    name = F.when(event % 10 == 0, F.concat(F.lit("plain"), event.cast("string"), F.lit(".csv"))).otherwise(dated)
-    folder = F.when(event % 3 == 0, "monthly").otherwise("daily")
-    return _table(spark, sf_dir, "events").select(
-        F.concat_ws("/", F.lit("/data/landing"), F.col("event_type"), folder, name).alias("path"),
-        name.alias("name"),
-        event.alias("size"),
-        moment.alias("modified"),
-        F.col("event_type").alias("job_name"),
-        F.concat(F.lit("T"), (F.col("user_id") % 20).cast("string")).alias("task_name"),
+    named = _table(spark, sf_dir, "events").selectExpr(
+        "*",
+        """IF(event_id % 10 = 0, concat('plain', event_id, '.csv'),
+              concat(event_type, '_', date_format(ts, 'yyyyMMddHHmmss'), '.csv')) AS name""",
+    )
+    return named.selectExpr(
+        "concat_ws('/', '/data/landing', event_type, IF(event_id % 3 = 0, 'monthly', 'daily'), name) AS path",
+        "name",
+        "event_id AS size",
+        "CAST(ts AS TIMESTAMP) AS modified",
+        "event_type AS job_name",
+        "concat('T', user_id % 20) AS task_name",
     )

@@ -66,10 +66,8 @@ s_items AS (
          CASE WHEN regexp_matches(PricePerUnit, '^[0-9]+([.][0-9]+)?$') THEN TRY_CAST(PricePerUnit AS DOUBLE) END
            AS price_per_unit
   FROM raw_items
-  QUALIFY row_number() OVER (PARTITION BY OrderItemID ORDER BY ingest_ts DESC,
-    CASE WHEN regexp_matches(Quantity, '^[0-9]+$') THEN TRY_CAST(Quantity AS INTEGER) END DESC NULLS LAST,
-    CASE WHEN regexp_matches(PricePerUnit, '^[0-9]+([.][0-9]+)?$') THEN TRY_CAST(PricePerUnit AS DOUBLE) END
-      DESC NULLS LAST) = 1),
+  QUALIFY row_number() OVER (PARTITION BY OrderItemID
+                             ORDER BY ingest_ts DESC, Quantity DESC NULLS LAST, PricePerUnit DESC NULLS LAST) = 1),
 m_daily AS (
   SELECT o.order_date, count(DISTINCT o.order_id) AS total_orders,
          round(sum(i.quantity * i.price_per_unit), 2) AS total_sales
@@ -357,6 +355,7 @@ _BODIES = {
     "truncate_layer": _per_table(_SILVER, "count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after"),
     "materialize": "SELECT *, 'NOT STARTED' AS running_status_tracker FROM active",
     "schema_conformance": _conformance(),
+    "gold_daily_sales_bucketed": "SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM m_daily",
     "medallion_refresh": """
         SELECT 'daily_sales' AS mart, CAST(order_date AS VARCHAR) AS mart_key, CAST(total_orders AS DOUBLE) AS total,
                total_sales AS amount FROM m_daily

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -384,11 +385,17 @@ def new_files_since(spark, sf_dir):
     return manifest.new_files_since(files, marks, ("job_name", "task_name")).select("path", "size", "modified")
 
 
-def _land(df: DataFrame, label: str, **options) -> str:
-    """Write raw rows as header CSV files, blanks and quotes kept; returns the folder."""
-    path = scratch_dir(df.sparkSession, label)
-    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
-    df.write.options(**{**keep, **options}).csv(path)
+RAW_FILES = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
+
+
+def _land_at(rows: DataFrame, path: str, **options) -> None:
+    """Write raw rows, without their ``ingest_ts``, as header CSV files with blanks and quotes kept."""
+    rows.drop("ingest_ts").write.options(**RAW_FILES, **options).csv(path)
+
+
+def _land(rows: DataFrame, label: str, **options) -> str:
+    path = scratch_dir(rows.sparkSession, label)
+    _land_at(rows, path, **options)
     return path
 
 
@@ -398,9 +405,8 @@ def _land_feeds(spark: SparkSession, sf_dir: str) -> str:
     rows = rows.withColumn("feed", F.floor(F.col("o_orderkey") / derive.ORDERS_PER_FEED).cast("int"))
     path = scratch_dir(spark, "feeds")
     writer = rows.repartition("feed").sortWithinPartitions("feed", "o_orderkey").drop("o_orderkey").write
-    writer.partitionBy("feed").options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
-    empty = rows.drop("o_orderkey", "feed").limit(0)
-    empty.write.option("header", True).csv(f"{path}/feed=-1")
+    writer.partitionBy("feed").options(**RAW_FILES).csv(path)
+    _land_at(rows.drop("o_orderkey", "feed").filter("false"), f"{path}/feed=-1")
     return path
 
 
@@ -411,14 +417,14 @@ def _feed(path: str = "path"):
 @query
 def ingest_csv_schema(spark, sf_dir):
     """The header says UnitPrice, the declared schema Price; they meet by position."""
-    raw = derive.products(spark, sf_dir).drop("ingest_ts").withColumnRenamed("Price", "UnitPrice")
+    raw = derive.products(spark, sf_dir).withColumnRenamed("Price", "UnitPrice")
     rows = delimited.read_with_schema(spark, _land(raw, "products"), schemas.BRONZE["products"])
     return project.stamp(rows, "ingest_ts", derive.stamp())
 
 
 @query
 def ingest_delimited(spark, sf_dir):
-    path = _land(derive.customers(spark, sf_dir).drop("ingest_ts"), "customers", sep="|")
+    path = _land(derive.customers(spark, sf_dir), "customers", sep="|")
     return delimited.read_delimited(spark, path, "csv", True, "|")
 
 
@@ -458,10 +464,7 @@ def ingest_incremental(spark, sf_dir):
     rows = derive.customers(spark, sf_dir)
     root = scratch_dir(spark, "stream")
     for wave in ("2024-01-02", "2024-01-03"):
-        part = rows.filter(F.col("ingest_ts") == F.lit(wave).cast("timestamp")).drop("ingest_ts")
-        part.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
-            f"{root}/landing/{wave}"
-        )
+        _land_at(rows.filter(F.col("ingest_ts") == F.lit(wave).cast("timestamp")), f"{root}/landing/{wave}")
         for _ in range(2):
             ingest_new_files(
                 spark, f"{root}/landing", schemas.payload(schemas.BRONZE["customers"]), f"{root}/bronze",
@@ -544,7 +547,7 @@ def load_counts(spark, sf_dir):
 @query
 def truncate_layer(spark, sf_dir):
     """Rows of each silver table before and after it is emptied."""
-    prefix = f"oremill_{scratch_dir(spark, 'db').rsplit('-', 1)[1][:12]}_"
+    prefix = _catalog_prefix()
     names = schemas.declare_layer(spark, "silver", prefix, scratch_dir(spark, "catalog"))
     for table in schemas.SILVER:
         _silver(spark, sf_dir, table).write.mode("append").insertInto(f"{prefix}silver.{table}")
@@ -554,6 +557,10 @@ def truncate_layer(spark, sf_dir):
     return before.join(_table_counts(spark, names, "rows_after"), "table_name")
 
 
+def _catalog_prefix() -> str:
+    return f"oremill_{uuid4().hex[:12]}_"
+
+
 def _table_counts(spark: SparkSession, names: list[str], column: str) -> DataFrame:
     counts = [
         spark.table(name).agg(F.count(F.lit(1)).alias(column)).select(F.lit(name.split(".")[1]).alias("table_name"), column)
@@ -586,18 +593,38 @@ def schema_conformance(spark, sf_dir):
 
 @query
 def medallion_refresh(spark, sf_dir):
-    """Files to marts, twice; the second run finds nothing new and leaves the marts as they are."""
+    """Files to marts in two waves, and a third refresh that finds nothing new.
+
+    The second wave brings changed customers and the orders of the last days, which reach the marts by way of the
+    incremental forms: only new bronze rows are cleaned, only the last days of daily sales recomputed.
+    """
     env = environment("prod", scratch_dir(spark, "lake"))
-    for table, rows in derive.BRONZE.items():
-        raw = rows(spark, sf_dir).drop("ingest_ts")
-        raw.write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(
-            f"{env.landing}/{table}/wave-1"
-        )
-    for _ in range(2):
-        medallion.refresh(spark, env, as_of=derive.AS_OF, at=derive.stamp())
+    raw = {table: rows(spark, sf_dir) for table, rows in derive.BRONZE.items()}
+    late = {
+        "customers": F.col("ingest_ts") >= F.lit("2024-01-03").cast("timestamp"),
+        "orders": F.col("OrderDate") >= "2001-07-25",
+    }
+    for day in (1, 2, 3):
+        for table, rows in raw.items():
+            if day == 1:
+                _land_at(rows.filter(~late[table]) if table in late else rows, f"{env.landing}/{table}/wave-1")
+            elif day == 2 and table in late:
+                _land_at(rows.filter(late[table]), f"{env.landing}/{table}/wave-2")
+        medallion.refresh(spark, env, as_of=derive.AS_OF, at=F.lit(f"2024-02-0{day}").cast("timestamp"))
     marts = {mart: medallion.mart_table(spark, env, mart).read() for mart in schemas.GOLD}
     return reduce(DataFrame.unionByName, [
         mart.select(F.lit(name).alias("mart"), F.col(schemas.KEYS[name]).cast("string").alias("mart_key"),
                     *[F.col(c).cast("double").alias(a) for c, a in zip(mart.columns[-2:], ("total", "amount"))])
         for name, mart in marts.items()
     ])
+
+
+@query
+def gold_daily_sales_bucketed(spark, sf_dir):
+    """The mart over silver tables stored bucketed by order: neither the sum per order nor the join shuffles items."""
+    prefix = _catalog_prefix()
+    database = f"{prefix}silver"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'catalog')}'")
+    for table in ("orders", "order_items"):
+        loads.write_bucketed(_silver(spark, sf_dir, table), f"{database}.{table}", "order_id", 8)
+    return gold.daily_sales(spark.table(f"{database}.orders"), spark.table(f"{database}.order_items"))
