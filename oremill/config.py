@@ -14,6 +14,8 @@ class Environment:
     name: str
     root: str
     incremental_days: int = 1
+    # Bounds one step of the file ingest; None takes all new files at once.
+    files_per_batch: int | None = None
 
     def table_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"

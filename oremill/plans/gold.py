@@ -39,21 +39,21 @@ def since(orders: DataFrame, as_of: date | Column | None = None, days: int = 1)
     return orders.filter(F.col("order_date") >= F.date_sub(day, days))
 
 
-def daily_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders and sales per day.  For a refresh of the last days pass ``since(orders, ...)``."""
+def sales_per_day(orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Orders and sales per day, from the sums per order."""
     return (
         orders.select("order_id", "order_date")
-        .join(order_totals(items), "order_id")
+        .join(totals, "order_id")
         .groupBy("order_date")
         .agg(F.count("order_id").alias("total_orders"), F.sum("order_value").alias("total_sales"))
     )
 
 
-def customer_lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Orders and value per customer with at least one order that has items."""
+def value_per_customer(customers: DataFrame, orders: DataFrame, totals: DataFrame) -> DataFrame:
+    """Orders and value per customer with at least one order that has items, from the sums per order."""
     per_customer = (
         orders.select("order_id", "customer_id")
-        .join(order_totals(items), "order_id")
+        .join(totals, "order_id")
         .groupBy("customer_id")
         .agg(F.count("order_id").alias("total_orders"), F.sum("order_value").alias("lifetime_value"))
     )
@@ -64,30 +64,50 @@ def customer_lifetime_value(customers: DataFrame, orders: DataFrame, items: Data
     )
 
 
-def top_products(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Quantity and revenue of every product sold."""
+def sales_per_product(products: DataFrame, totals: DataFrame) -> DataFrame:
+    """Quantity and revenue of every product sold, from the sums per product."""
     return (
         products.select("product_id", "product_name")
-        .join(product_totals(items), "product_id")
+        .join(totals, "product_id")
         .select("product_id", "product_name", "total_quantity", "total_revenue")
     )
 
 
-def top_products_report(mart: DataFrame, count: int) -> DataFrame:
-    """The ``count`` products of the highest revenue; ties go to the smaller id."""
-    return mart.orderBy(F.col("total_revenue").desc_nulls_last(), "product_id").limit(count)
-
-
-def category_sales(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Quantity and revenue per category, from the per-product sums."""
+def sales_per_category(products: DataFrame, totals: DataFrame) -> DataFrame:
+    """Quantity and revenue per category, from the sums per product."""
     return (
         products.select("product_id", "category")
-        .join(product_totals(items), "product_id")
+        .join(totals, "product_id")
         .groupBy("category")
         .agg(F.sum("total_quantity").alias("total_quantity"), F.sum("total_revenue").alias("total_revenue"))
     )
 
 
+def daily_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders and sales per day.  For a refresh of the last days pass ``since(orders, ...)``."""
+    return sales_per_day(orders, order_totals(items))
+
+
+def customer_lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Orders and value per customer."""
+    return value_per_customer(customers, orders, order_totals(items))
+
+
+def top_products(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Quantity and revenue of every product sold."""
+    return sales_per_product(products, product_totals(items))
+
+
+def category_sales(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Quantity and revenue per category."""
+    return sales_per_category(products, product_totals(items))
+
+
+def top_products_report(mart: DataFrame, count: int) -> DataFrame:
+    """The ``count`` products of the highest revenue; ties go to the smaller id."""
+    return mart.orderBy(F.col("total_revenue").desc_nulls_last(), "product_id").limit(count)
+
+
 def lifetime_value_of_changed(
     customers: DataFrame, orders: DataFrame, items: DataFrame, changed_orders: DataFrame
 ) -> DataFrame:

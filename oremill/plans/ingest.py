@@ -13,7 +13,7 @@ from oremill.functions import file_name, file_timestamp
 from oremill.functions.messages import files_message, reconcile_message, run_message
 from oremill.operators.runlog import COMPLETED, FAILED, INITIATED, watermark_per_task
 from oremill.schemas import CONTROL
-from oremill.sinks.loads import append, ensure, load
+from oremill.sinks.loads import append, ensure, load, materialize
 from oremill.sources.delimited import skip_leading_rows
 from oremill.sources.manifest import file_manifest, files_after, latest_file
 
@@ -84,6 +84,7 @@ def run_ingest(spark: SparkSession, spec: IngestSpec, log_path: str, ids: RunIds
             files = files_after(files, F.lit(watermark))
         if spec.latest_only and not spec.all_files:
             files = files.join(latest_file(files).select("path"), "path", "left_semi").select(*files.columns)
+        files = materialize(files, "new-files")
         taken = files.agg(F.count(F.lit(1)).alias("files"), F.max(F.struct("modified", "name", "path")).alias("last")).first()
         counts = (None, None)
         if taken["files"]:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.config import Environment
@@ -18,8 +18,10 @@ from oremill.operators.upsert import commit_upsert, merge_increment
 from oremill.plans import gold
 from oremill.plans.silver import CLEANERS
 from oremill.schemas import BRONZE, KEYS, payload
+from oremill.session import sized_shuffles
 from oremill.sinks.loads import materialize
 from oremill.sinks.versions import VersionedTable
+from oremill.sources.manifest import file_manifest
 from oremill.streaming.incremental import ingest_new_files
 
 # The silver tables each mart is built from.
@@ -44,7 +46,7 @@ def load_bronze(spark: SparkSession, env: Environment, at: Column | None = None)
     return {
         table: ingest_new_files(
             spark, f"{env.landing}/{table}", payload(schema), env.table_path("bronze", table),
-            f"{env.checkpoints}/{table}", at,
+            f"{env.checkpoints}/{table}", at, env.files_per_batch,
         )
         for table, schema in BRONZE.items()
     }
@@ -79,51 +81,59 @@ def refresh_silver(
     return {table: refresh_silver_table(spark, env, table, at, full) for table in CLEANERS}
 
 
-def build_mart(mart: str, silver: dict[str, DataFrame], window: DataFrame) -> DataFrame:
-    """One mart; ``window`` is the part of the orders that daily sales are computed for."""
-    if mart == "daily_sales":
-        # A day must be known to be matched later on.
-        return gold.daily_sales(window.filter("order_date IS NOT NULL"), silver["order_items"])
-    if mart == "customer_lifetime_value":
-        return gold.customer_lifetime_value(silver["customers"], silver["orders"], silver["order_items"])
-    if mart == "top_products":
-        return gold.top_products(silver["products"], silver["order_items"])
-    return gold.category_sales(silver["products"].filter("category IS NOT NULL"), silver["order_items"])
-
-
 def refresh_gold(
     spark: SparkSession, env: Environment, as_of: date | None = None, full: bool = False
 ) -> dict[str, int | None]:
     """Upsert every mart whose silver tables have changed; new versions, None where nothing was to do.
 
-    Daily sales recomputes the environment's last days only, unless ``full`` or the mart is still empty.
+    Items are by far the largest table: they are summed once per order and once per product, and each sum, stored,
+    serves two marts.  Daily sales recomputes the environment's last days only, unless ``full`` or the mart is empty.
     """
     tables = {table: silver_table(spark, env, table) for table in CLEANERS}
     versions = {table: stored.current() for table, stored in tables.items()}
-    silver = {table: stored.read(versions[table]) for table, stored in tables.items()}
     today = as_of or date.today()
-    done = {}
-    for mart, sources in SOURCES.items():
-        target = mart_table(spark, env, mart)
-        commit = target.latest()
-        mark = " ".join(f"{table}@{versions[table]}" for table in sources)
-        if mart == "daily_sales":
-            mark = f"{mark} {today}"
-        if commit and commit["mark"] == mark and not full:
-            done[mart] = None
-            continue
-        orders = silver["orders"]
-        window = orders if full or commit is None else gold.since(orders, today, env.incremental_days)
-        done[mart] = commit_upsert(target, build_mart(mart, silver, window), [KEYS[mart]], mark=mark)
-    return done
+    targets = {mart: mart_table(spark, env, mart) for mart in SOURCES}
+    commits = {mart: target.latest() for mart, target in targets.items()}
+    marks = {mart: " ".join(f"{table}@{versions[table]}" for table in sources) for mart, sources in SOURCES.items()}
+    marks["daily_sales"] += f" {today}"
+    stale = [mart for mart, commit in commits.items() if full or commit is None or commit["mark"] != marks[mart]]
+    if not stale:
+        return dict.fromkeys(SOURCES)
+
+    customers, products, orders, items = (
+        tables[table].read(versions[table]) for table in ("customers", "products", "orders", "order_items")
+    )
+    per_order = per_product = None
+    if {"daily_sales", "customer_lifetime_value"} & set(stale):
+        per_order = materialize(gold.order_totals(items), "order-totals")
+    if {"top_products", "category_sales"} & set(stale):
+        per_product = materialize(gold.product_totals(items), "product-totals")
+    window = orders if full or commits["daily_sales"] is None else gold.since(orders, today, env.incremental_days)
+    # A day or category must be known to be matched later on.
+    build = {
+        "daily_sales": lambda: gold.sales_per_day(window.filter("order_date IS NOT NULL"), per_order),
+        "customer_lifetime_value": lambda: gold.value_per_customer(customers, orders, per_order),
+        "top_products": lambda: gold.sales_per_product(products, per_product),
+        "category_sales": lambda: gold.sales_per_category(products.filter("category IS NOT NULL"), per_product),
+    }
+    return {
+        mart: commit_upsert(targets[mart], build[mart](), [KEYS[mart]], mark=marks[mart]) if mart in stale else None
+        for mart in SOURCES
+    }
 
 
 def refresh(
     spark: SparkSession, env: Environment, as_of: date | None = None, at: Column | None = None, full: bool = False
 ) -> dict[str, dict[str, int | None]]:
-    """Landing to gold.  ``as_of`` and ``at`` fix today and the audit timestamp."""
-    return {
-        "bronze": load_bronze(spark, env, at),
-        "silver": refresh_silver(spark, env, at, full),
-        "gold": refresh_gold(spark, env, as_of, full),
-    }
+    """Landing to gold.  ``as_of`` and ``at`` fix today and the audit timestamp.
+
+    Shuffles are sized from what bronze holds by then, so the same call serves a day's files and a full history.
+    """
+    bronze = load_bronze(spark, env, at)
+    stored = file_manifest(spark, f"{env.root}/bronze", "*.parquet").agg(F.sum("size").alias("bytes")).first()["bytes"]
+    with sized_shuffles(spark, stored or 0):
+        return {
+            "bronze": bronze,
+            "silver": refresh_silver(spark, env, at, full),
+            "gold": refresh_gold(spark, env, as_of, full),
+        }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -21,6 +23,8 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
+    # Row counts of a streaming run are summed over its progress reports.
+    "spark.sql.streaming.numRecentProgressUpdates": "100000",
     # Noting the line each column expression was built on takes longer than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -43,3 +47,33 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="oremill-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+# The driver keeps a record per map task and partition, so beyond this partitions grow (and spill) instead.
+MOST_SHUFFLE_PARTITIONS = 20_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def shuffle_partitions(input_bytes: int, floor: int) -> int:
+    """How many partitions a shuffle of all of the input should start with; AQE merges those that come out small.
+
+    Stored columns take several times their compressed size in a shuffle; four is allowed for.
+    """
+    wanted = -(-4 * input_bytes // SHUFFLE_PARTITION_BYTES)
+    return max(floor, min(wanted, MOST_SHUFFLE_PARTITIONS))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Within the block, shuffles start with partitions that fit a task whatever the size of the input."""
+    before = spark.conf.get(INITIAL_PARTITIONS, None)
+    count = shuffle_partitions(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(INITIAL_PARTITIONS, str(count))
+    try:
+        yield count
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, before)

@@ -96,6 +96,18 @@ def overwrite(df: DataFrame, target: str) -> int:
     return write(df, target, "overwrite")
 
 
+def replace_partitions(df: DataFrame, target: str, by: list[str]) -> None:
+    """Overwrite only those partitions of a table that ``df`` has rows for.
+
+    The form of an upsert where the key, or a coarser column, is the partition: days outside the window are neither
+    read nor rewritten.  Rows are rebalanced by partition: small partitions get one file, and one that holds much of
+    the data is split over tasks.
+    """
+    spread = df.hint("rebalance", *[F.col(c) for c in by])
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
+
+
 def load(
     df: DataFrame,
     target: str,
@@ -129,13 +141,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Write a catalog table bucketed and sorted by ``key``.
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> bool:
+    """Write a catalog table bucketed and sorted by ``key``; False if it had to be written without buckets.
 
-    Two tables bucketed alike on their join key join, and aggregate on that key, without a shuffle.  Rows are
-    first brought together by bucket, so each bucket is one file and not one per writing task.
+    Two tables bucketed alike on their join key join, and aggregate on that key, without a shuffle.  But all rows of
+    a bucket are then read by one task, so a key with more rows than an average bucket rules buckets out: such a
+    table is written plainly, and is shuffled when it is used.  ``df`` is read twice, so pass a stored table.
     """
-    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(table)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    size = per_key.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
+    if (size["largest"] or 0) * buckets > (size["total"] or 0):
+        df.write.mode("overwrite").format("parquet").saveAsTable(table)
+        return False
+    # One task per bucket writes one file per bucket.
+    together = df.repartition(buckets, key)
+    together.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return True

@@ -36,7 +36,8 @@ def ingest_new_files(
     """Append the rows of files not seen before to ``target`` and stop; returns the number of rows added.
 
     The checkpoint remembers the files, the parquet sink commits whole batches: a run that dies is picked up where
-    it stopped, with nothing lost or doubled.
+    it stopped, with nothing lost or doubled.  The number covers as many batches as the session keeps reports of
+    (``spark.sql.streaming.numRecentProgressUpdates``).
     """
     stream = file_stream(spark, landing, schema, files_per_batch).withColumn(
         "ingest_ts", F.current_timestamp() if at is None else at

@@ -196,6 +196,11 @@ _BODIES = {
                CASE WHEN s.order_date IS NULL THEN t.total_orders ELSE s.total_orders END AS total_orders,
                CASE WHEN s.order_date IS NULL THEN t.total_sales ELSE s.total_sales END AS total_sales
         FROM old_daily t FULL JOIN m_daily_incr s ON t.order_date = s.order_date""",
+    "upsert_daily_sales_partitions": """
+        SELECT CAST(coalesce(s.order_date, t.order_date) AS VARCHAR) AS order_date,
+               coalesce(s.total_orders, t.total_orders) AS total_orders,
+               CASE WHEN s.order_date IS NULL THEN t.total_sales ELSE s.total_sales END AS total_sales
+        FROM old_daily t FULL JOIN m_daily_incr s ON t.order_date = s.order_date""",
     "upsert_daily_sales_window": """
         SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM (
           SELECT * FROM old_daily WHERE order_date < DATE '2001-07-25' UNION ALL SELECT * FROM m_daily_incr)""",
@@ -219,11 +224,11 @@ _BODIES = {
     "align_schema": f"""
         SELECT OrderID AS order_id, CustomerID AS customer_id, OrderDate AS order_date, OrderStatus AS order_status,
                strftime(ingest_ts, {ISO}) AS updated_ts FROM raw_orders""",
-    "guarded_int_cast": """
+    "guarded_int": """
         SELECT OrderItemID, Quantity,
                CASE WHEN regexp_matches(Quantity, '^[0-9]+$') THEN TRY_CAST(Quantity AS INTEGER) END AS quantity_int
         FROM raw_items""",
-    "guarded_double_cast": """
+    "guarded_double": """
         SELECT ProductID, Price, CASE WHEN regexp_matches(Price, '^[0-9]+([.][0-9]+)?$')
                                       THEN TRY_CAST(Price AS DOUBLE) END AS price_double
         FROM raw_products""",
@@ -259,6 +264,14 @@ _BODIES = {
                           WHERE o.job_name = l.job_name AND o.parent_run_id = l.parent_run_id
                             AND o.task_name = l.task_name AND o.status IN ('INITIATED', 'NOT STARTED', 'COMPLETED'))
           AND EXISTS (SELECT 1 FROM active a WHERE a.job_name = l.job_name AND a.task_name = l.task_name)""",
+    "tasks_to_start": """
+        SELECT * FROM (
+          WITH own AS (SELECT * FROM active WHERE job_name = 'click' AND grouping_id = 'G1'),
+               run AS (SELECT * FROM task_log WHERE job_name = 'click' AND parent_run_id = 'R7'),
+               only_failed AS (SELECT task_name FROM run GROUP BY task_name HAVING bool_and(status = 'FAILED'))
+          SELECT * FROM own
+          WHERE task_name IN (SELECT task_name FROM only_failed)
+             OR NOT EXISTS (SELECT 1 FROM run WHERE status = 'FAILED' AND task_name IN (SELECT task_name FROM own)))""",
     "run_rank": f"""
         SELECT job_name, parent_run_id, job_id, task_name, task_run_id, status,
                strftime(execution_start_ts, {ISO}) AS execution_start_ts,
@@ -338,6 +351,7 @@ _BODIES = {
         SELECT {_FEED} AS feed, {_ORDER_PAYLOAD} FROM raw_orders
         QUALIFY row_number() OVER (PARTITION BY o_orderkey // 5000 ORDER BY o_orderkey) > 3""",
     "ingest_incremental": f"SELECT {_CUSTOMER_PAYLOAD}, '{STAMP}' AS ingest_ts FROM raw_customers",
+    "ingest_task": f"SELECT {_ORDER_PAYLOAD}, {_FEED} AS feed, 'COMPLETED COMPLETED' AS states FROM raw_orders",
     "load_append": f"""
         SELECT * REPLACE (strftime(ingest_ts, {ISO}) AS ingest_ts) FROM (
           SELECT * FROM raw_products UNION ALL SELECT * FROM raw_products)""",

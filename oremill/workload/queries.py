@@ -14,21 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oremill import functions as fn
 from oremill import schemas
-from oremill.config import environment
-from oremill.functions import (
-    elapsed_minutes,
-    file_name,
-    file_timestamp,
-    guarded_double,
-    guarded_int,
-    hours_minutes_seconds,
-    parse_date,
-    procedure_message,
-    with_time_of_day,
-)
+from oremill.config import IngestSpec, environment
 from oremill.operators import dedup, project, runlog, upsert
 from oremill.plans import gold, medallion, silver
+from oremill.plans.ingest import RunIds, run_ingest
 from oremill.session import scratch_dir
 from oremill.sinks import loads
 from oremill.sinks.versions import VersionedTable
@@ -200,6 +191,19 @@ def merge_increment(spark, sf_dir):
     return upsert.merge_increment(stored, loads.materialize(mart, "increment"), ["product_id"])
 
 
+@query
+def upsert_daily_sales_partitions(spark, sf_dir):
+    """The mart stored by month; a refresh rewrites the months of its window and reads no other."""
+    month = F.date_format("order_date", "yyyy-MM").alias("month")
+    target = scratch_dir(spark, "daily-sales")
+    loads.replace_partitions(_stale_daily_sales(spark, sf_dir).select("*", month), target, ["month"])
+    source = gold.daily_sales(_since(spark, sf_dir), _silver(spark, sf_dir, "order_items"))
+    stored = spark.read.parquet(target).filter(F.col("month") >= F.lit("2001-07"))
+    state = upsert.upsert(stored.drop("month"), source, ["order_date"]).select("*", month)
+    loads.replace_partitions(loads.materialize(state, "months"), target, ["month"])
+    return spark.read.parquet(target).drop("month")
+
+
 @query
 def snapshot_read(spark, sf_dir):
     """Both versions of a mart after an upsert: the state before it can still be read."""
@@ -230,21 +234,21 @@ def align_schema(spark, sf_dir):
 
 
 @query
-def guarded_int_cast(spark, sf_dir):
+def guarded_int(spark, sf_dir):
     rows = derive.order_items(spark, sf_dir)
-    return rows.select("OrderItemID", "Quantity", guarded_int("Quantity").alias("quantity_int"))
+    return rows.select("OrderItemID", "Quantity", fn.guarded_int("Quantity").alias("quantity_int"))
 
 
 @query
-def guarded_double_cast(spark, sf_dir):
+def guarded_double(spark, sf_dir):
     rows = derive.products(spark, sf_dir)
-    return rows.select("ProductID", "Price", guarded_double("Price").alias("price_double"))
+    return rows.select("ProductID", "Price", fn.guarded_double("Price").alias("price_double"))
 
 
 @query
 def date_parse(spark, sf_dir):
     rows = derive.customers(spark, sf_dir)
-    return rows.select("CustomerID", "SignUpDate", parse_date("SignUpDate").alias("signup_date"))
+    return rows.select("CustomerID", "SignUpDate", fn.parse_date("SignUpDate").alias("signup_date"))
 
 
 @query
@@ -291,6 +295,12 @@ def restart_set(spark, sf_dir):
     return runlog.restart_set(derive.task_control(spark, sf_dir), derive.task_metadata(spark, sf_dir))
 
 
+@query
+def tasks_to_start(spark, sf_dir):
+    log, tasks = derive.task_control(spark, sf_dir), derive.task_metadata(spark, sf_dir)
+    return runlog.tasks_to_start(log, tasks, "click", "R7", "G1")
+
+
 @query
 def run_rank(spark, sf_dir):
     return runlog.run_rank(derive.task_control(spark, sf_dir))
@@ -329,11 +339,11 @@ def run_report(spark, sf_dir):
 def run_durations(spark, sf_dir):
     rows = derive.task_control(spark, sf_dir)
     start, end = F.col("execution_start_ts"), F.col("execution_end_ts")
-    spent = hours_minutes_seconds((F.unix_micros(end) - F.unix_micros(start)) / 1000)
+    spent = fn.hours_minutes_seconds((F.unix_micros(end) - F.unix_micros(start)) / 1000)
     day = F.date_format(start, "yyyy-MM-dd")
     return rows.select(
-        "task_run_id", elapsed_minutes(start, end).alias("minutes"), spent.alias("spent"),
-        with_time_of_day(day, end).alias("day_with_time"),
+        "task_run_id", fn.elapsed_minutes(start, end).alias("minutes"), spent.alias("spent"),
+        fn.with_time_of_day(day, end).alias("day_with_time"),
     ).select("task_run_id", "minutes", "day_with_time", "spent.hours", F.col("spent.minutes").alias("whole_minutes"),
              "spent.seconds")
 
@@ -344,9 +354,9 @@ def procedure_log(spark, sf_dir):
     run = F.col("task_run_id").cast("long")
     kind = F.when(run % 3 == 0, " Progress").when(run % 3 == 1, "success").otherwise("FAIL")
     given = F.when(run % 10 == 0, "done").otherwise("")
-    message = procedure_message(
+    message = fn.procedure_message(
         kind, given, F.col("job_id"), run % 100, F.col("job_name"), F.col("task_name"), F.col("source_count"),
-        elapsed_minutes(F.col("execution_start_ts"), F.col("execution_end_ts")),
+        fn.elapsed_minutes(F.col("execution_start_ts"), F.col("execution_end_ts")),
     )
     return rows.select("task_run_id", message.alias("primary_message"))
 
@@ -364,7 +374,7 @@ def retention_filter(spark, sf_dir):
 def file_lineage(spark, sf_dir):
     path = F.col("path")
     return derive.file_listing(spark, sf_dir).select(
-        "path", "size", file_name(path).alias("FILE_NAME"), file_timestamp(path).alias("FILE_TS")
+        "path", "size", fn.file_name(path).alias("FILE_NAME"), fn.file_timestamp(path).alias("FILE_TS")
     )
 
 
@@ -473,6 +483,17 @@ def ingest_incremental(spark, sf_dir):
     return spark.read.parquet(f"{root}/bronze").drop("FILE_NAME", "FILE_TS")
 
 
+@query
+def ingest_task(spark, sf_dir):
+    """A task run from its metadata row, twice: the files are taken by the first run, the second finds no new ones."""
+    root = scratch_dir(spark, "task")
+    landed = _land_feeds(spark, sf_dir)
+    task = IngestSpec("retail", "orders", landed, f"{root}/bronze/orders")
+    states = [run_ingest(spark, task, f"{root}/control", RunIds("J1", f"R{n}", f"T{n}")) for n in (1, 2)]
+    rows = spark.read.parquet(task.target_path).select("OrderID", "CustomerID", "OrderDate", "OrderStatus", _feed("FILE_NAME"))
+    return rows.withColumn("states", F.lit(" ".join(states)))
+
+
 # --- loads ----------------------------------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ from oremill.config import IngestSpec, environment
 from oremill.plans import medallion
 from oremill.plans.ingest import RunIds, run_ingest
 from oremill.plans.silver import CLEANERS
+from oremill.session import shuffle_partitions, sized_shuffles
 from oremill.sinks import loads
 from oremill.sources import delimited, manifest
 from oremill.streaming.incremental import ingest_new_files
@@ -160,11 +161,31 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/db'")
     for name in ("l", "r"):
         df = spark.range(1000).select((F.col("id") % 100).alias("k"), F.col("id").alias(name))
-        loads.write_bucketed(df, f"bucketed.{name}", "k", 4)
+        assert loads.write_bucketed(df, f"bucketed.{name}", "k", 4)
     right = spark.table("bucketed.r").groupBy("k").agg(F.sum("r").alias("r"))
     joined = spark.table("bucketed.l").hint("merge").join(right, "k")
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 1000
+    hot = spark.range(1000).select(F.when(F.col("id") % 3 > 0, -1).otherwise(F.col("id")).alias("k"))
+    assert not loads.write_bucketed(hot, "bucketed.hot", "k", 4)
+    assert spark.table("bucketed.hot").count() == 1000
+
+
+def test_replace_partitions_leaves_the_others(spark, tmp_path):
+    target = f"{tmp_path}/t"
+    loads.replace_partitions(spark.range(10).select("id", (F.col("id") % 2).alias("p")), target, ["p"])
+    loads.replace_partitions(spark.range(1).select(F.lit(99).cast("long").alias("id"), F.lit(1).cast("long").alias("p")), target, ["p"])
+    assert rows_of(spark.read.parquet(target).select("id")) == [(i,) for i in (0, 2, 4, 6, 8, 99)]
+
+
+def test_shuffles_are_sized_from_the_input(spark):
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(100 * 2**30, 200) == 1600
+    assert shuffle_partitions(100 * 2**40, 200) == 20_000
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with sized_shuffles(spark, 2**30) as count:
+        assert count == 16 and spark.conf.get(setting) == "16"
+    assert spark.conf.get(setting, None) is None
 
 
 # --- ingest ---------------------------------------------------------------------------------------------------
