@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[str], order: list[str] | None = None) -> DataFrame:
+def latest_per_key(
+    df: DataFrame, keys: list[str], newest_first: list[str], order: list[str] | None = None
+) -> DataFrame:
     """Keep, per key, the row that is last by ``newest_first``; rows with a NULL key form one group.
 
     Remaining ties are broken by ``order`` (default: every other column), so the survivor does not depend on how

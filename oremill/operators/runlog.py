@@ -75,7 +75,9 @@ def restart_set(log: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
     return failed.join(active_tasks(metadata).select(*TASK), TASK, "left_semi").select(*failed.columns)
 
 
-def tasks_to_start(log: DataFrame, metadata: DataFrame, job_name: str, parent_run_id: str, grouping_id: str = "") -> DataFrame:
+def tasks_to_start(
+    log: DataFrame, metadata: DataFrame, job_name: str, parent_run_id: str, grouping_id: str = ""
+) -> DataFrame:
     """The metadata rows of the tasks one run has to start.
 
     A run without log rows, or without failures among its own tasks, starts all of its active tasks; after a failure
@@ -84,9 +86,9 @@ def tasks_to_start(log: DataFrame, metadata: DataFrame, job_name: str, parent_ru
     tasks = active_tasks(metadata, job_name, grouping_id)
     run = log.filter((F.col("job_name") == job_name) & (F.col("parent_run_id") == parent_run_id))
     own_failures = run.filter(F.col("status") == FAILED).join(tasks.select("task_name"), "task_name", "left_semi")
-    if own_failures.isEmpty():
-        return tasks
-    return tasks.join(restart_set(run).select("task_name"), "task_name", "left_semi").select(*tasks.columns)
+    after_failure = own_failures.agg((F.count(F.lit(1)) > 0).alias("failed")).scalar()
+    again = restart_set(run).select("task_name", F.lit(True).alias("_again"))
+    return tasks.join(again, "task_name", "left").filter(F.col("_again") | ~after_failure).select(*tasks.columns)
 
 
 def not_started_rows(tasks: DataFrame, job_id: str, parent_run_id: str) -> DataFrame:

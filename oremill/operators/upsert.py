@@ -1,7 +1,7 @@
 """Upserts as DataFrame algebra: target and source in, new state out.
 
 Contract, as for a MERGE: source keys are unique; target rows missing from the source stay; a NULL key matches
-nothing.  :func:`key_violations` finds rows that break it, and the commit functions refuse such a source.
+nothing.  :func:`key_violations` finds rows that break it, and a versioned table refuses such a source.
 """
 
 from __future__ import annotations
@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oremill.operators.dedup import latest_per_key
-from oremill.sinks.loads import materialize
-from oremill.sinks.versions import VersionedTable
 
 FIRST_MERGE_WATERMARK = "1990-01-01 00:00:00"
 
@@ -91,23 +89,3 @@ def upsert_since_watermark(
     fresh = build(fresh) if build else fresh
     newest = [merge_column] if merge_column and merge_column in fresh.columns else []
     return upsert(target, latest_per_key(fresh.select(*target.columns), keys, newest), keys)
-
-
-def commit_upsert(
-    table: VersionedTable,
-    source: DataFrame,
-    keys: list[str],
-    update: list[str] | None = None,
-    mark: str | None = None,
-) -> int:
-    """Upsert into a versioned table; the first commit stores the source as it is.  Returns the new version.
-
-    The source is stored first, since it is read by the check and by the upsert.
-    """
-    source = materialize(source, "upsert-source")
-    broken = key_violations(source, keys).limit(3).collect()
-    if broken:
-        raise ValueError(f"upsert source has repeated or NULL keys, e.g. {[r.asDict() for r in broken]}")
-    version = table.current()
-    state = source if version is None else upsert(table.read(version), source, keys, update)
-    return table.commit(state, mark)

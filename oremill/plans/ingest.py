@@ -85,7 +85,8 @@ def run_ingest(spark: SparkSession, spec: IngestSpec, log_path: str, ids: RunIds
         if spec.latest_only and not spec.all_files:
             files = files.join(latest_file(files).select("path"), "path", "left_semi").select(*files.columns)
         files = materialize(files, "new-files")
-        taken = files.agg(F.count(F.lit(1)).alias("files"), F.max(F.struct("modified", "name", "path")).alias("last")).first()
+        last_file = F.max(F.struct("modified", "name", "path"))
+        taken = files.agg(F.count(F.lit(1)).alias("files"), last_file.alias("last")).first()
         counts = (None, None)
         if taken["files"]:
             if spec.all_files:

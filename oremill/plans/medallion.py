@@ -14,7 +14,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.config import Environment
-from oremill.operators.upsert import commit_upsert, merge_increment
+from oremill.operators.upsert import merge_increment
 from oremill.plans import gold
 from oremill.plans.silver import CLEANERS
 from oremill.schemas import BRONZE, KEYS, payload
@@ -22,7 +22,7 @@ from oremill.session import sized_shuffles
 from oremill.sinks.loads import materialize
 from oremill.sinks.versions import VersionedTable
 from oremill.sources.manifest import file_manifest
-from oremill.streaming.incremental import ingest_new_files
+from oremill.streaming.incremental import INGEST_DATE, ingest_new_files
 
 # The silver tables each mart is built from.
 SOURCES = {
@@ -58,20 +58,22 @@ def refresh_silver_table(
     """Bring one silver table up to its bronze table; the new version, or None if nothing was new.
 
     New bronze rows are later than all cleaned before, so a cleaned new row replaces the old row of its key, and the
-    result is that of cleaning all of bronze.  Bronze files without new rows are skipped by their statistics, and
-    the stored table is passed through once, not shuffled, when Spark finds the new keys small enough to broadcast.
+    result is that of cleaning all of bronze.  Of bronze only the partitions since the last refresh are read, and the
+    stored table is passed through once, not shuffled, when Spark finds the new keys small enough to broadcast.
     """
     target = silver_table(spark, env, table)
+    commit = target.latest()
     bronze = spark.read.parquet(env.table_path("bronze", table))
+    if commit and not full:
+        mark = F.timestamp_micros(F.lit(int(commit["mark"])))
+        bronze = bronze.filter((F.col(INGEST_DATE) >= F.to_date(mark)) & (F.col("ingest_ts") > mark))
     newest = bronze.agg(F.unix_micros(F.max("ingest_ts")).alias("newest")).first()["newest"]
-    commit = target.latest()
-    if newest is None or (commit and not full and int(commit["mark"]) >= newest):
+    if newest is None:
         return None
-    rows = bronze.filter(F.col("ingest_ts") <= F.timestamp_micros(F.lit(newest)))
+    rows = bronze.filter(F.col("ingest_ts") <= F.timestamp_micros(F.lit(newest))).select(*BRONZE[table].names)
     if commit is None or full:
         return target.commit(CLEANERS[table](rows, at), str(newest))
-    fresh = rows.filter(F.col("ingest_ts") > F.timestamp_micros(F.lit(int(commit["mark"]))))
-    increment = materialize(CLEANERS[table](fresh, at), f"silver-{table}")
+    increment = materialize(CLEANERS[table](rows, at), f"silver-{table}")
     return target.commit(merge_increment(target.read(), increment, [KEYS[table]]), str(newest))
 
 
@@ -117,7 +119,7 @@ def refresh_gold(
         "category_sales": lambda: gold.sales_per_category(products.filter("category IS NOT NULL"), per_product),
     }
     return {
-        mart: commit_upsert(targets[mart], build[mart](), [KEYS[mart]], mark=marks[mart]) if mart in stale else None
+        mart: targets[mart].upsert(build[mart](), [KEYS[mart]], mark=marks[mart]) if mart in stale else None
         for mart in SOURCES
     }
 

@@ -118,7 +118,7 @@ def payload(schema: T.StructType) -> T.StructType:
 
 
 def declare_layer(spark: SparkSession, layer: str, prefix: str = "", location: str | None = None) -> list[str]:
-    """Create the database (kept under ``location``, if given) and empty tables of one layer; returns the table names."""
+    """Create the database (under ``location``, if given) and empty tables of one layer; returns the table names."""
     database = f"{prefix}{layer}"
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{place}")

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from oremill.operators.upsert import key_violations, upsert
 from oremill.schemas import declared
-from oremill.sinks.loads import ensure, overwrite
+from oremill.sinks.loads import ensure, materialize, overwrite
 
 LOG = declared("version INT, row_count BIGINT, mark STRING, committed_ts TIMESTAMP")
 
@@ -54,3 +55,18 @@ class VersionedTable:
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
         return number
+
+    def upsert(
+        self, source: DataFrame, keys: list[str], update: list[str] | None = None, mark: str | None = None
+    ) -> int:
+        """Commit the current state with ``source`` upserted into it; the first commit stores the source as it is.
+
+        Repeated or NULL keys are refused.  The source is stored first, since the check and the upsert both read it.
+        """
+        source = materialize(source, "upsert-source")
+        broken = key_violations(source, keys).limit(3).collect()
+        if broken:
+            raise ValueError(f"upsert source has repeated or NULL keys, e.g. {[r.asDict() for r in broken]}")
+        version = self.current()
+        state = source if version is None else upsert(self.read(version), source, keys, update)
+        return self.commit(state, mark)

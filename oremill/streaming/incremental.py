@@ -9,6 +9,10 @@ from pyspark.sql.types import StructType
 from oremill.functions import file_name, file_timestamp
 
 
+# The partition column of ingested tables: a refresh reads only the days since the last one.
+INGEST_DATE = "ingest_date"
+
+
 def file_stream(
     spark: SparkSession, landing: str, schema: StructType, files_per_batch: int | None = None, **options: str
 ) -> DataFrame:
@@ -39,11 +43,13 @@ def ingest_new_files(
     it stopped, with nothing lost or doubled.  The number covers as many batches as the session keeps reports of
     (``spark.sql.streaming.numRecentProgressUpdates``).
     """
-    stream = file_stream(spark, landing, schema, files_per_batch).withColumn(
-        "ingest_ts", F.current_timestamp() if at is None else at
+    ingested = F.current_timestamp() if at is None else at
+    stream = file_stream(spark, landing, schema, files_per_batch).withColumns(
+        {"ingest_ts": ingested, INGEST_DATE: F.to_date(ingested)}
     )
     query = (
         stream.writeStream.format("parquet")
+        .partitionBy(INGEST_DATE)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

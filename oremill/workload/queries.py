@@ -210,7 +210,7 @@ def snapshot_read(spark, sf_dir):
     table = VersionedTable(spark, scratch_dir(spark, "mart"))
     first = table.commit(_stale_top_products(spark, sf_dir))
     mart = gold.top_products(_silver(spark, sf_dir, "products"), _silver(spark, sf_dir, "order_items"))
-    second = upsert.commit_upsert(table, mart, ["product_id"])
+    second = table.upsert(mart, ["product_id"])
     states = [table.read(n).withColumn("version", F.lit(n).cast("long")) for n in (first, second)]
     return states[0].unionByName(states[1])
 
@@ -227,9 +227,13 @@ def rename_columns(spark, sf_dir):
 def align_schema(spark, sf_dir):
     """Text columns cast to the declared types, in the declared order; a column too many is dropped."""
     loose = derive.orders(spark, sf_dir).select(
-        F.lit("dropped").alias("extra"), F.col("ingest_ts").alias("updated_ts"), F.col("OrderStatus").alias("order_status"),
-        F.col("OrderDate").alias("order_date"), F.col("CustomerID").alias("customer_id"), F.col("OrderID").alias("order_id"),
-    )
+        F.lit("dropped").alias("extra"),
+        F.col("ingest_ts").alias("updated_ts"),
+        F.col("OrderStatus").alias("order_status"),
+        F.col("OrderDate").alias("order_date"),
+        F.col("CustomerID").alias("customer_id"),
+        F.col("OrderID").alias("order_id"),
+    )
     return project.align_to_schema(loose, schemas.SILVER["orders"])
 
 
@@ -480,7 +484,7 @@ def ingest_incremental(spark, sf_dir):
                 spark, f"{root}/landing", schemas.payload(schemas.BRONZE["customers"]), f"{root}/bronze",
                 f"{root}/checkpoint", derive.stamp(),
             )
-    return spark.read.parquet(f"{root}/bronze").drop("FILE_NAME", "FILE_TS")
+    return spark.read.parquet(f"{root}/bronze").drop("FILE_NAME", "FILE_TS", "ingest_date")
 
 
 @query
@@ -490,8 +494,8 @@ def ingest_task(spark, sf_dir):
     landed = _land_feeds(spark, sf_dir)
     task = IngestSpec("retail", "orders", landed, f"{root}/bronze/orders")
     states = [run_ingest(spark, task, f"{root}/control", RunIds("J1", f"R{n}", f"T{n}")) for n in (1, 2)]
-    rows = spark.read.parquet(task.target_path).select("OrderID", "CustomerID", "OrderDate", "OrderStatus", _feed("FILE_NAME"))
-    return rows.withColumn("states", F.lit(" ".join(states)))
+    rows = spark.read.parquet(task.target_path).withColumn("states", F.lit(" ".join(states)))
+    return rows.select("OrderID", "CustomerID", "OrderDate", "OrderStatus", _feed("FILE_NAME"), "states")
 
 
 # --- loads ----------------------------------------------------------------------------------------------------
@@ -583,11 +587,11 @@ def _catalog_prefix() -> str:
 
 
 def _table_counts(spark: SparkSession, names: list[str], column: str) -> DataFrame:
-    counts = [
-        spark.table(name).agg(F.count(F.lit(1)).alias(column)).select(F.lit(name.split(".")[1]).alias("table_name"), column)
-        for name in names
-    ]
-    return reduce(DataFrame.union, counts)
+    def count(name: str) -> DataFrame:
+        counted = spark.table(name).agg(F.count(F.lit(1)).alias(column))
+        return counted.select(F.lit(name.split(".")[1]).alias("table_name"), column)
+
+    return reduce(DataFrame.union, [count(name) for name in names])
 
 
 @query
@@ -603,11 +607,13 @@ def schema_conformance(spark, sf_dir):
     for table, schema in schemas.SILVER.items():
         rows = _silver(spark, sf_dir, table)
         counts = rows.agg(*[F.count(f.name).alias(f.name) for f in schema.fields])
+        found = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
         entries = [
-            F.struct(F.lit(f.name).alias("column_name"), F.lit(rows.schema[f.name].dataType.simpleString()).alias("data_type"),
-                     F.col(f.name).alias("filled"))
-            for f in schema.fields
-        ]
+            F.struct(
+                F.lit(name).alias("column_name"), F.lit(found[name]).alias("data_type"), F.col(name).alias("filled")
+            )
+            for name in schema.names
+        ]
         parts.append(counts.select(F.lit(table).alias("table_name"), F.explode(F.array(*entries)).alias("e")))
     return reduce(DataFrame.union, parts).select("table_name", "e.column_name", "e.data_type", "e.filled")
 

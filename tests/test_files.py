@@ -32,7 +32,8 @@ def rows_of(df):
 
 
 def test_declared_schema_is_matched_by_position(spark, tmp_path):
-    write(tmp_path / "Products.csv", ["ProductID,ProductName,Category,Brand,UnitPrice", '"P-1","Pen","A","B","9.5"', "P-2,Pot"])
+    lines = ["ProductID,ProductName,Category,Brand,UnitPrice", '"P-1","Pen","A","B","9.5"', "P-2,Pot"]
+    write(tmp_path / "Products.csv", lines)
     df = delimited.read_with_schema(spark, str(tmp_path), schemas.BRONZE["products"])
     assert df.columns == schemas.BRONZE["products"].names
     assert rows_of(df) == [("P-1", "Pen", "A", "B", "9.5", None), ("P-2", "Pot", None, None, None, None)]
@@ -174,7 +175,8 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
 def test_replace_partitions_leaves_the_others(spark, tmp_path):
     target = f"{tmp_path}/t"
     loads.replace_partitions(spark.range(10).select("id", (F.col("id") % 2).alias("p")), target, ["p"])
-    loads.replace_partitions(spark.range(1).select(F.lit(99).cast("long").alias("id"), F.lit(1).cast("long").alias("p")), target, ["p"])
+    odd = spark.range(99, 100).select("id", F.lit(1).cast("long").alias("p"))
+    loads.replace_partitions(odd, target, ["p"])
     assert rows_of(spark.read.parquet(target).select("id")) == [(i,) for i in (0, 2, 4, 6, 8, 99)]
 
 

@@ -51,7 +51,8 @@ def test_file_lineage(spark):
         None,
     ]
     assert evaluate(spark, paths, file_name) == [
-        "landing/retail/orders/Orders_20240101.csv", "/a/Plain.csv", "x/y_z/Plain.csv", "Orders_a_20240102.csv.gz", None,
+        "landing/retail/orders/Orders_20240101.csv", "/a/Plain.csv", "x/y_z/Plain.csv", "Orders_a_20240102.csv.gz",
+        None,
     ]
     assert evaluate(spark, paths, file_timestamp) == ["20240101", None, None, "20240102.csv", None]
 
@@ -76,14 +77,16 @@ def test_procedure_message(spark):
         r[0]
         for r in df.select(
             procedure_message(
-                F.col("kind"), F.col("message"), F.lit("p"), F.lit(3), F.lit("inserted"), F.lit("t"), F.lit(7), F.lit(1.5)
+                F.col("kind"), F.col("message"), F.lit("p"), F.lit(3), F.lit("inserted"), F.lit("t"), F.lit(7),
+                F.lit(1.5),
             )
         ).collect()
     ]
     assert texts == [
         "Sql_seq: 3, No of records inserted in the  t table is 7",
         "Success.Minutes to execute  sp: 1.50",
-        "Procedure Failed : p at the transaction no : 3, while doing  inserted for the table t,  Error_description : boom",
+        "Procedure Failed : p at the transaction no : 3, while doing  inserted for the table t,"
+        "  Error_description : boom",
         "kept",
         "",
     ]

@@ -10,6 +10,7 @@ from oremill.operators import dedup, project, runlog, upsert
 from oremill.plans import gold, silver
 from oremill.schemas import BRONZE, SILVER
 from oremill.sinks.versions import VersionedTable
+from oremill.workload import derive
 
 DAY = datetime(2024, 1, 1)
 
@@ -67,7 +68,10 @@ def test_rank_within_is_row_number(spark):
 
 
 def test_align_orders_casts_and_drops(spark):
-    df = spark.createDataFrame([("7", "x", "o1", "i1", "1.5")], "quantity STRING, extra STRING, order_id STRING, order_item_id STRING, price_per_unit STRING")
+    df = spark.createDataFrame(
+        [("7", "x", "o1", "i1", "1.5")],
+        "quantity STRING, extra STRING, order_id STRING, order_item_id STRING, price_per_unit STRING",
+    )
     ready = df.withColumns({"product_id": F.lit("p"), "updated_ts": F.lit(DAY)})
     aligned = project.align_to_schema(ready, SILVER["order_items"])
     assert [(f.name, f.dataType) for f in aligned.schema] == [(f.name, f.dataType) for f in SILVER["order_items"]]
@@ -114,10 +118,20 @@ def sales(spark):
 
 def test_daily_sales_counts_orders_and_skips_null_amounts(sales):
     _, _, orders, items = sales
-    got = {str(r["order_date"]): (r["total_orders"], r["total_sales"]) for r in gold.daily_sales(orders, items).collect()}
+    days = gold.daily_sales(orders, items).collect()
+    got = {str(r["order_date"]): (r["total_orders"], r["total_sales"]) for r in days}
     assert got == {"2024-01-01": (2, 3.0), "2024-01-02": (1, 4.0), "None": (1, 2.0)}
 
 
+def test_daily_sales_add_up_to_their_input(spark, sf_dir):
+    orders = silver.silver_orders(derive.orders(spark, sf_dir))
+    items = silver.silver_order_items(derive.order_items(spark, sf_dir))
+    amounts = items.join(orders, "order_id").agg(F.sum(F.col("quantity") * F.col("price_per_unit"))).first()[0]
+    days = gold.daily_sales(orders, items).agg(F.sum("total_orders"), F.sum("total_sales")).first()
+    assert days[0] == orders.join(items, "order_id", "left_semi").count()
+    assert days[1] == pytest.approx(amounts)
+
+
 def test_lifetime_value_drops_unknown_and_idle_customers(sales):
     customers, _, orders, items = sales
     assert rows_of(gold.customer_lifetime_value(customers, orders, items)) == [("c1", "Ann", 2, 3.0)]
@@ -152,7 +166,9 @@ def test_stored_window_prunes_items_by_a_bloom_filter(spark, tmp_path):
         F.date_add(F.lit(DAY.date()), (F.col("id") % 100).cast("int")).alias("order_date"),
     )
     items = spark.range(4000).select(
-        (F.col("id") % 1000).cast("string").alias("order_id"), F.lit(1).alias("quantity"), F.lit(1.0).alias("price_per_unit")
+        (F.col("id") % 1000).cast("string").alias("order_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(1.0).alias("price_per_unit"),
     )
     for name, df in (("orders", orders), ("items", items)):
         df.write.parquet(f"{tmp_path}/{name}")
@@ -211,18 +227,18 @@ def test_commit_refuses_bad_keys(spark, states, tmp_path):
     target, source = states
     table = VersionedTable(spark, f"{tmp_path}/t")
     with pytest.raises(ValueError, match="NULL keys"):
-        upsert.commit_upsert(table, source, ["k"])
+        table.upsert(source, ["k"])
     twice = source.filter("k = 'b'")
     with pytest.raises(ValueError, match="repeated"):
-        upsert.commit_upsert(table, twice.union(twice), ["k"])
+        table.upsert(twice.union(twice), ["k"])
     assert table.current() is None
 
 
 def test_versions_can_be_read_back(spark, states, tmp_path):
     target, source = (df.filter("k IS NOT NULL") for df in states)
     table = VersionedTable(spark, f"{tmp_path}/t")
-    assert upsert.commit_upsert(table, target, ["k"], mark="m1") == 1
-    assert upsert.commit_upsert(table, source, ["k"]) == 2
+    assert table.upsert(target, ["k"], mark="m1") == 1
+    assert table.upsert(source, ["k"]) == 2
     assert rows_of(table.read(1)) == rows_of(target)
     assert rows_of(table.read()) == [("a", 1, "x"), ("b", 20, "B"), ("c", 30, None)]
     assert [(r["version"], r["row_count"], r["mark"]) for r in table.history().orderBy("version").collect()] == [
