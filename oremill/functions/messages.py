@@ -42,6 +42,7 @@ def procedure_message(
     A message already given is kept for progress and success; a failure always names the step.
     """
     kind = F.lower(F.trim(log_type))
+    # The wording, blanks included.
     progress = F.concat(
         F.lit("Sql_seq: "), sequence.cast("string"), F.lit(", No of records "), action, F.lit(" in the  "), table,
         F.lit(" table is "), row_count.cast("string"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from oremill.functions import elapsed_minutes, hours_minutes_seconds, reconcile_message, run_message
 from oremill.operators.dedup import latest_per_key, rank_within
+from oremill.schemas import CONTROL
 from oremill.sources.manifest import FIRST_WATERMARK
 
 # The states of a task.
@@ -124,15 +125,22 @@ def task_state_latest(log: DataFrame) -> DataFrame:
     return latest_per_key(log, [*RUN, "task_name"], ["execution_start_ts"], ["task_run_id"])
 
 
+def as_run_log(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Rows in the declared form of the run log; columns without a value are NULL."""
+    fields = CONTROL["task_run_log"].fields
+    return rows.select(
+        *[values.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name) for f in fields]
+    )
+
+
 def run_log_rows(log: DataFrame, at: Column | None = None) -> DataFrame:
     """Run-log rows for finished loads: the message with its class, and the counts in and out."""
-    created = F.current_timestamp() if at is None else at
-    return reconcile(log).select(
-        "job_id", "parent_run_id", "task_run_id", F.lit(None).cast("string").alias("procedure_name"),
-        created.alias("create_dt"), run_message(F.col("load_status"), F.col("load_message")).alias("primary_message"),
-        F.col("source_count").cast("decimal(38,0)").alias("records_in"),
-        F.col("target_count").cast("decimal(38,0)").alias("records_out"),
-    )
+    return as_run_log(reconcile(log), {
+        "job_id": F.col("job_id"), "parent_run_id": F.col("parent_run_id"), "task_run_id": F.col("task_run_id"),
+        "create_dt": F.current_timestamp() if at is None else at,
+        "primary_message": run_message(F.col("load_status"), F.col("load_message")),
+        "records_in": F.col("source_count"), "records_out": F.col("target_count"),
+    })
 
 
 def run_report(log: DataFrame) -> DataFrame:

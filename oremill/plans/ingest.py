@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oremill.config import IngestSpec
+from oremill.config import IngestSpec, is_yes
 from oremill.functions import file_name, file_timestamp
 from oremill.functions.messages import files_message, reconcile_message, run_message
-from oremill.operators.runlog import COMPLETED, FAILED, INITIATED, watermark_per_task
+from oremill.operators.runlog import COMPLETED, FAILED, INITIATED, as_run_log, watermark_per_task
 from oremill.schemas import CONTROL
 from oremill.sinks.loads import append, ensure, load, materialize
 from oremill.sources.delimited import skip_leading_rows
@@ -25,6 +25,16 @@ class RunIds:
     task_run_id: str
 
 
+# The kinds of metadata rows that ingest files.
+FILE_TASKS = ("ADLS_TO_RAW", "ADLS_TO_REFINED", "ADLS_TO_CONSUMED")
+
+
+def task_specs(tasks: DataFrame, root: str) -> list[IngestSpec]:
+    """The specs of the file-ingest tasks among the metadata rows one run has to start: the few tasks of a job."""
+    rows = tasks.filter(F.upper("transformation_type").isin(*FILE_TASKS)).orderBy("task_name").toLocalIterator()
+    return [IngestSpec.from_metadata(row, root) for row in rows if not is_yes(row["execute_child_notebook"])]
+
+
 def task_watermark(log: DataFrame, spec: IngestSpec) -> datetime | None:
     """The newest completed ``filter_end_ts`` of one task, one value; None before its first run."""
     own = log.filter((F.col("job_name") == spec.job_name) & (F.col("task_name") == spec.task_name))
@@ -121,12 +131,10 @@ def _log_state(spark: SparkSession, log_path: str, values: dict) -> None:
     append(row.coalesce(1), f"{log_path}/task_control")
 
 
-def _log_message(spark: SparkSession, log_path: str, ids: RunIds, message, counts: tuple) -> None:
+def _log_message(spark: SparkSession, log_path: str, ids: RunIds, message: Column, counts: tuple) -> None:
     known = {
         "job_id": F.lit(ids.job_id), "parent_run_id": F.lit(ids.parent_run_id), "task_run_id": F.lit(ids.task_run_id),
         "create_dt": F.current_timestamp(), "primary_message": message,
         "records_in": F.lit(counts[0]), "records_out": F.lit(counts[1]),
     }
-    fields = CONTROL["task_run_log"].fields
-    row = spark.range(1).select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
-    append(row.coalesce(1), f"{log_path}/task_run_log")
+    append(as_run_log(spark.range(1).coalesce(1), known), f"{log_path}/task_run_log")

@@ -214,6 +214,12 @@ _BODIES = {
     "upsert_since_watermark": f"""
         SELECT * REPLACE (strftime(ingest_ts, {ISO}) AS ingest_ts) FROM raw_customers
         QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY ingest_ts DESC) = 1""",
+    "upsert_table_load": f"""
+        SELECT * REPLACE (strftime(ingest_ts, {ISO}) AS ingest_ts),
+               (SELECT count(*) FROM raw_customers WHERE ingest_ts < TIMESTAMP '2024-01-03 00:00:00') AS load_1,
+               (SELECT count(*) FROM raw_customers WHERE ingest_ts >= TIMESTAMP '2024-01-03 00:00:00') AS load_2,
+               CAST(0 AS BIGINT) AS load_3
+        FROM raw_customers QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY ingest_ts DESC) = 1""",
     "merge_increment": "SELECT * FROM new_products",
     "snapshot_read": """
         SELECT *, CAST(1 AS BIGINT) AS version FROM old_products

@@ -20,6 +20,7 @@ from oremill.config import IngestSpec, environment
 from oremill.operators import dedup, project, runlog, upsert
 from oremill.plans import gold, medallion, silver
 from oremill.plans.ingest import RunIds, run_ingest
+from oremill.plans.table_load import upsert_table
 from oremill.session import scratch_dir
 from oremill.sinks import loads
 from oremill.sinks.versions import VersionedTable
@@ -184,6 +185,16 @@ def upsert_since_watermark(spark, sf_dir):
     return upsert.upsert_since_watermark(stored, records, ["CustomerID"], "ingest_ts")
 
 
+@query
+def upsert_table_load(spark, sf_dir):
+    """A versioned table brought forward twice from a growing source; the third load finds nothing new."""
+    records = derive.customers(spark, sf_dir)
+    table = VersionedTable(spark, scratch_dir(spark, "customers"))
+    early = records.filter(F.col("ingest_ts") < F.lit("2024-01-03").cast("timestamp"))
+    counts = [upsert_table(rows, table, ["CustomerID"], "ingest_ts") for rows in (early, records, records)]
+    return table.read().select("*", *[F.lit(r.source_count).cast("long").alias(f"load_{n}") for n, r in enumerate(counts, 1)])
+
+
 @query
 def merge_increment(spark, sf_dir):
     stored = _stale_top_products(spark, sf_dir)

@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from oremill import schemas
 from oremill.config import IngestSpec, environment
 from oremill.plans import medallion
-from oremill.plans.ingest import RunIds, run_ingest
+from oremill.plans.ingest import RunIds, run_ingest, task_specs
 from oremill.plans.silver import CLEANERS
+from oremill.plans.table_load import load_table, upsert_table
 from oremill.session import shuffle_partitions, sized_shuffles
 from oremill.sinks import loads
+from oremill.sinks.versions import VersionedTable
 from oremill.sources import delimited, manifest
 from oremill.streaming.incremental import ingest_new_files
 
@@ -258,6 +260,37 @@ def test_spec_from_metadata(spark):
     )
 
 
+def test_task_specs_are_the_file_tasks(spark):
+    schema = schemas.CONTROL["ingest_metadata"]
+    base = {"job_name": "j", "source_file_extension": "csv", "source_adls_path": "in", "target_schema": "s"}
+    rows = [
+        {**base, "task_name": "a", "transformation_type": "adls_to_raw"},
+        {**base, "task_name": "b", "transformation_type": "ADLS_TO_RAW", "execute_child_notebook": " y"},
+        {**base, "task_name": "c", "transformation_type": "RAW_TO_REFINED"},
+        {**base, "task_name": "d", "transformation_type": None},
+    ]
+    tasks = spark.createDataFrame([tuple(r.get(n) for n in schema.names) for r in rows], schema)
+    assert [s.task_name for s in task_specs(tasks, "/lake")] == ["a"]
+
+
+def test_table_loads(spark, tmp_path):
+    schema = "k STRING, ts TIMESTAMP, v INT"
+    first = spark.createDataFrame([("a", T0, 1), ("b", T0, 2)], schema)
+    later = T0 + timedelta(days=1)
+    source = spark.createDataFrame([("a", T0, 9), ("b", later, 3), ("c", later, 4)], schema)
+    table = VersionedTable(spark, f"{tmp_path}/v")
+    assert upsert_table(first, table, ["k"], "ts").target_count == 2
+    assert upsert_table(source, table, ["k"], "ts").source_count == 2
+    assert rows_of(table.read().select("k", "v")) == [("a", 1), ("b", 3), ("c", 4)]
+    assert upsert_table(source, table, ["k"], "ts").target_count == 0
+    assert table.current() == 2
+    assert upsert_table(source, table, ["k"]).source_count == 3
+    assert rows_of(table.read().select("k", "v")) == [("a", 9), ("b", 3), ("c", 4)]
+    load_table(source, f"{tmp_path}/t", "OVERWRITE", lambda df: df.groupBy().agg(F.sum("v").alias("v")))
+    load_table(source, f"{tmp_path}/t", "APPEND", lambda df: df.select(F.col("v").cast("long").alias("v")))
+    assert rows_of(spark.read.parquet(f"{tmp_path}/t")) == [(16,), (3,), (4,), (9,)]
+
+
 def test_stream_takes_each_file_once(spark, tmp_path):
     schema = schemas.payload(schemas.BRONZE["orders"])
     places = (f"{tmp_path}/in", schema, f"{tmp_path}/out", f"{tmp_path}/cp")
