@@ -114,7 +114,7 @@ def task_control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").selectExpr(
         "event_type AS job_name",
         "concat('J-', event_type) AS job_id",
-        "concat('R', event_id % 50) AS parent_run_id",
+        "concat('R', event_id div 100) AS parent_run_id",
         "concat('T', user_id % 20) AS task_name",
         "CAST(event_id AS STRING) AS task_run_id",
         "CAST(NULL AS TIMESTAMP) AS filter_start_ts",

@@ -103,7 +103,7 @@ old_ltv AS (
   SELECT customer_id, '?' AS full_name, CAST(0 AS BIGINT) AS total_orders, CAST(0 AS DOUBLE) AS lifetime_value
   FROM s_customers WHERE signup_date IS NOT NULL),
 task_log AS (
-  SELECT event_type AS job_name, 'J-' || event_type AS job_id, 'R' || (event_id % 50) AS parent_run_id,
+  SELECT event_type AS job_name, 'J-' || event_type AS job_id, 'R' || (event_id // 100) AS parent_run_id,
          'T' || (user_id % 20) AS task_name, CAST(event_id AS VARCHAR) AS task_run_id, ts AS filter_end_ts,
          ts AS execution_start_ts, ts + to_seconds(event_id % 7200) AS execution_end_ts,
          event_id % 7200 AS seconds, CAST(event_id % 1000 AS INTEGER) AS source_count,
@@ -272,8 +272,8 @@ _BODIES = {
           AND EXISTS (SELECT 1 FROM active a WHERE a.job_name = l.job_name AND a.task_name = l.task_name)""",
     "tasks_to_start": """
         SELECT * FROM (
-          WITH own AS (SELECT * FROM active WHERE job_name = 'click' AND grouping_id = 'G1'),
-               run AS (SELECT * FROM task_log WHERE job_name = 'click' AND parent_run_id = 'R7'),
+          WITH own AS (SELECT * FROM active WHERE job_name = 'error' AND grouping_id = 'G1'),
+               run AS (SELECT * FROM task_log WHERE job_name = 'error' AND parent_run_id = 'R1'),
                only_failed AS (SELECT task_name FROM run GROUP BY task_name HAVING bool_and(status = 'FAILED'))
           SELECT * FROM own
           WHERE task_name IN (SELECT task_name FROM only_failed)

@@ -313,7 +313,7 @@ def restart_set(spark, sf_dir):
 @query
 def tasks_to_start(spark, sf_dir):
     log, tasks = derive.task_control(spark, sf_dir), derive.task_metadata(spark, sf_dir)
-    return runlog.tasks_to_start(log, tasks, "click", "R7", "G1")
+    return runlog.tasks_to_start(log, tasks, "error", "R1", "G1")
 
 
 @query
