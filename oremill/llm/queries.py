@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oremill.llm import bpe, token_counts
+from oremill.llm import bpe, lang_id, token_counts, toxicity
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -24,4 +24,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.limits(table(spark, sf_dir, "documents"), public_tokenizers.path(SPEC))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op6_token_counts)}
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_id.predictions(spark, table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op6_token_counts, op7_toxicity, op9_language_id)}
