@@ -3,3 +3,18 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op8_warc"] = """
+WITH digested AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), owners AS (
+    SELECT payload_digest, max(page_id) AS owner FROM digested WHERE payload_bytes >= 1000 GROUP BY payload_digest
+), typed AS (
+    SELECT d.*, CASE WHEN owner IS NOT NULL AND owner IS DISTINCT FROM page_id THEN owner END AS refers_to
+    FROM digested d LEFT JOIN owners o ON o.payload_digest = d.payload_digest AND d.payload_bytes >= 1000
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM typed
+"""

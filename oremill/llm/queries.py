@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oremill.llm import bpe, lang_id, token_counts, toxicity
+from oremill.llm import bpe, html_extract, lang_id, token_counts, toxicity, warc
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -28,8 +28,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.predictions(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(spark, table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.predictions(spark, table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op6_token_counts, op7_toxicity, op9_language_id)}
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op6_token_counts, op7_toxicity, op8_warc, op9_language_id, op10_html_extraction)}
