@@ -18,3 +18,20 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
 FROM typed
 """
+
+#: Lists of doubles; links are symmetric, and the closure follows them to the smallest id.
+ORACLE["op3_embedding_dedup"] = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93
+), reached AS (
+    SELECT a AS vec_id, a AS other FROM links UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), roots AS (SELECT vec_id, min(other) AS root FROM reached GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(root, e.vec_id) AS component_id, coalesce(root, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
