@@ -24,7 +24,7 @@ from oremill.llm.common import blocks
 from oremill.llm.pretokens import split
 
 #: Pre-tokens and token pairs remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 class Vocabulary:
@@ -33,6 +33,7 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = dict(zip(ranks.values(), ranks.keys(), strict=True))
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
         # A token that BPE makes of its own bytes is put together from two parts in its last merge.
         self.parts = {rank: self._last_merge(token) for token, rank in ranks.items()}
@@ -63,7 +64,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) >= 5 * REMEMBERED:
+            if len(self._pairs) >= 2 * REMEMBERED:
                 self._pairs.clear()
             known = self._pairs[key] = self._touch(left, right)
         return known
@@ -98,7 +99,11 @@ class Vocabulary:
         return known
 
     def encode(self, text: str) -> Iterator[int]:
-        return chain.from_iterable(map(self.piece, split(text)))
+        pieces = split(text)
+        found = list(map(self._pieces.get, pieces))
+        if None in found:
+            found = [self.piece(piece) if known is None else known for piece, known in zip(pieces, found, strict=True)]
+        return chain.from_iterable(found)
 
     def decode(self, tokens: Iterator[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, tokens))
@@ -134,9 +139,8 @@ class PrefixTable:
             end += offset
             if end <= here:  # found, or before the part to fill
                 continue
-            behind = end - size
-            if behind:
-                left = last[behind]
+            if end > size:
+                left = last[end - size]
                 fits = pairs.get(left << 32 | token)
                 if fits is None:
                     fits = follows(left, token)
@@ -144,7 +148,7 @@ class PrefixTable:
                     continue
             last.append(token)
             here = end
-            if old is not None and end > since:
+            if old and end > since:
                 same = same + 1 if old[end] == token else 0
                 if same >= vocab.longest:
                     last.extend(old[end + 1 :])
@@ -161,10 +165,11 @@ class PrefixTable:
 
     def tokens(self) -> list[int]:
         """The encoding of all of the bytes, read backwards from the last token."""
-        found, at = [], len(self.data)
+        found, at, sizes = [], len(self.data), self.vocabulary.sizes
         while at:
-            found.append(self.last[at])
-            at -= len(self.vocabulary.bytes_of[self.last[at]])
+            token = self.last[at]
+            found.append(token)
+            at -= sizes[token]
         return found[::-1]
 
 
