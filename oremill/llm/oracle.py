@@ -35,3 +35,32 @@ counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(root, e.vec_id) AS component_id, coalesce(root, e.vec_id) = e.vec_id AS kept
 FROM embeddings e LEFT JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
 """
+
+#: All windows of up to 20 lines with 20 characters, written out as text; the line break cannot stand inside a line.
+ORACLE["op2_line_dedup"] = """
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line
+    FROM documents WHERE text IS NOT NULL
+), kept AS (
+    SELECT doc_id, line, trim(raw) AS body, row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos FROM lines WHERE trim(raw) <> ''
+), grown AS (
+    SELECT doc_id, pos, m, array_to_string(list_slice(bodies, pos, pos + m - 1), chr(10)) AS body
+    FROM (SELECT doc_id, list(body ORDER BY pos) AS bodies FROM kept GROUP BY doc_id) d
+    JOIN kept k USING (doc_id), (SELECT unnest(range(1, 21)) AS m)
+    WHERE pos + m - 1 <= len(bodies)
+), windows AS (
+    SELECT doc_id, pos, m, body FROM grown WHERE length(replace(body, chr(10), '')) >= 20
+), later AS (
+    SELECT doc_id, pos, m FROM windows
+    QUALIFY row_number() OVER (PARTITION BY md5(body), m ORDER BY doc_id, pos) > 1
+), gone AS (
+    SELECT DISTINCT k.doc_id, k.line FROM later l JOIN kept k ON k.doc_id = l.doc_id AND k.pos BETWEEN l.pos AND l.pos + l.m - 1
+), left_over AS (
+    SELECT l.doc_id, string_agg(l.raw, chr(10) ORDER BY l.line) FILTER (g.line IS NULL) AS text,
+           count(*) FILTER (trim(l.raw) <> '') AS n_lines, count(g.line) AS n_deleted
+    FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.line = l.line GROUP BY l.doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(l.text, '') END AS text,
+       CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted
+FROM documents d LEFT JOIN left_over l USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oremill.llm import bpe, embed_dedup, html_extract, lang_id, minhash, token_counts, toxicity, warc
+from oremill.llm import bpe, decontam, embed_dedup, html_extract, lang_id, line_dedup, minhash, token_counts, toxicity, warc
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
@@ -20,10 +20,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduped(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -48,4 +56,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_texts(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_byte_bpe, op3_embedding_dedup, op5_minhash, op6_token_counts, op7_toxicity, op8_warc, op9_language_id, op10_html_extraction)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_line_dedup,
+        op3_embedding_dedup,
+        op4_decontamination,
+        op5_minhash,
+        op6_token_counts,
+        op7_toxicity,
+        op8_warc,
+        op9_language_id,
+        op10_html_extraction,
+    )
+}
