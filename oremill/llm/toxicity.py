@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oremill.llm.common import blocks, words
+from oremill.llm.common import blocks, stored, words
 from oremill.llm.lang_id import fold
 
 #: A classifier is fitted on about so many labelled rows, picked by a hash of their id.
-LABELLED_ROWS = 30_000
-#: A term needs this log-likelihood ratio, and these odds of standing in a toxic text against standing in a clean one.
+LABELLED_ROWS = 12_000
+#: A term needs this log-likelihood ratio, and these odds of a word of a toxic text against one of a clean text.
 LEAST_EVIDENCE, LEAST_ODDS = 20.0, 12.0
 #: Of beginnings of words: lengths, and different words that they must begin.
 STEM_LETTERS, STEM_WORDS = (4, 8), 3
@@ -194,7 +194,7 @@ def _quoted(before: str, after: str) -> bool:
     return (before.count(mark) % 2 == 1 and after.count(mark) > 0) if mark == '"' else mark in "“„«‹‘"
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _scorer(model: Model) -> Scorer:
     return Scorer(model)
 
@@ -212,23 +212,21 @@ def learn(spark: SparkSession, documents: DataFrame, labels: DataFrame, text: st
     share = min(1.0, LABELLED_ROWS / max(1, usable.count()))
     chosen = usable.where(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = documents.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
-    rows = rows.select("doc_id", "text", (F.col("toxic") == 1).alias("toxic")).persist()
-    try:
-        return _learn(rows)
-    finally:
-        rows.unpersist()
+    return _learn(stored(rows.select("text", (F.col("toxic") == 1).alias("toxic")), "labelled"))
 
 
 def _learn(rows: DataFrame) -> Model:
-    once = rows.select("toxic", F.explode(F.array_distinct(words(F.col("text")))).alias("word"), F.xxhash64("text").alias("at"))
-    toxic = lambda c: F.count_if(c)
-    totals = rows.groupBy(F.xxhash64("text")).agg(F.max("toxic").alias("toxic")).agg(toxic(F.col("toxic")).alias("t"), F.count(F.lit(1)).alias("n")).first()
-    n_toxic, n_clean = totals["t"], totals["n"] - totals["t"]
+    # In toxic texts a word counts once for each pair of words around it that clean texts do not have around it, so that
+    # copies and near copies of a toxic text add nothing; in clean texts every occurrence counts.
+    body = rows.select("toxic", words(F.col("text")).alias("w")).select("toxic", F.posexplode("w").alias("at", "word"), "w")
+    around = F.xxhash64(F.try_element_at("w", F.col("at")), F.col("word"), F.try_element_at("w", F.col("at") + 2))
+    seen = body.select("toxic", "word", F.when(F.col("at") == 0, F.xxhash64("w")).otherwise(around).alias("around"))
+    once = seen.groupBy("word", "around").agg(F.count_if(~F.col("toxic")).alias("c"))
+    counts = stored(once.groupBy("word").agg(F.count_if(F.col("c") == 0).alias("t"), F.sum("c").alias("c")), "words")
+    totals = counts.agg(F.sum("t").alias("t"), F.sum("c").alias("c")).first()
+    n_toxic, n_clean = totals["t"] or 0, totals["c"] or 0
     if not n_toxic or not n_clean:
         return Model()
-    # Copies of a text count once: the same word from the same text is one row.
-    seen = once.groupBy("word", "at").agg(F.max("toxic").alias("toxic"))
-    counts = seen.groupBy("word").agg(toxic(F.col("toxic")).alias("t"), toxic(~F.col("toxic")).alias("c")).persist()
     lengths = F.sequence(F.lit(STEM_LETTERS[0]), F.least(F.length("word") - 1, F.lit(STEM_LETTERS[1])))
     begun = counts.where(F.length("word") > STEM_LETTERS[0]).withColumn("length", F.explode(lengths))
     stems = begun.groupBy(F.expr("left(word, length)").alias("word")).agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count(F.lit(1)).alias("n"))
@@ -254,7 +252,6 @@ def _learn(rows: DataFrame) -> Model:
     # Words near a term that clean texts use as often as toxic ones are no misspellings.
     usual = counts.where((F.col("c") >= 1) & (F.col("c") * 3 * n_toxic >= F.col("t") * n_clean)).select("word")
     ordinary = frozenset(r["word"] for r in usual.mapInArrow(near, "word string").collect())
-    counts.unpersist()
     found = Model(terms, ordinary)
     context = _context(rows, found)
     found = Model(terms, ordinary, context)
