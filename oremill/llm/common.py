@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.session import scratch_dir
@@ -14,6 +15,11 @@ from oremill.session import scratch_dir
 BLOCK_BYTES = 8 * 1024 * 1024
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, unless a path is set for them already."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder of ``spark.checkpoint.dir`` and read it back: lost executors cost no rerun."""
     path = scratch_dir(df.sparkSession, f"llm-{label}")

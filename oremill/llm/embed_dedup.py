@@ -48,8 +48,8 @@ def _distinct(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = vectors.select("vec_id", "label", "embedding").where(_valid())
     h1, h2 = wide_hash(F.col("label"), F.col("embedding"))
     rows = rows.select("vec_id", F.struct(F.col("label").cast("string").alias("label"), F.size("embedding").alias("size")).alias("kind"), h1.alias("h1"), h2.alias("h2"), "embedding")
-    first = rows.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("kind").alias("kind"), F.first("embedding").alias("embedding"))
-    return stored(first, "vectors"), rows.select("vec_id", "h1", "h2")
+    first = rows.groupBy("h1", "h2").agg(F.min("vec_id").alias("vec_id"), F.count(F.lit(1)).alias("copies"), F.first("kind").alias("kind"), F.first("embedding").alias("embedding"))
+    return stored(first.withColumn("id", F.monotonically_increasing_id()), "vectors"), rows.select("vec_id", "h1", "h2")
 
 
 def _pivots(first: DataFrame) -> dict[tuple, np.ndarray]:
@@ -218,7 +218,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
     """One row per row of ``vec_id``, ``label`` and ``embedding``: its links, its component, and whether it is kept.
 
     Vectors of the same label and length link if the cosine of their angle, in double precision, is at least ``least``
-    (more than 0).  A null label links with nothing, nor does an embedding that is null, empty, all zeros or holds a null
+    (more than 0).  A component's id is the smallest ``vec_id`` in it; a null one is never the smallest.  A null label links with nothing, nor does an embedding that is null, empty, all zeros or holds a null
     or a number that is not finite; such a row is a component of its own.  Copies of a vector are joined as one and then
     counted; rows that repeat a ``vec_id`` count as vectors of their own.  Other columns are ignored.
     """
@@ -242,8 +242,10 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
     found = stored(_joined(grouped, least), "links")
     roots = components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")), "vectors")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    of_first = first.select("h1", "h2", "id", "copies").join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
-    answer = of_first.select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "id").alias("component_id"))
+    of_first = first.select("h1", "h2", "id", "vec_id", "copies").join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
+    of_first = of_first.withColumn("root", F.coalesce("root", "id"))
+    heads = of_first.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    answer = of_first.join(heads, "root").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = rows.join(answer, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     others = vectors.where(~_valid()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(others).select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -25,18 +25,18 @@ from oremill.llm.common import stored, wide_hash
 #: A repeated run is deleted if its lines have so many characters together.
 MIN_CHARS = 20
 
-_DOC = ["doc_id", "at"]
+_DOC = ["known", "id", "at"]
 
 
-def _at(text: Column) -> Column:
-    """Tells documents of one id apart."""
-    return F.xxhash64(text)
+def _document(text: str) -> list[Column]:
+    """A key of documents without nulls, in document order: null ids first, and a hash of the text for equal ids."""
+    return [F.col("doc_id").isNotNull().alias("known"), F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), F.xxhash64(F.col(text)).alias("at")]
 
 
 def _lines(documents: DataFrame, text: str) -> DataFrame:
     """The lines that are not blank: their document, place among these, place in the text, id and characters."""
     every = F.transform(F.split(F.col(text), "\n"), lambda line, n: F.struct(n.alias("line"), F.trim(line).alias("body")))
-    lines = documents.select("doc_id", _at(F.col(text)).alias("at"), F.posexplode(F.filter(every, lambda s: s["body"] != "")).alias("pos", "s"))
+    lines = documents.select(*_document(text), F.posexplode(F.filter(every, lambda s: s["body"] != "")).alias("pos", "s"))
     h1, h2 = wide_hash(F.col("s.body"))
     return lines.select(*_DOC, "pos", F.col("s.line").alias("line"), h1.alias("h1"), h2.alias("h2"), F.length("s.body").alias("chars"))
 
@@ -118,12 +118,11 @@ def dedup(spark: SparkSession, df: DataFrame, text: str = "text", min_chars: int
     by ``doc_id`` (null first), then by a hash of the text, then by line, stays as well.  Copies may overlap: of a line
     repeated ten times in a row one stays.  Null and empty texts stay as they are, and rows that repeat an id and a text
     are one document, treated alike.  Adds ``n_lines`` (not blank) and ``n_deleted``, replacing columns of these names and
-    of ``gone`` and ``at``; others pass through.
+    of ``gone``, ``known``, ``id`` and ``at``; others pass through.
     """
-    rest = [c for c in df.columns if c not in ("n_lines", "n_deleted", "gone", "at")]
-    rows = df.select(*rest, _at(F.col(text)).alias("at"))
-    gone = _deleted(df.select("doc_id", text), text, min_chars).select(F.col("doc_id").alias("_id"), F.col("at").alias("_at"), "gone")
-    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("at") == F.col("_at")), "left")
+    rest = [c for c in df.columns if c not in ("n_lines", "n_deleted", "gone", *_DOC)]
+    rows = df.select(*rest, *_document(text))
+    joined = rows.join(_deleted(df.select("doc_id", text), text, min_chars), _DOC, "left")
     lines = F.split(F.col(text), "\n")
     left = F.filter(lines, lambda line, n: ~F.array_contains("gone", n))
     counted = F.size(F.filter(lines, lambda line: F.trim(line) != ""))

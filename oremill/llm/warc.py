@@ -96,7 +96,8 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 class _Bundle:
     """A bundle being written: frames go out as they fill, the seek table at the end."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, frame_bytes: int):
+        self.frame_bytes = frame_bytes
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         system, path = fs.FileSystem.from_uri(self.path)
         self.out, self.compressor = system.open_output_stream(path, compression=None), zstandard.ZstdCompressor(level=LEVEL)
@@ -107,7 +108,7 @@ class _Bundle:
         """Index rows of the records that are now in the file."""
         self.places.append((page_id, len(self.frame), len(record)))
         self.frame += record
-        return self.flush() if len(self.frame) >= FRAME_BYTES else []
+        return self.flush() if len(self.frame) >= self.frame_bytes else []
 
     def flush(self) -> list[dict]:
         if not self.places:
@@ -135,7 +136,13 @@ _ARROW_INDEX = pa.schema(
 )
 
 
-def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
+def write(
+    pages: DataFrame,
+    folder: str,
+    date: str = "1970-01-01T00:00:00Z",
+    frame_bytes: int = FRAME_BYTES,
+    bundle_bytes: int = BUNDLE_BYTES,
+) -> DataFrame:
     """Write one record for each row of ``page_id``, ``url`` and ``html`` to bundles in a shared folder; gives the index.
 
     Every task writes bundles of its own under new names.  The index is stored by Spark, which takes the rows of one
@@ -148,9 +155,9 @@ def write(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:00Z") ->
         for block in blocks(batches, "payload"):
             rows: list[dict] = []
             for r in block.to_pylist():
-                bundle = bundle or _Bundle(folder)
+                bundle = bundle or _Bundle(folder, frame_bytes)
                 rows += bundle.add(r["page_id"], _record(r["page_id"], r["url"], r["payload"], r["payload_digest"], r["refers_to"], date))
-                if bundle.written >= BUNDLE_BYTES:
+                if bundle.written >= bundle_bytes:
                     rows += bundle.close()
                     bundle = None
             if rows:
