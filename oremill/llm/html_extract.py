@@ -32,6 +32,9 @@ MOST_LINKED, MOST_REPEATED = 0.5, 0.5
 #: Where no element is marked as the article, a content slot has this share of the host's text, and blocks this long.
 LEAST_SHARE, LEAST_BLOCK = 0.05, 25
 
+#: Templates are broadcast up to this size; beyond it the pages of a host are spread over so many keys.
+BROADCAST_BYTES, SALTS = 32 * 1024 * 1024, 64
+
 # Elements of HTML, and words in the names of classes and ids.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
@@ -234,6 +237,7 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     once = stored(once, "template-tokens")
     hosts = each.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).where(F.col("host_pages") >= HOST_PAGES)
+    hosts = stored(hosts, "template-hosts")  # the join then has a shuffle of its own, in which a large host is split
     # Blocks that only one page has are no template tokens, and far the most of all: they only count for their slot.
     frequent = once.join(hosts, "host").where((F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("host_pages") * CLASS_SHARE))))
     same = ["host", "pages", "times", "v0", "v1"]
@@ -280,6 +284,20 @@ def _main_text(page: str | None, slots: frozenset[int] | None, main: frozenset[i
     return "\n".join(b.text for b in found if (b.kind > 0 if marked else b.kind == 0 and b.linked <= MOST_LINKED * len(b.text)))
 
 
+def _with_templates(rows: DataFrame, model: DataFrame) -> DataFrame:
+    """Join each page to its host's template without gathering a host's pages.
+
+    Templates go to all executors while their size is below a bound; beyond it each is copied to ``SALTS`` keys over
+    which the pages of a host are spread.
+    """
+    held = model.agg(F.count(F.lit(1)).alias("hosts"), F.sum(F.size("slots") + F.size("main")).alias("paths")).first()
+    if 100 * held["hosts"] + 8 * (held["paths"] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(model), "host", "left")
+    salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, ["host", "salt"], "left")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """Add ``text``, the main text of the whole ``html``, and ``n_chars``, its code points.
 
@@ -290,8 +308,7 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1), F.lit("")))
     rows = pages.select(*rest, host.alias("host"))
     model = templates(rows.select("host", "html", F.xxhash64("page_id", "html").alias("page")))
-    # The template of a host is one row; a host with very many pages is split by Spark's skew join.
-    joined = rows.join(model, "host", "left")
+    joined = _with_templates(rows, stored(model, "templates"))
     fields = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*rest).schema.fields), "text string, n_chars long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
