@@ -105,6 +105,8 @@ def _deleted(documents: DataFrame, text: str, min_chars: int) -> DataFrame:
     named = stored(named, "line-intervals")
     place = F.struct(*_DOC, F.col("first").alias("first"))
     earliest = named.groupBy("lines", "a", "b").agg(F.min(place).alias("earliest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Stored, so that the join has a shuffle of its own in which Spark can split an interval of very many suffixes.
+    earliest = stored(earliest, "line-earliest")
     later = named.join(earliest, ["lines", "a", "b"]).where(F.col("earliest") < place)
     covered = later.select(*_DOC, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("lines") - 1)).alias("pos"))
     gone = covered.distinct().join(places.select(*_DOC, "pos", "line"), [*_DOC, "pos"])
