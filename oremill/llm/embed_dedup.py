@@ -225,7 +225,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
     first, rows = _distinct(vectors)
     pivots = _pivots(first)
     cells = _cells(first, pivots)
-    sizes = cells.groupBy("kind", "cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
+    # Stored, as are other sums below, so that joins have shuffles of their own in which Spark splits what is too large.
+    sizes = stored(cells.groupBy("kind", "cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts")), "cell-sizes")
     reach = _borders(cells, pivots, least).withColumn("to", F.explode("reach"))
     own = F.col("cell") == F.col("to")
     sized = reach.join(sizes.withColumnRenamed("cell", "to"), ["kind", "to"]).join(sizes.withColumnRenamed("parts", "own_parts"), ["kind", "cell"])
@@ -244,7 +245,7 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, least: float = 0.93
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     of_first = first.select("h1", "h2", "id", "vec_id", "copies").join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")
     of_first = of_first.withColumn("root", F.coalesce("root", "id"))
-    heads = of_first.groupBy("root").agg(F.min("vec_id").alias("component_id"))
+    heads = stored(of_first.groupBy("root").agg(F.min("vec_id").alias("component_id")), "vector-heads")
     answer = of_first.join(heads, "root").select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     linked = rows.join(answer, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     others = vectors.where(~_valid()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -42,14 +42,15 @@ def record_types(pages: DataFrame) -> DataFrame:
 
     Of equal payloads of at least ``REVISIT_BYTES`` bytes the one with the largest page id is a response and the others
     revisit it; rows that repeat its id are responses too.  A null payload is an empty one.  A null id never is the
-    largest.  Only digests are aggregated; a digest that very many pages share is split by Spark's skew join.
+    largest.  Only digests are aggregated.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload"))
     rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "payload_digest": F.sha1("payload")})
     large = rows.where(F.col("payload_bytes") >= REVISIT_BYTES)
     shared = large.groupBy("payload_digest").agg(F.max("page_id").alias("owner"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    joined = rows.join(shared.select("payload_digest", "owner"), "payload_digest", "left")
+    # Stored, so that the join has a shuffle of its own in which Spark can split a digest that very many pages share.
+    joined = rows.join(stored(shared.select("payload_digest", "owner"), "warc-owners"), "payload_digest", "left")
     revisit = F.coalesce((F.col("payload_bytes") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("owner")) & F.col("owner").isNotNull(), F.lit(False))
     return joined.select(
         *rows.columns,
