@@ -4,7 +4,9 @@
 the environment.  A query is written to Spark's ``noop`` sink, so every row is computed and none is collected.
 
 ``queries`` derive raw rows from the given tables, clean them and build the result in one go, nothing being cached.
-``stored`` are the same marts over silver tables stored once beforehand, as in production.
+``stored`` are the same marts over silver tables stored once beforehand, as in production.  ``written`` are jobs that
+write, each run once: the refresh of a first load, of the last days' orders, and without news; a silver merge; and the
+ingest of files by a task, with the first rows of each skipped.
 """
 
 from __future__ import annotations
@@ -13,14 +15,18 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
-from oremill.plans import gold, silver
+from oremill.config import environment
+from oremill.operators.upsert import merge_increment
+from oremill.plans import gold, medallion, silver
 from oremill.session import scratch_dir, tuned
 from oremill.workload import derive
-from oremill.workload.queries import INCREMENTAL_DAYS, QUERIES
+from oremill.workload.queries import INCREMENTAL_DAYS, QUERIES, _land_at
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -57,6 +63,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
     )
+    builder = builder.config("spark.checkpoint.dir", os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"))
     spark = tuned(builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     timings = {}
@@ -68,6 +75,7 @@ def main() -> None:
             "metric": "total seconds of the headline queries (median of runs)",
             "value": round(sum(timings.values()), 3), "unit": "sec", "queries": timings,
             "stored": {} if sys.argv[1:] else stored(spark),
+            "written": {} if sys.argv[1:] else written(spark),
             "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"), "cpus": CPUS, "runs": RUNS,
         })
     )
@@ -100,5 +108,31 @@ def stored(spark: SparkSession) -> dict[str, float]:
     return timings
 
 
+def once(run) -> float:
+    start = time.perf_counter()
+    run()
+    return round(time.perf_counter() - start, 3)
+
+
+def written(spark: SparkSession) -> dict[str, float]:
+    env, timings = environment("prod", scratch_dir(spark, "bench-lake")), {}
+    late = F.col("OrderDate") >= "2001-07-25"
+    for table, rows in derive.BRONZE.items():
+        first = rows(spark, SF_DIR)
+        _land_at(first.filter(~late) if table == "orders" else first, f"{env.landing}/{table}/1")
+    timings["refresh_first_load"] = once(lambda: medallion.refresh(spark, env))
+    _land_at(derive.orders(spark, SF_DIR).filter(late), f"{env.landing}/orders/2")
+    timings["refresh_last_days"] = once(lambda: medallion.refresh(spark, env))
+    timings["refresh_without_news"] = once(lambda: medallion.refresh(spark, env))
+    items = medallion.silver_table(spark, env, "order_items").read()
+    path = scratch_dir(spark, "bench-increment")
+    items.filter(F.xxhash64("order_item_id") % 100 == 0).write.parquet(path)
+    merge = merge_increment(items, spark.read.parquet(path), ["order_item_id"], null_safe=True)
+    timings["silver_merge"] = once(lambda: merge.write.parquet(scratch_dir(spark, "bench-merged")))
+    for name in ("ingest_task", "ingest_skip_rows"):
+        timings[name] = once(lambda: drain(QUERIES[name](spark, SF_DIR)))
+    return timings
+
+
 if __name__ == "__main__":
     main()

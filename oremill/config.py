@@ -16,6 +16,8 @@ class Environment:
     incremental_days: int = 1
     # Bounds one step of the file ingest; None takes all new files at once.
     files_per_batch: int | None = None
+    # The landed files' marker of NULL; without one an empty field is NULL.
+    null_value: str | None = None
 
     def table_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -61,6 +63,7 @@ class IngestSpec:
     all_files: bool = True
     latest_only: bool = False
     options: dict[str, str] = field(default_factory=dict)
+    null_value: str | None = None
 
     @staticmethod
     def from_metadata(row: Row, root: str) -> "IngestSpec":

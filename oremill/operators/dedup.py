@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from oremill.sinks.loads import materialize
+
 
 def latest_per_key(
     df: DataFrame, keys: list[str], newest_first: list[str], order: list[str] | None = None
@@ -31,31 +33,32 @@ def dedup_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return latest_per_key(df, keys, [])
 
 
-def rank_within(
-    df: DataFrame, keys: list[str], newest_first: str, ties: list[str], rank: str = "rn", slice_by: str = "hour"
-) -> DataFrame:
+_ROWS_BITS = 33  # monotonically_increasing_id: the partition above, the row within it below
+
+
+def rank_within(df: DataFrame, keys: list[str], newest_first: str, ties: list[str], rank: str = "rn") -> DataFrame:
     """``row_number`` of each row within its key, newest first, with no task that sees a whole key.
 
-    Time is cut into slices.  Rows are ranked inside (key, slice), and the number of rows in newer slices of the key
-    is added; that number comes from a count per (key, slice), summed by a window over counts only.  Choose
-    ``slice_by`` so that one slice of the busiest key fits a task; the ranks are exact for any choice.  Key and slice
-    travel as one struct, which is never NULL itself, so rows with NULLs in them join, and the join keeps the
-    partitioning of the window.
+    All rows are sorted over all tasks by key, time and ties; a key's rows may fill many partitions, whatever they have
+    in common.  The sorted rows are stored with their partition and place in it.  With the rows of earlier partitions
+    that is a row's place in the whole, and its rank is the distance from the first place of its key.  NULLs come last,
+    and NULL keys are keys like any other.  ``ties`` should tell rows of a key and time apart; rows equal in all of it
+    are ranked in any order.
     """
-    place = F.struct(*keys, F.date_trunc(slice_by, F.col(newest_first)).alias("_slice"))
-    sliced = df.withColumn("_place", place)
-    newer = Window.partitionBy(*[f"_place.{k}" for k in keys]).orderBy(F.col("_place._slice").desc_nulls_last())
-    offsets = (
-        sliced.groupBy("_place")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_newer", F.sum("_rows").over(newer.rowsBetween(Window.unboundedPreceding, -1)))
-        .select("_place", F.coalesce("_newer", F.lit(0)).alias("_newer"))
-    )
-    inside = Window.partitionBy("_place").orderBy(
-        F.col(newest_first).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in ties]
-    )
-    return (
-        sliced.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, "_place")
-        .select(*df.columns, (F.col("_inside") + F.col("_newer")).cast("long").alias(rank))
-    )
+    order = [*[F.col(k).asc_nulls_first() for k in keys], *[F.col(c).desc_nulls_last() for c in [newest_first, *ties]]]
+    place = F.monotonically_increasing_id().alias("_place")
+    ordered = materialize(df.orderBy(*order).select("*", place, F.struct(*keys).alias("_key")), "ordered")
+    partition = F.shiftright("_place", _ROWS_BITS).alias("_partition")
+    sizes = ordered.groupBy(partition).agg(F.count(F.lit(1)).alias("_rows"))
+    # One row for each partition of the sort.
+    earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_partition", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    within = F.col("_place").bitwiseAND(F.lit((1 << _ROWS_BITS) - 1))
+    placed = ordered.withColumn("_partition", partition).join(starts, "_partition").withColumn("_at", F.col("_start") + within)
+    firsts = ordered.groupBy("_key").agg(F.min("_place").alias("_first"))
+    first_at = firsts.withColumn("_partition", F.shiftright("_first", _ROWS_BITS)).join(starts, "_partition")
+    offset = F.col("_first").bitwiseAND(F.lit((1 << _ROWS_BITS) - 1)) + F.col("_start")
+    # Stored, so that the join has a shuffle of its own, in which Spark splits a key of very many rows.
+    first_at = materialize(first_at.select("_key", offset.alias("_first_at")), "first-places")
+    ranked = placed.join(first_at, "_key")
+    return ranked.select(*df.columns, (F.col("_at") - F.col("_first_at") + 1).cast("long").alias(rank))

@@ -54,10 +54,10 @@ def last_file_per_task(log: DataFrame, default_prefix: Column | None = None) ->
     return found.select(*TASK, file.alias("last_processed_file"))
 
 
-def run_rank(log: DataFrame, slice_by: str = "hour") -> DataFrame:
+def run_rank(log: DataFrame) -> DataFrame:
     """Number the rows of each run, newest start first."""
     columns = [*RUN, "job_id", "task_name", "task_run_id", "status", "execution_start_ts"]
-    return rank_within(log.select(*columns), RUN, "execution_start_ts", ["task_run_id"], slice_by=slice_by)
+    return rank_within(log.select(*columns), RUN, "execution_start_ts", ["task_run_id"])
 
 
 def restart_set(log: DataFrame, metadata: DataFrame | None = None) -> DataFrame:
@@ -94,10 +94,13 @@ def tasks_to_start(
 
 def not_started_rows(tasks: DataFrame, job_id: str, parent_run_id: str) -> DataFrame:
     """The log rows that announce tasks before they run."""
-    return tasks.select(
-        "job_name", F.lit(job_id).alias("job_id"), F.lit(parent_run_id).alias("parent_run_id"), "task_name",
-        F.lit(NOT_STARTED).alias("status"),
-    ).distinct()
+    known = {
+        "job_name": F.col("job_name"), "job_id": F.lit(job_id), "parent_run_id": F.lit(parent_run_id),
+        "task_name": F.col("task_name"), "status": F.lit(NOT_STARTED),
+    }
+    fields = CONTROL["task_control"].fields
+    named = tasks.select("job_name", "task_name").distinct()
+    return named.select(*[known.get(f.name, F.lit(None)).cast(f.dataType.simpleString()).alias(f.name) for f in fields])
 
 
 def reconcile(log: DataFrame) -> DataFrame:

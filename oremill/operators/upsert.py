@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from oremill.operators.dedup import latest_per_key
 
+# Fixed value: the watermark of an empty target.
 FIRST_MERGE_WATERMARK = "1990-01-01 00:00:00"
 
 
@@ -43,13 +44,25 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], update: list[s
     return old.join(new, match, "full_outer").select(*[pick(c) for c in columns])
 
 
-def merge_increment(target: DataFrame, increment: DataFrame, keys: list[str]) -> DataFrame:
+def matching(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows whose key is in ``keys`` (``left_semi``) or is not (``left_anti``); a NULL matches a NULL."""
+    named = keys.select(*[F.col(k).alias(f"_key_{k}") for k in keys.columns])
+    match = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys.columns]
+    return rows.join(named, match, how)
+
+
+def merge_increment(target: DataFrame, increment: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     """Upsert a small, stored increment: target rows it replaces are dropped, then it is added.
 
+    As in a MERGE a NULL key matches nothing; ``null_safe`` lets it match a NULL, as grouping by the key does.
+
     The anti join lets Spark broadcast the increment's keys when it measures them small, and then the target is not
     shuffled.  The increment is read twice, so pass a stored one, not a costly query.
     """
-    keep = target.join(increment.select(*keys), keys, "left_anti").select(*target.columns)
+    if null_safe:
+        keep = matching(target, increment.select(*keys), "left_anti")
+    else:
+        keep = target.join(increment.select(*keys), keys, "left_anti").select(*target.columns)
     return keep.unionByName(increment.select(*target.columns))
 
 

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from oremill.config import IngestSpec, is_yes
 from oremill.functions import file_name, file_timestamp
 from oremill.functions.messages import files_message, reconcile_message, run_message
-from oremill.operators.runlog import COMPLETED, FAILED, INITIATED, as_run_log, watermark_per_task
+from oremill.operators.runlog import COMPLETED, FAILED, INITIATED, as_run_log, not_started_rows, watermark_per_task
 from oremill.schemas import CONTROL
-from oremill.sinks.loads import append, ensure, load, materialize
-from oremill.sources.delimited import skip_leading_rows
+from oremill.sinks.loads import LOAD_FROM, append, ensure, load, materialize, replace_partitions
+from oremill.sources.delimited import null_option, skip_leading_rows
 from oremill.sources.manifest import file_manifest, files_after, latest_file
 
 
@@ -35,6 +35,12 @@ def task_specs(tasks: DataFrame, root: str) -> list[IngestSpec]:
     return [IngestSpec.from_metadata(row, root) for row in rows if not is_yes(row["execute_child_notebook"])]
 
 
+def announce(tasks: DataFrame, log_path: str, job_id: str, parent_run_id: str) -> None:
+    """Note the tasks that a run is about to start as NOT STARTED in its control log."""
+    ensure(tasks.sparkSession, f"{log_path}/task_control", CONTROL["task_control"])
+    append(not_started_rows(tasks, job_id, parent_run_id), f"{log_path}/task_control")
+
+
 def task_watermark(log: DataFrame, spec: IngestSpec) -> datetime | None:
     """The newest completed ``filter_end_ts`` of one task, one value; None before its first run."""
     own = log.filter((F.col("job_name") == spec.job_name) & (F.col("task_name") == spec.task_name))
@@ -63,7 +69,7 @@ def scan_files(
         spark.read.format(spec.file_format)
         .options(header=spec.header, sep=spec.delimiter, inferSchema=False, escape='"')
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, recursiveFileLookup=True)
-        .options(**spec.options)
+        .options(**null_option(spec.null_value), **spec.options)
     )
     if after is not None:
         reader = reader.option("modifiedAfter", _utc(after))
@@ -78,6 +84,9 @@ def run_ingest(spark: SparkSession, spec: IngestSpec, log_path: str, ids: RunIds
     """Run one task: ingest its new files, append its state and message to the logs; returns the final status.
 
     ``log_path`` holds ``task_control``, ``task_run_log`` and ``file_log``.  A failure is logged and raised again.
+
+    Rows and files are stored under the watermark that the run started from.  A run that died, wherever, has not moved the
+    watermark, so the next run replaces whatever it left: each file counts once.
     """
     started = now or datetime.now(timezone.utc)
     started = started.replace(microsecond=started.microsecond // 1000 * 1000)
@@ -103,10 +112,13 @@ def run_ingest(spark: SparkSession, spec: IngestSpec, log_path: str, ids: RunIds
                 scan = scan_files(spark, spec, after=watermark, until=started)
             else:
                 scan = scan_files(spark, spec, path=taken["last"]["path"] if spec.latest_only else None)
-            result = load(scan, spec.target_path, spec.load_type, task_name=spec.task_name)
+            # A task with a log but no completed run has the first watermark, of 1900.
+            mark = "first" if watermark is None or watermark.year <= 1900 else f"after-{watermark:%Y%m%d-%H%M%S-%f}"
+            result = load(scan, spec.target_path, spec.load_type, task_name=spec.task_name, load_from=mark)
             counts = (result.source_count, result.target_count)
-            append(files.select("path", "name", "size", "modified", F.lit(ids.task_run_id).alias("task_run_id")),
-                   f"{log_path}/file_log")
+            noted = {"task_run_id": ids.task_run_id, "job_name": spec.job_name, "task_name": spec.task_name, LOAD_FROM: mark}
+            rows = files.select("path", "name", "size", "modified", *[F.lit(v).alias(k) for k, v in noted.items()])
+            replace_partitions(rows, f"{log_path}/file_log", ["job_name", "task_name", LOAD_FROM])
         status = COMPLETED if counts[0] == counts[1] else FAILED
         last = taken["last"]["name"] if taken["files"] else None
         _log_state(spark, log_path, {

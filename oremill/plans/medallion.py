@@ -1,28 +1,28 @@
 """The refresh from raw files to marts.
 
-Each layer is stored.  Bronze grows by the rows of new files.  Silver takes over only what bronze has gained, gold
-upserts what its silver tables now say.  Every commit notes a mark of how far its sources had got, and a table whose
-mark still holds is left alone; so a refresh without news reads no data, and one that died half-way is completed by
-running it again.
+Each layer is stored.  Bronze grows by the rows of new files, in numbered batches.  Silver takes over only the batches it
+has not seen, and notes the keys its rows had before and have now.  Gold recomputes, from those notes, the days,
+customers, products and categories that something has changed for.  Every commit notes a mark of how far its sources had
+got: a batch number, or the versions of silver tables, never a time.  A table whose mark still holds is left alone, so a
+refresh without news reads no data, and one that died half-way is completed by running it again, whenever that is.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.config import Environment
-from oremill.operators.upsert import merge_increment
+from oremill.operators.upsert import matching, merge_increment
 from oremill.plans import gold
 from oremill.plans.silver import CLEANERS
-from oremill.schemas import BRONZE, KEYS, payload
+from oremill.schemas import BRONZE, KEYS, SILVER, payload
 from oremill.session import sized_shuffles
-from oremill.sinks.loads import materialize
+from oremill.sinks.loads import materialize, overwrite
 from oremill.sinks.versions import VersionedTable
-from oremill.sources.manifest import file_manifest
-from oremill.streaming.incremental import INGEST_DATE, ingest_new_files
+from oremill.streaming.incremental import INGEST_BATCH, ingest_new_files, ingested
 
 # The silver tables each mart is built from.
 SOURCES = {
@@ -45,42 +45,64 @@ def mart_table(spark: SparkSession, env: Environment, mart: str) -> VersionedTab
     return VersionedTable(spark, env.table_path("gold", mart))
 
 
+# What a changed silver row can change in gold, before and after the change.
+NOTED = {
+    "customers": ["customer_id"],
+    "products": ["product_id", "category"],
+    "orders": ["order_id", "customer_id", "order_date"],
+    "order_items": ["order_id", "product_id"],
+}
+FULL = "full"
+
+
+def _bronze(spark: SparkSession, env: Environment, table: str) -> DataFrame:
+    return ingested(spark, env.table_path("bronze", table), payload(BRONZE[table]))
+
+
 def load_bronze(spark: SparkSession, env: Environment, at: Column | None = None) -> dict[str, int]:
     """Append the new files of each entity's landing folder to its bronze table; rows added per table."""
     return {
         table: ingest_new_files(
             spark, f"{env.landing}/{table}", payload(schema), env.table_path("bronze", table),
-            f"{env.checkpoints}/{table}", at, env.files_per_batch,
+            f"{env.checkpoints}/{table}", at, env.files_per_batch, env.null_value,
         )
         for table, schema in BRONZE.items()
     }
 
 
+def _notes(env: Environment, table: str, version: int) -> str:
+    return f"{env.table_path('silver', table)}/changes/v={version}"
+
+
 def refresh_silver_table(
     spark: SparkSession, env: Environment, table: str, at: Column | None = None, full: bool = False
 ) -> int | None:
     """Bring one silver table up to its bronze table; the new version, or None if nothing was new.
 
-    New bronze rows are later than all cleaned before, so a cleaned new row replaces the old row of its key, and the
-    result is that of cleaning all of bronze.  Of bronze only the partitions since the last refresh are read, and the
-    stored table is passed through once, not shuffled, when Spark finds the new keys small enough to broadcast.
+    Of several records of a key the one of the last batch counts, in it the one ingested last.  So a cleaned new row
+    replaces the old row of its key, NULL keys like any other, and the result is that of cleaning all of bronze.  Of
+    bronze only new batches are read.  Which keys the new rows replace is looked up in the stored table's columns of
+    ``NOTED`` alone, and noted beside it under the number of the version to come.
     """
     target = silver_table(spark, env, table)
-    commit = target.latest()
-    bronze = spark.read.parquet(env.table_path("bronze", table))
-    if commit and not full:
-        mark = F.timestamp_micros(F.lit(int(commit["mark"])))
-        bronze = bronze.filter((F.col(INGEST_DATE) >= F.to_date(mark)) & (F.col("ingest_ts") > mark))
-    newest = bronze.agg(F.unix_micros(F.max("ingest_ts")).alias("newest")).first()["newest"]
+    commit = None if full else target.latest()
+    bronze = _bronze(spark, env, table)
+    if commit:
+        bronze = bronze.filter(F.col(INGEST_BATCH) > int(commit["mark"].split()[0]))
+    newest = bronze.agg(F.max(INGEST_BATCH).alias("newest")).first()["newest"]
     if newest is None:
         return None
-    rows = bronze.filter(F.col("ingest_ts") <= F.timestamp_micros(F.lit(newest))).select(*BRONZE[table].names)
-    state = CLEANERS[table](rows, at)
-    if commit and not full:
-        state = merge_increment(target.read(), materialize(state, f"silver-{table}"), [KEYS[table]])
+    rows = bronze.filter(F.col(INGEST_BATCH) <= newest).select(*BRONZE[table].names, INGEST_BATCH)
+    state = CLEANERS[table](rows, at, newest=(INGEST_BATCH, "ingest_ts"))
+    if commit:
+        fresh, stored, key = materialize(state, f"silver-{table}"), target.read(), [KEYS[table]]
+        replaced = matching(stored.select(*{*key, *NOTED[table]}), fresh.select(*key), "left_semi")
+        changes = fresh.select(*NOTED[table]).unionByName(replaced.select(*NOTED[table])).distinct()
+        overwrite(changes, _notes(env, table, commit["version"] + 1))
+        state = merge_increment(stored, fresh, key, null_safe=True)
     if table in SORTED_BY:
         state = state.sortWithinPartitions(SORTED_BY[table])
-    return target.commit(state, str(newest))
+    return target.commit(state, f"{newest}" if commit else f"{newest} {FULL}")
 
 
 def refresh_silver(
@@ -89,59 +111,111 @@ def refresh_silver(
     return {table: refresh_silver_table(spark, env, table, at, full) for table in CLEANERS}
 
 
-def refresh_gold(
-    spark: SparkSession, env: Environment, as_of: date | None = None, full: bool = False
-) -> dict[str, int | None]:
-    """Upsert every mart whose silver tables have changed; new versions, None where nothing was to do.
-
-    Items are by far the largest table: they are summed once per order and once per product, and a sum that serves
-    two marts is stored between them.  Daily sales recomputes the environment's last days only, unless ``full`` or the mart is empty.
-    """
-    tables = {table: silver_table(spark, env, table) for table in CLEANERS}
-    versions = {table: stored.current() for table, stored in tables.items()}
-    today = as_of or date.today()
-    targets = {mart: mart_table(spark, env, mart) for mart in SOURCES}
-    commits = {mart: target.latest() for mart, target in targets.items()}
-    marks = {mart: " ".join(f"{table}@{versions[table]}" for table in sources) for mart, sources in SOURCES.items()}
-    marks["daily_sales"] += f" {today}"
-    stale = [mart for mart, commit in commits.items() if full or commit is None or commit["mark"] != marks[mart]]
-    if not stale:
-        return dict.fromkeys(SOURCES)
-
-    customers, products, orders, items = (
-        tables[table].read(versions[table]) for table in ("customers", "products", "orders", "order_items")
-    )
-    per_order, per_product = gold.order_totals(items), gold.product_totals(items)
-    if {"daily_sales", "customer_lifetime_value"} <= set(stale):
-        per_order = materialize(per_order, "order-totals")
-    if {"top_products", "category_sales"} <= set(stale):
-        per_product = materialize(per_product, "product-totals")
-    window = orders if full or commits["daily_sales"] is None else gold.since(orders, today, env.incremental_days)
-    # A day or category must be known to be matched later on.
-    build = {
-        "daily_sales": lambda: gold.sales_per_day(window.filter("order_date IS NOT NULL"), per_order),
-        "customer_lifetime_value": lambda: gold.value_per_customer(customers, orders, per_order),
-        "top_products": lambda: gold.sales_per_product(products, per_product),
-        "category_sales": lambda: gold.sales_per_category(products.filter("category IS NOT NULL"), per_product),
+def _changed(spark: SparkSession, env: Environment, table: str, since: int, now: int) -> DataFrame:
+    """The notes of the versions after ``since``, also if there are none."""
+    schema = SILVER[table]
+    noted = [f for f in schema.fields if f.name in NOTED[table]]
+    empty = spark.createDataFrame([], type(schema)(noted)).select(*NOTED[table])
+    paths = [_notes(env, table, version) for version in range(since + 1, now + 1)]
+    return empty.unionByName(spark.read.parquet(*paths)) if paths else empty
+
+
+def _touched(tables: dict[str, DataFrame], changed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The keys of each mart that changed silver rows can have changed."""
+    orders, products = tables["orders"], tables["products"]
+    moved, bought = changed["orders"], changed["order_items"]
+    resold = matching(orders.select("order_id", "customer_id", "order_date"), bought.select("order_id").distinct(), "left_semi")
+    repriced = matching(products.select("product_id", "category"), bought.select("product_id").distinct(), "left_semi")
+    parts = {
+        "daily_sales": [moved, resold],
+        "customer_lifetime_value": [changed["customers"], moved, resold],
+        "top_products": [changed["products"], bought],
+        "category_sales": [changed["products"], repriced],
     }
     return {
-        mart: targets[mart].upsert(build[mart](), [KEYS[mart]], mark=marks[mart]) if mart in stale else None
-        for mart in SOURCES
+        mart: reduce(DataFrame.unionByName, [part.select(KEYS[mart]) for part in some]).distinct()
+        for mart, some in parts.items()
     }
 
 
-def refresh(
-    spark: SparkSession, env: Environment, as_of: date | None = None, at: Column | None = None, full: bool = False
-) -> dict[str, dict[str, int | None]]:
-    """Landing to gold.  ``as_of`` and ``at`` fix today and the audit timestamp.
+def _build(mart: str, tables: dict[str, DataFrame], keys: DataFrame | None) -> DataFrame:
+    """A mart, or its rows of some keys: items are cut down to those that count before they are summed."""
+    customers, products, orders, items = (tables[t] for t in ("customers", "products", "orders", "order_items"))
+
+    def only(rows: DataFrame) -> DataFrame:
+        return rows if keys is None else matching(rows, keys, "left_semi")
 
-    Shuffles are sized from what bronze holds by then, so the same call serves a day's files and a full history.
+    def of(rows: DataFrame, key: str) -> DataFrame:
+        return items if keys is None else items.join(rows.select(key), key, "left_semi")
+
+    if mart == "daily_sales":
+        orders = only(orders)
+        return gold.sales_per_day(orders, gold.order_totals(of(orders, "order_id")))
+    if mart == "customer_lifetime_value":
+        orders = only(orders)
+        return gold.value_per_customer(only(customers), orders, gold.order_totals(of(orders, "order_id")))
+    products = only(products)
+    totals = gold.product_totals(of(products, "product_id"))
+    return gold.sales_per_product(products, totals) if mart == "top_products" else gold.sales_per_category(products, totals)
+
+
+def refresh_gold(spark: SparkSession, env: Environment, full: bool = False) -> dict[str, int | None]:
+    """Bring every mart whose silver tables have changed up to them; new versions, None where nothing was to do.
+
+    Rows of touched keys are recomputed and replace the old ones; a key that has no row any more loses its row, and a
+    NULL day or category is a key like any other, so the result is always that of a rebuild.  A mart is rebuilt if it is
+    new, if ``full``, or if one of its silver tables was.
     """
+    stored = {table: silver_table(spark, env, table) for table in CLEANERS}
+    versions = {table: versioned.current() for table, versioned in stored.items()}
+    tables = {table: versioned.read(versions[table]) for table, versioned in stored.items()}
+    rebuilt = {
+        table: versioned.history().filter(F.col("mark").endswith(FULL)).agg(F.max("version").alias("v")).first()["v"]
+        for table, versioned in stored.items()
+    }
+    done: dict[str, int | None] = {}
+    for mart, sources in SOURCES.items():
+        target = mart_table(spark, env, mart)
+        commit = target.latest()
+        mark = " ".join(f"{table}@{versions[table]}" for table in sources)
+        if commit and not full and commit["mark"] == mark:
+            done[mart] = None
+            continue
+        seen = dict(part.split("@") for part in commit["mark"].split()) if commit else {}
+        if full or any(int(seen.get(table, 0)) < rebuilt[table] for table in sources):
+            done[mart] = target.commit(_build(mart, tables, None), mark)
+            continue
+        changed = {
+            table: _changed(spark, env, table, int(seen[table]) if table in seen else versions[table], versions[table])
+            for table in CLEANERS
+        }
+        keys = materialize(_touched(tables, changed)[mart], f"touched-{mart}")
+        kept = matching(target.read(), keys, "left_anti")
+        done[mart] = target.commit(kept.unionByName(_build(mart, tables, keys)), mark)
+    return done
+
+
+def _new_bytes(spark: SparkSession, env: Environment, full: bool) -> int:
+    """The size of the bronze files that silver has not seen; contents are not read."""
+    total = 0
+    for table in CLEANERS:
+        commit = None if full else silver_table(spark, env, table).latest()
+        _bronze(spark, env, table)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(env.table_path("bronze", table))
+        if INGEST_BATCH in files.columns:
+            new = files if commit is None else files.filter(F.col(INGEST_BATCH) > int(commit["mark"].split()[0]))
+            total += new.agg(F.sum("_metadata.file_size").alias("bytes")).first()["bytes"] or 0
+    return total
+
+
+def refresh(
+    spark: SparkSession, env: Environment, at: Column | None = None, full: bool = False
+) -> dict[str, dict[str, int | None]]:
+    """Landing to gold.  ``at`` fixes the audit timestamp.  Shuffles are sized from what is new in bronze."""
     bronze = load_bronze(spark, env, at)
-    stored = file_manifest(spark, f"{env.root}/bronze", "*.parquet").agg(F.sum("size").alias("bytes")).first()["bytes"]
-    with sized_shuffles(spark, stored or 0):
+    with sized_shuffles(spark, _new_bytes(spark, env, full)):
         return {
             "bronze": bronze,
             "silver": refresh_silver(spark, env, at, full),
-            "gold": refresh_gold(spark, env, as_of, full),
+            "gold": refresh_gold(spark, env, full),
         }

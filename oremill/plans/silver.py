@@ -31,31 +31,39 @@ RENAMES = {
 CANCELLED = "CANCELLED"
 
 
-def _newest(named: DataFrame, table: str) -> DataFrame:
-    """One raw row per key.  Casts and patterns come after it: only survivors are cleaned, spread over all tasks."""
-    return latest_per_key(named, [KEYS[table]], ["ingest_ts"])
+NEWEST = ("ingest_ts",)
+
+
+def _newest(named: DataFrame, table: str, newest: tuple[str, ...]) -> DataFrame:
+    """One raw row per key, the last by ``newest``.  Casts and patterns come after it: only survivors are cleaned."""
+    return latest_per_key(named, [KEYS[table]], list(newest))
 
 
 def _finish(cleaned: DataFrame, table: str, at: Column | None) -> DataFrame:
     return align_to_schema(stamp(cleaned, "updated_ts", at), SILVER[table])
 
 
-def silver_customers(bronze: DataFrame, at: Column | None = None) -> DataFrame:
+def silver_customers(bronze: DataFrame, at: Column | None = None, newest: tuple[str, ...] = NEWEST) -> DataFrame:
     """The latest record of each customer; sign-up dates that are not dates become NULL."""
-    newest = _newest(rename_columns(bronze, RENAMES["customers"]), "customers")
-    return _finish(newest.withColumn("signup_date", parse_date("signup_date")), "customers", at)
+    rows = _newest(rename_columns(bronze, RENAMES["customers"]), "customers", newest)
+    return _finish(rows.withColumn("signup_date", parse_date("signup_date")), "customers", at)
 
 
-def silver_products(bronze: DataFrame, at: Column | None = None) -> DataFrame:
+def silver_products(bronze: DataFrame, at: Column | None = None, newest: tuple[str, ...] = NEWEST) -> DataFrame:
     """One row per product; categories upper-cased, malformed prices NULL."""
-    newest = _newest(rename_columns(bronze, RENAMES["products"]), "products")
-    cleaned = newest.withColumns(
+    rows = _newest(rename_columns(bronze, RENAMES["products"]), "products", newest)
+    cleaned = rows.withColumns(
         {"category": clean_text("category"), "brand": F.trim("brand"), "price": guarded_double("price")}
     )
     return _finish(cleaned, "products", at)
 
 
-def silver_orders(bronze: DataFrame, at: Column | None = None, keep_null_status: bool = False) -> DataFrame:
+def silver_orders(
+    bronze: DataFrame,
+    at: Column | None = None,
+    newest: tuple[str, ...] = NEWEST,
+    keep_null_status: bool = False,
+) -> DataFrame:
     """One row per order that was not cancelled; cancelled records are dropped before the latest is chosen.
 
     An order without a status is dropped as well, as a comparison with NULL is not true; ``keep_null_status`` keeps
@@ -65,14 +73,14 @@ def silver_orders(bronze: DataFrame, at: Column | None = None, keep_null_status:
     wanted = F.col("order_status") != CANCELLED
     if keep_null_status:
         wanted = wanted | F.col("order_status").isNull()
-    newest = _newest(named.filter(wanted), "orders")
-    return _finish(newest.withColumn("order_date", parse_date("order_date")), "orders", at)
+    rows = _newest(named.filter(wanted), "orders", newest)
+    return _finish(rows.withColumn("order_date", parse_date("order_date")), "orders", at)
 
 
-def silver_order_items(bronze: DataFrame, at: Column | None = None) -> DataFrame:
+def silver_order_items(bronze: DataFrame, at: Column | None = None, newest: tuple[str, ...] = NEWEST) -> DataFrame:
     """One row per order item; quantities and prices that are not well-formed become NULL."""
-    newest = _newest(rename_columns(bronze, RENAMES["order_items"]), "order_items")
-    cleaned = newest.withColumns(
+    rows = _newest(rename_columns(bronze, RENAMES["order_items"]), "order_items", newest)
+    cleaned = rows.withColumns(
         {"quantity": guarded_int("quantity"), "price_per_unit": guarded_double("price_per_unit")}
     )
     return _finish(cleaned, "order_items", at)

@@ -1,7 +1,7 @@
 """Declared tables, one ``StructType`` each.
 
-Column names, order and types are fixed values of the data model.  Gold totals are BIGINT, since
-``COUNT`` and ``SUM`` give BIGINT and narrowing them would overflow on large groups.
+Column names, order and types are fixed values of the data model.  Gold totals and the counts of the control log are
+BIGINT, since ``COUNT`` and ``SUM`` give BIGINT and narrowing them would overflow on large groups.
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ CONTROL = {
     "task_control": declared(
         "job_name STRING, job_id STRING, parent_run_id STRING, task_name STRING, task_run_id STRING, "
         "filter_start_ts TIMESTAMP, filter_end_ts TIMESTAMP, execution_start_ts TIMESTAMP, "
-        "execution_end_ts TIMESTAMP, source_count INT, target_count INT, status STRING, last_processed_file STRING"
+        "execution_end_ts TIMESTAMP, source_count BIGINT, target_count BIGINT, status STRING, last_processed_file STRING"
     ),
     "task_run_log": declared(
         "job_id STRING, parent_run_id STRING, task_run_id STRING, procedure_name STRING, create_dt TIMESTAMP, "

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -23,8 +22,6 @@ SETTINGS = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "67108864",
-    # Row counts of a streaming run are summed over its progress reports.
-    "spark.sql.streaming.numRecentProgressUpdates": "100000",
     # Noting the line each column expression was built on takes longer than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -39,29 +36,26 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to the machine's own temporary folder.
+    Without that setting the caller has to choose a folder by ``SparkContext.setCheckpointDir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="oremill-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-# The driver keeps a record per map task and partition, so beyond this partitions grow (and spill) instead.
-MOST_SHUFFLE_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def shuffle_partitions(input_bytes: int, floor: int) -> int:
     """How many partitions a shuffle of all of the input should start with; AQE merges those that come out small.
 
-    Stored columns take several times their compressed size in a shuffle; four is allowed for.
+    Stored columns take several times their compressed size in a shuffle; four is allowed for.  The driver keeps a record
+    for each map task and partition: for inputs of tens of terabytes raise ``SHUFFLE_PARTITION_BYTES`` with the memory
+    of a task.
     """
-    wanted = -(-4 * input_bytes // SHUFFLE_PARTITION_BYTES)
-    return max(floor, min(wanted, MOST_SHUFFLE_PARTITIONS))
+    return max(floor, -(-4 * input_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 @contextmanager

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -108,6 +109,20 @@ def replace_partitions(df: DataFrame, target: str, by: list[str]) -> None:
     writer.parquet(target) if is_path(target) else writer.saveAsTable(target)
 
 
+def stored_rows(spark: SparkSession, target: str) -> int:
+    """Rows of a stored table, 0 before its first load; no column is read."""
+    try:
+        return read_target(spark, target).count()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+
+
+# The partition of a load that can be run again: what its watermark was.
+LOAD_FROM = "LOAD_FROM"
+
+
 def load(
     df: DataFrame,
     target: str,
@@ -115,23 +130,40 @@ def load(
     user: Column | str | None = None,
     at: Column | None = None,
     task_name: str | None = None,
+    load_from: str | None = None,
 ) -> LoadResult:
-    """Load a frame by load type.  An unknown type is an error, not an empty load."""
+    """Load a frame by load type.  An unknown type is an error, not an empty load.
+
+    With ``load_from`` appended rows become the partition ``LOAD_FROM`` of that name, in place of what an earlier attempt
+    may have left there, so a load that died can be run again.
+
+    The source is counted as it is read; the target afterwards, from what it then holds: the partition, the whole
+    of an overwritten table, or how much an appended one has gained.  Only file footers are read for that.
+    """
     kind = load_type.upper()
-    audited = with_audit(df, kind, user, at, task_name)
+    spark, replaces = df.sparkSession, kind in OVERWRITE_TYPES
     seen = Observation()
-    watched = audited.observe(seen, F.count(F.lit(1)).alias("rows"))
-    written = write(watched, target, "overwrite" if kind in OVERWRITE_TYPES else "append")
-    return LoadResult(target, kind, seen.get["rows"], written)
+    audited = with_audit(df.observe(seen, F.count(F.lit(1)).alias("rows")), kind, user, at, task_name)
+    if load_from is not None and not replaces:
+        # One partition, written where the rows are read: the count above is then part of the job's last stage.
+        writer = audited.withColumn(LOAD_FROM, F.lit(load_from)).write.mode("overwrite").partitionBy(LOAD_FROM)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(target)
+        stored = read_target(spark, target).filter(F.col(LOAD_FROM).cast("string") == load_from).count()
+    else:
+        before = 0 if replaces else stored_rows(spark, target)
+        write(audited, target, "overwrite" if replaces else "append")
+        stored = stored_rows(spark, target) - before
+    return LoadResult(target, kind, seen.get["rows"], stored)
 
 
 def load_from_query(df: DataFrame, target: str, mode: str) -> LoadResult:
-    """Insert the result of a query, APPEND or OVERWRITE, in one pass."""
+    """Insert the result of a query, APPEND or OVERWRITE; counted as by :func:`load`."""
     kind = mode.upper()
     if kind not in ("APPEND", "OVERWRITE"):
         raise ValueError(f"unknown load type {mode!r}")
+    before = stored_rows(df.sparkSession, target) if kind == "APPEND" else 0
     count = write(df, target, kind.lower())
-    return LoadResult(target, kind, count, count)
+    return LoadResult(target, kind, count, stored_rows(df.sparkSession, target) - before)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -141,19 +173,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> bool:
-    """Write a catalog table bucketed and sorted by ``key``; False if it had to be written without buckets.
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
+    """Write a catalog table bucketed and sorted by ``key``.
 
     Two tables bucketed alike on their join key join, and aggregate on that key, without a shuffle.  But all rows of
-    a bucket are then read by one task, so a key with more rows than an average bucket rules buckets out: such a
-    table is written plainly, and is shuffled when it is used.  ``df`` is read twice, so pass a stored table.
+    a bucket are then read by one task, so a key with more rows than an average bucket is refused: such a table is better
+    written plainly and shuffled when it is used.  ``df`` is read twice, so pass a stored table.
     """
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     size = per_key.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
     if (size["largest"] or 0) * buckets > (size["total"] or 0):
-        df.write.mode("overwrite").format("parquet").saveAsTable(table)
-        return False
+        raise ValueError(f"a {key} of {table} has {size['largest']} of {size['total']} rows, too many for one of {buckets} buckets")
     # One task per bucket writes one file per bucket.
     together = df.repartition(buckets, key)
     together.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return True

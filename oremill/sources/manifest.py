@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the watermark of a task that has never run.
 FIRST_WATERMARK = "1900-01-01 00:00:00"
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``path, name, size, modified`` of every file under ``path``, oldest first.
+def file_manifest(spark: SparkSession, path: str, glob: str | None = None, oldest_first: bool = False) -> DataFrame:
+    """``path, name, size, modified`` of every file under ``path``, sorted only if asked.
 
     File contents are not read: the scan is pruned to its metadata.
     """
@@ -22,7 +23,7 @@ def file_manifest(spark: SparkSession, path: str, glob: str | None = None) -> Da
         F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
-    return files.orderBy("modified", "path")
+    return files.orderBy("modified", "path") if oldest_first else files
 
 
 def latest_file(files: DataFrame, run_date: str = "", by: tuple[str, ...] = ()) -> DataFrame:

@@ -121,8 +121,8 @@ def task_control(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(ts AS TIMESTAMP) AS filter_end_ts",
         "CAST(ts AS TIMESTAMP) AS execution_start_ts",
         "CAST(ts AS TIMESTAMP) + make_dt_interval(0, 0, 0, event_id % 7200) AS execution_end_ts",
-        "CAST(event_id % 1000 AS INT) AS source_count",
-        "CAST(event_id % 1000 - IF(event_id % 11 = 0, 1, 0) AS INT) AS target_count",
+        "event_id % 1000 AS source_count",
+        "event_id % 1000 - IF(event_id % 11 = 0, 1, 0) AS target_count",
         """CASE event_id % 7 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'INITIATED' WHEN 2 THEN 'NOT STARTED'
                              ELSE 'COMPLETED' END AS status""",
         "concat(event_type, '_', date_format(ts, 'yyyyMMdd'), '.csv') AS last_processed_file",

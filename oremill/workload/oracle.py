@@ -106,8 +106,8 @@ task_log AS (
   SELECT event_type AS job_name, 'J-' || event_type AS job_id, 'R' || (event_id // 100) AS parent_run_id,
          'T' || (user_id % 20) AS task_name, CAST(event_id AS VARCHAR) AS task_run_id, ts AS filter_end_ts,
          ts AS execution_start_ts, ts + to_seconds(event_id % 7200) AS execution_end_ts,
-         event_id % 7200 AS seconds, CAST(event_id % 1000 AS INTEGER) AS source_count,
-         CAST(event_id % 1000 - CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS target_count,
+         event_id % 7200 AS seconds, CAST(event_id % 1000 AS BIGINT) AS source_count,
+         CAST(event_id % 1000 - CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS BIGINT) AS target_count,
          CASE event_id % 7 WHEN 0 THEN 'FAILED' WHEN 1 THEN 'INITIATED' WHEN 2 THEN 'NOT STARTED' ELSE 'COMPLETED' END
            AS status,
          event_type || '_' || strftime(ts, '%Y%m%d') || '.csv' AS last_processed_file
@@ -142,32 +142,74 @@ def _stamped(table: str, columns: str = "*") -> str:
 
 
 _ITEM_COLUMNS = "OrderItemID AS order_item_id, OrderID AS order_id, ProductID AS product_id, Quantity AS quantity"
-_CONFORMANCE = {
-    "customers": [("customer_id", "string"), ("full_name", "string"), ("email", "string"), ("signup_date", "date"),
-                  ("city", "string"), ("country", "string")],
-    "products": [("product_id", "string"), ("product_name", "string"), ("category", "string"), ("brand", "string"),
-                 ("price", "double")],
-    "orders": [("order_id", "string"), ("customer_id", "string"), ("order_date", "date"), ("order_status", "string")],
-    "order_items": [("order_item_id", "string"), ("order_id", "string"), ("product_id", "string"),
-                    ("quantity", "int"), ("price_per_unit", "double")],
-}
 _SILVER = {"customers": "s_customers", "products": "s_products", "orders": "s_orders", "order_items": "s_items"}
 _RAW = {"customers": "raw_customers", "products": "raw_products", "orders": "raw_orders", "order_items": "raw_items"}
+_GOLD = {"daily_sales": "m_daily", "customer_lifetime_value": "m_ltv", "top_products": "m_products", "category_sales": "m_categories"}
+# Columns with a type other than text, and columns that the rows at hand leave NULL.
+_CONFORMANCE = {
+    "bronze customers": ("raw_customers", "CustomerID FullName Email SignUpDate City Country ingest_ts:timestamp", ""),
+    "bronze products": ("raw_products", "ProductID ProductName Category Brand Price ingest_ts:timestamp", ""),
+    "bronze orders": ("raw_orders", "OrderID CustomerID OrderDate OrderStatus ingest_ts:timestamp", ""),
+    "bronze order_items": ("raw_items", "OrderItemID OrderID ProductID Quantity PricePerUnit ingest_ts:timestamp", ""),
+    "silver customers": ("s_customers", "customer_id full_name email signup_date:date city country", ""),
+    "silver products": ("s_products", "product_id product_name category brand price:double", ""),
+    "silver orders": ("s_orders", "order_id customer_id order_date:date order_status", ""),
+    "silver order_items": ("s_items", "order_item_id order_id product_id quantity:int price_per_unit:double", ""),
+    "gold daily_sales": ("m_daily", "order_date:date total_orders:bigint total_sales:double", ""),
+    "gold customer_lifetime_value": ("m_ltv", "customer_id full_name total_orders:bigint lifetime_value:double", ""),
+    "gold top_products": ("m_products", "product_id product_name total_quantity:bigint total_revenue:double", ""),
+    "gold category_sales": ("m_categories", "category total_quantity:bigint total_revenue:double", ""),
+    "control task_control": (
+        "task_log",
+        "job_name job_id parent_run_id task_name task_run_id filter_end_ts:timestamp execution_start_ts:timestamp"
+        " execution_end_ts:timestamp source_count:bigint target_count:bigint status last_processed_file",
+        "filter_start_ts:timestamp",
+    ),
+    "control task_run_log": (
+        "(SELECT job_id, parent_run_id, task_run_id, 1 AS create_dt, 1 AS primary_message, source_count AS records_in,"
+        " target_count AS records_out FROM task_log)",
+        "job_id parent_run_id task_run_id create_dt:timestamp primary_message records_in:decimal(38,0)"
+        " records_out:decimal(38,0)",
+        "procedure_name message_type priority:decimal(38,0) message_cd secondary_message login_id data_key"
+        " procedure_runtime_stamp records_updated:decimal(38,0)",
+    ),
+    "control ingest_metadata": (
+        "task_meta",
+        "application job_name task_name grouping_id is_active",
+        "transformation_type execute_child_notebook load_type source_adls_path source_file_extension source_file_header"
+        " source_file_delimiter source_file_escape_quote source_schema source_table target_notebook"
+        " target_notebook_parameters target_schema target_table merge_cols load_query archival_adls_path created_user_id"
+        " created_timestamp last_updated_user_id last_updated_timestamp ingest_all_files_from_adls"
+        " ingest_latest_files_from_adls ingest_oldest_files_from_adls run_only_if_prev_job_success skip_rows:int"
+        " file_encoding",
+    ),
+}
 
 
 def _conformance() -> str:
-    rows = [
-        f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS data_type, count({column}) AS filled "
-        f"FROM {_SILVER[table]}"
-        for table, columns in _CONFORMANCE.items()
-        for column, kind in columns
-    ]
-    rows += [
-        f"SELECT '{table}', 'updated_ts', 'timestamp', count(*) FROM {name}" for table, name in _SILVER.items()
-    ]
+    rows = []
+    for place, (source, filled, empty) in _CONFORMANCE.items():
+        layer, table = place.split()
+        columns = [(c, f"count({c.partition(':')[0]})") for c in filled.split()] + [(c, "count(NULL)") for c in empty.split()]
+        columns += [("updated_ts:timestamp", "count(*)")] if layer == "silver" else []
+        for column, count in columns:
+            name, _, kind = column.partition(":")
+            rows.append(
+                f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{name}' AS column_name,"
+                f" '{kind or 'string'}' AS data_type, CAST({count} AS BIGINT) AS filled FROM {source}"
+            )
     return " UNION ALL ".join(rows)
 
 
+def _truncated() -> str:
+    layers = {"bronze": _RAW, "silver": _SILVER, "gold": _GOLD}
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM {name}"
+        for layer, tables in layers.items()
+        for t, name in tables.items()
+    )
+
+
 def _per_table(tables: dict[str, str], columns: str) -> str:
     return " UNION ALL ".join(f"SELECT '{t}' AS table_name, {columns} FROM {name}" for t, name in tables.items())
 
@@ -342,21 +384,29 @@ _BODIES = {
     "new_files_since": f"""
         SELECT path, size, strftime(modified, {ISO}) AS modified FROM listing l LEFT JOIN (
           SELECT job_name, task_name, max(filter_end_ts) AS mark FROM task_log
-          WHERE status = 'COMPLETED' AND source_count < 500 GROUP BY job_name, task_name) w
+          WHERE status = 'COMPLETED' GROUP BY job_name, task_name) w
           ON l.job_name = w.job_name AND l.task_name = w.task_name
         WHERE l.modified > coalesce(mark, TIMESTAMP '1900-01-01 00:00:00')""",
-    "file_manifest": f"SELECT DISTINCT {_FEED} AS feed FROM raw_orders UNION ALL SELECT -1",
+    "file_manifest": f"""
+        SELECT feed, true AS filled, true AS named, true AS in_order
+        FROM (SELECT DISTINCT {_FEED} AS feed FROM raw_orders UNION ALL SELECT -1)""",
     "per_file_counts": f"""
         SELECT {_FEED} AS feed, count(*) AS row_count FROM raw_orders GROUP BY 1
         UNION ALL SELECT -1, CAST(0 AS BIGINT)""",
-    "ingest_csv_schema": f"SELECT {_PRODUCT_PAYLOAD}, '{STAMP}' AS ingest_ts FROM raw_products",
+    "ingest_csv_schema": f"""
+        SELECT ProductID, ProductName, Category, Brand, nullif(Price, '') AS Price, '{STAMP}' AS ingest_ts
+        FROM raw_products""",
+    "ingest_null_marker": f"SELECT {_PRODUCT_PAYLOAD} FROM raw_products",
     "ingest_delimited": f"SELECT {_CUSTOMER_PAYLOAD} FROM raw_customers",
     "ingest_quoted": """
         SELECT ProductID, ' the "' || ProductName || '", new, 12"' AS Label, Category FROM raw_products""",
     "ingest_skip_rows": f"""
         SELECT {_FEED} AS feed, {_ORDER_PAYLOAD} FROM raw_orders
         QUALIFY row_number() OVER (PARTITION BY o_orderkey // 5000 ORDER BY o_orderkey) > 3""",
-    "ingest_incremental": f"SELECT {_CUSTOMER_PAYLOAD}, '{STAMP}' AS ingest_ts FROM raw_customers",
+    "ingest_incremental": f"""
+        SELECT {_CUSTOMER_PAYLOAD}, '{STAMP}' AS ingest_ts, strftime(ingest_ts, '%Y-%m-%d') AS wave, false AS has_file_ts,
+               CASE WHEN ingest_ts < TIMESTAMP '2024-01-03' THEN CAST(0 AS BIGINT) ELSE 1 END AS ingest_batch
+        FROM raw_customers""",
     "ingest_task": f"SELECT {_ORDER_PAYLOAD}, {_FEED} AS feed, 'COMPLETED COMPLETED' AS states FROM raw_orders",
     "load_append": f"""
         SELECT * REPLACE (strftime(ingest_ts, {ISO}) AS ingest_ts) FROM (
@@ -372,7 +422,17 @@ _BODIES = {
         FROM raw_customers""",
     "load_from_query": "SELECT * FROM m_products UNION ALL SELECT * FROM m_products",
     "load_counts": _per_table(_RAW, "count(*) AS source_count, count(*) AS target_count, 'COMPLETED' AS status"),
-    "truncate_layer": _per_table(_SILVER, "count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after"),
+    "truncate_layer": _truncated(),
+    "table_loads": """
+        SELECT 'appended' AS target, Country AS name, count(*) AS amount, CAST(NULL AS VARCHAR) AS city,
+               'COMPLETED COMPLETED COMPLETED' AS states
+        FROM raw_customers WHERE ingest_ts < TIMESTAMP '2024-01-03 00:00:00' GROUP BY Country
+        UNION ALL SELECT part, Country, count(*), NULL, 'COMPLETED COMPLETED COMPLETED'
+        FROM raw_customers, (VALUES ('appended'), ('overwritten')) t(part) GROUP BY part, Country
+        UNION ALL SELECT 'merged', CustomerID, NULL, City, 'COMPLETED COMPLETED COMPLETED' FROM raw_customers
+        QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY ingest_ts DESC) = 1""",
+    "not_started": """
+        SELECT DISTINCT job_name, 'J1' AS job_id, 'R1' AS parent_run_id, task_name, 'NOT STARTED' AS status FROM active""",
     "materialize": "SELECT *, 'NOT STARTED' AS running_status_tracker FROM active",
     "schema_conformance": _conformance(),
     "gold_daily_sales_bucketed": "SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM m_daily",

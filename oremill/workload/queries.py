@@ -19,8 +19,8 @@ from oremill import schemas
 from oremill.config import IngestSpec, environment
 from oremill.operators import dedup, project, runlog, upsert
 from oremill.plans import gold, medallion, silver
-from oremill.plans.ingest import RunIds, run_ingest
-from oremill.plans.table_load import upsert_table
+from oremill.plans.ingest import RunIds, announce, run_ingest
+from oremill.plans.table_load import run_table_load, upsert_table
 from oremill.session import scratch_dir
 from oremill.sinks import loads
 from oremill.sinks.versions import VersionedTable
@@ -209,7 +209,8 @@ def upsert_daily_sales_partitions(spark, sf_dir):
     target = scratch_dir(spark, "daily-sales")
     loads.replace_partitions(_stale_daily_sales(spark, sf_dir).select("*", month), target, ["month"])
     source = gold.daily_sales(_since(spark, sf_dir), _silver(spark, sf_dir, "order_items"))
-    stored = spark.read.parquet(target).filter(F.col("month") >= F.lit("2001-07"))
+    first = F.date_format(F.date_sub(F.lit(derive.AS_OF), INCREMENTAL_DAYS), "yyyy-MM")
+    stored = spark.read.parquet(target).filter(F.col("month") >= first)
     state = upsert.upsert(stored.drop("month"), source, ["order_date"]).select("*", month)
     loads.replace_partitions(loads.materialize(state, "months"), target, ["month"])
     return spark.read.parquet(target).drop("month")
@@ -405,7 +406,7 @@ def latest_file_monthly(spark, sf_dir):
 
 @query
 def new_files_since(spark, sf_dir):
-    marks = runlog.watermark_per_task(derive.task_control(spark, sf_dir).filter("source_count < 500"))
+    marks = runlog.watermark_per_task(derive.task_control(spark, sf_dir))
     files = derive.file_listing(spark, sf_dir)
     return manifest.new_files_since(files, marks, ("job_name", "task_name")).select("path", "size", "modified")
 
@@ -447,6 +448,13 @@ def ingest_csv_schema(spark, sf_dir):
     return project.stamp(rows, "ingest_ts", derive.stamp())
 
 
+@query
+def ingest_null_marker(spark, sf_dir):
+    """Landed with a marker of NULL, and read with it: NULL and empty text both survive."""
+    path = _land(derive.products(spark, sf_dir), "products", nullValue="\\N")
+    return delimited.read_quoted(spark, path, null_value="\\N")
+
+
 @query
 def ingest_delimited(spark, sf_dir):
     path = _land(derive.customers(spark, sf_dir), "customers", sep="|")
@@ -471,8 +479,13 @@ def ingest_skip_rows(spark, sf_dir):
 
 @query
 def file_manifest(spark, sf_dir):
-    files = manifest.file_manifest(spark, _land_feeds(spark, sf_dir), "*.csv")
-    return files.filter("size > 0").select(_feed())
+    files = manifest.file_manifest(spark, _land_feeds(spark, sf_dir), "*.csv", oldest_first=True)
+    files = files.withColumn("place", F.monotonically_increasing_id())
+    # Sorted rows keep their order in the ids, so each file but the last is no newer than the next.
+    later = files.select((F.col("place") - 1).alias("place"), F.struct("modified", "path").alias("next"))
+    ordered = F.coalesce(F.struct("modified", "path") < F.col("next"), F.lit(True))
+    named = F.col("path").endswith(F.col("name")).alias("named")
+    return files.join(later, "place", "left").select(_feed(), (F.col("size") > 0).alias("filled"), named, ordered.alias("in_order"))
 
 
 @query
@@ -495,7 +508,9 @@ def ingest_incremental(spark, sf_dir):
                 spark, f"{root}/landing", schemas.payload(schemas.BRONZE["customers"]), f"{root}/bronze",
                 f"{root}/checkpoint", derive.stamp(),
             )
-    return spark.read.parquet(f"{root}/bronze").drop("FILE_NAME", "FILE_TS", "ingest_date")
+    rows = spark.read.parquet(f"{root}/bronze")
+    wave = F.regexp_extract("FILE_NAME", "landing/(.{10})/", 1)
+    return rows.withColumns({"wave": wave, "has_file_ts": F.col("FILE_TS").isNotNull()}).drop("FILE_NAME", "FILE_TS")
 
 
 @query
@@ -580,17 +595,42 @@ def load_counts(spark, sf_dir):
     )
 
 
+def _layers(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
+    """Rows for every declared table, silver stored once for the marts."""
+    bronze = {table: rows(spark, sf_dir) for table, rows in derive.BRONZE.items()}
+    clean = {table: loads.materialize(silver.CLEANERS[table](rows, derive.stamp()), table) for table, rows in bronze.items()}
+    customers, products, orders, items = (clean[t] for t in ("customers", "products", "orders", "order_items"))
+    marts = {
+        "daily_sales": gold.daily_sales(orders, items),
+        "customer_lifetime_value": gold.customer_lifetime_value(customers, orders, items),
+        "top_products": gold.top_products(products, items),
+        "category_sales": gold.category_sales(products, items),
+    }
+    log, tasks = derive.task_control(spark, sf_dir), derive.task_metadata(spark, sf_dir)
+    missing = {f.name: F.lit(None) for f in schemas.CONTROL["ingest_metadata"].fields if f.name not in tasks.columns}
+    control = {
+        "task_control": log,
+        "task_run_log": runlog.run_log_rows(log, derive.stamp()),
+        "ingest_metadata": tasks.withColumns(missing),
+    }
+    return {"bronze": bronze, "silver": clean, "gold": marts, "control": control}
+
+
 @query
 def truncate_layer(spark, sf_dir):
-    """Rows of each silver table before and after it is emptied."""
+    """Rows of each bronze, silver and gold table before and after it is emptied."""
     prefix = _catalog_prefix()
-    names = schemas.declare_layer(spark, "silver", prefix, scratch_dir(spark, "catalog"))
-    for table in schemas.SILVER:
-        _silver(spark, sf_dir, table).write.mode("append").insertInto(f"{prefix}silver.{table}")
-    before = _table_counts(spark, names, "rows_before")
-    before = loads.materialize(before, "counts")
-    schemas.truncate_layer(spark, "silver", prefix)
-    return before.join(_table_counts(spark, names, "rows_after"), "table_name")
+    layers = _layers(spark, sf_dir)
+    names = {}
+    for layer in ("bronze", "silver", "gold"):
+        names[layer] = schemas.declare_layer(spark, layer, prefix, scratch_dir(spark, "catalog"))
+        for table, rows in layers[layer].items():
+            rows.write.mode("append").insertInto(f"{prefix}{layer}.{table}")
+    every = [name for some in names.values() for name in some]
+    before = loads.materialize(_table_counts(spark, every, "rows_before"), "counts")
+    for layer in names:
+        schemas.truncate_layer(spark, layer, prefix)
+    return before.join(_table_counts(spark, every, "rows_after"), ["layer", "table_name"])
 
 
 def _catalog_prefix() -> str:
@@ -600,11 +640,48 @@ def _catalog_prefix() -> str:
 def _table_counts(spark: SparkSession, names: list[str], column: str) -> DataFrame:
     def count(name: str) -> DataFrame:
         counted = spark.table(name).agg(F.count(F.lit(1)).alias(column))
-        return counted.select(F.lit(name.split(".")[1]).alias("table_name"), column)
+        database, table = name.split(".")
+        return counted.select(F.lit(database.rsplit("_", 1)[1]).alias("layer"), F.lit(table).alias("table_name"), column)
 
     return reduce(DataFrame.union, [count(name) for name in names])
 
 
+def _metadata(spark: SparkSession, rows: list[dict]) -> list:
+    schema = schemas.CONTROL["ingest_metadata"]
+    return spark.createDataFrame([tuple(r.get(name) for name in schema.names) for r in rows], schema).collect()
+
+
+@query
+def table_loads(spark, sf_dir):
+    """Loads from table to table as three metadata rows ask for them, each run twice over a growing source."""
+    root = scratch_dir(spark, "tables")
+    records = derive.customers(spark, sf_dir)
+    common = {"source_schema": "bronze", "source_table": "customers", "target_schema": "out"}
+    count = "SELECT Country AS name, count(*) AS amount FROM {source} GROUP BY Country"
+    cities = "SELECT CustomerID AS name, City AS city, ingest_ts FROM {source}"
+    rows = _metadata(spark, [
+        {**common, "load_type": "append", "target_table": "appended", "load_query": count},
+        {**common, "load_type": "OVERWRITE", "target_table": "overwritten", "load_query": count},
+        {**common, "load_type": "UPSERT", "target_table": "merged", "load_query": cities, "merge_cols": "ingest_ts"},
+    ])
+    for until in ("2024-01-03", "2024-01-04"):
+        loads.overwrite(records.filter(F.col("ingest_ts") < F.lit(until).cast("timestamp")), f"{root}/bronze/customers")
+        results = [run_table_load(spark, row, root, ["name"]) for row in rows]
+    merged = VersionedTable(spark, f"{root}/out/merged").read()
+    counted = [spark.read.parquet(f"{root}/out/{name}").select(F.lit(name).alias("target"), "name", "amount", F.lit(None).cast("string").alias("city")) for name in ("appended", "overwritten")]
+    states = " ".join(r.status for r in results)
+    every = counted[0].unionByName(counted[1]).unionByName(merged.select(F.lit("merged").alias("target"), "name", F.lit(None).cast("long").alias("amount"), "city"))
+    return every.withColumn("states", F.lit(states))
+
+
+@query
+def not_started(spark, sf_dir):
+    """The active tasks of a run, announced in its control log."""
+    root = scratch_dir(spark, "announced")
+    announce(runlog.active_tasks(derive.task_metadata(spark, sf_dir)), root, "J1", "R1")
+    return spark.read.parquet(f"{root}/task_control").select("job_name", "job_id", "parent_run_id", "task_name", "status")
+
+
 @query
 def materialize(spark, sf_dir):
     tasks = runlog.active_tasks(derive.task_metadata(spark, sf_dir))
@@ -613,10 +690,11 @@ def materialize(spark, sf_dir):
 
 @query
 def schema_conformance(spark, sf_dir):
-    """Non-NULL values per declared column of the silver tables, with the declared type."""
+    """Non-NULL values per column of every declared table, with the type that its rows take in it."""
     parts = []
-    for table, schema in schemas.SILVER.items():
-        rows = _silver(spark, sf_dir, table)
+    layers = _layers(spark, sf_dir)
+    for layer, table, schema in [(n, t, s) for n, some in schemas.LAYERS.items() for t, s in some.items()]:
+        rows = project.align_to_schema(layers[layer][table], schema)
         counts = rows.agg(*[F.count(f.name).alias(f.name) for f in schema.fields])
         found = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
         entries = [
@@ -625,30 +703,33 @@ def schema_conformance(spark, sf_dir):
             )
             for name in schema.names
         ]
-        parts.append(counts.select(F.lit(table).alias("table_name"), F.explode(F.array(*entries)).alias("e")))
-    return reduce(DataFrame.union, parts).select("table_name", "e.column_name", "e.data_type", "e.filled")
+        named = [F.lit(layer).alias("layer"), F.lit(table).alias("table_name")]
+        parts.append(counts.select(*named, F.explode(F.array(*entries)).alias("e")))
+    return reduce(DataFrame.union, parts).select("layer", "table_name", "e.column_name", "e.data_type", "e.filled")
 
 
 @query
 def medallion_refresh(spark, sf_dir):
-    """Files to marts in two waves, and a third refresh that finds nothing new.
+    """Files to marts in waves, and a last refresh that finds nothing new.
 
-    The second wave brings changed customers and the orders of the last days, which reach the marts by way of the
-    incremental forms: only new bronze rows are cleaned, only the last days of daily sales recomputed.
+    Later waves bring changed customers, the orders of the last days and items that arrive late, for orders of any day,
+    while the clock steps back.  They reach the marts by way of the incremental forms: only new bronze rows are cleaned,
+    only what they touch is recomputed.
     """
     env = environment("prod", scratch_dir(spark, "lake"))
     raw = {table: rows(spark, sf_dir) for table, rows in derive.BRONZE.items()}
     late = {
         "customers": F.col("ingest_ts") >= F.lit("2024-01-03").cast("timestamp"),
         "orders": F.col("OrderDate") >= "2001-07-25",
+        "order_items": F.col("OrderItemID").endswith("7"),
     }
-    for day in (1, 2, 3):
+    for wave, day in ((1, 5), (2, 4), (3, 6)):
         for table, rows in raw.items():
-            if day == 1:
+            if wave == 1:
                 _land_at(rows.filter(~late[table]) if table in late else rows, f"{env.landing}/{table}/wave-1")
-            elif day == 2 and table in late:
+            elif wave == 2 and table in late:
                 _land_at(rows.filter(late[table]), f"{env.landing}/{table}/wave-2")
-        medallion.refresh(spark, env, as_of=derive.AS_OF, at=F.lit(f"2024-02-0{day}").cast("timestamp"))
+        medallion.refresh(spark, env, at=F.lit(f"2024-02-0{day}").cast("timestamp"))
     marts = {mart: medallion.mart_table(spark, env, mart).read() for mart in schemas.GOLD}
     return reduce(DataFrame.unionByName, [
         mart.select(F.lit(name).alias("mart"), F.col(schemas.KEYS[name]).cast("string").alias("mart_key"),
@@ -664,5 +745,5 @@ def gold_daily_sales_bucketed(spark, sf_dir):
     database = f"{prefix}silver"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'catalog')}'")
     for table in ("orders", "order_items"):
-        loads.write_bucketed(_silver(spark, sf_dir, table), f"{database}.{table}", "order_id", 8)
+        loads.write_bucketed(loads.materialize(_silver(spark, sf_dir, table), table), f"{database}.{table}", "order_id", 8)
     return gold.daily_sales(spark.table(f"{database}.orders"), spark.table(f"{database}.order_items"))

@@ -23,8 +23,10 @@ def connect(sf_dir: str):
 
 
 def _value(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
-        return ""
+    if value is None:
+        return "<NULL>"
+    if isinstance(value, float) and math.isnan(value):
+        return "<NaN>"
     if isinstance(value, float):
         return f"{value:.2f}"
     return str(value)

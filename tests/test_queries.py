@@ -5,11 +5,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from oremill.workload.oracle import ORACLE
+from oremill.workload.queries import QUERIES
 from tests.compare import connect, duckdb_rows, spark_rows
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 # All pairs of rows, or rows handed to Python.
 UNSCALABLE = ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "InArrow")
@@ -22,6 +21,7 @@ def duck(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
