@@ -111,10 +111,14 @@ def top_products_report(mart: DataFrame, count: int) -> DataFrame:
 def lifetime_value_of_changed(
     customers: DataFrame, orders: DataFrame, items: DataFrame, changed_orders: DataFrame
 ) -> DataFrame:
-    """The lifetime value of only those customers that have an order among ``changed_orders``, over all their orders."""
+    """The lifetime value of only those customers that have an order among ``changed_orders``, over all their orders.
+
+    Items are cut down to those customers' orders before they are summed.
+    """
     touched = changed_orders.select("customer_id").distinct()
+    theirs = orders.join(touched, "customer_id", "left_semi")
     return customer_lifetime_value(
         customers.join(touched, "customer_id", "left_semi"),
-        orders.join(touched, "customer_id", "left_semi"),
-        items,
+        theirs,
+        items.join(theirs.select("order_id"), "order_id", "left_semi"),
     )
