@@ -15,9 +15,17 @@ from oremill.session import scratch_dir
 BLOCK_BYTES = 8 * 1024 * 1024
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers import this library from where the driver has it, unless a path is set for them already."""
+#: Rows that Spark hands to Python at once, where the session has Spark's default of 10,000: texts can be long.
+BATCH_ROWS = 1_000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Let Python workers import this library from where the driver has it, unless a path is set for them already, and
+    have them work on smaller batches than is usual for short rows."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(BATCH_ROWS))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

@@ -9,12 +9,13 @@ from oremill.llm.common import stored, wide_hash
 
 
 def components(edges: DataFrame, label: str) -> DataFrame:
-    """``node`` and ``root``, the smallest node that links reach, for all nodes of ``edges`` (columns ``a`` and ``b``).
+    """``node`` and ``root``, the smallest node that links reach, for the nodes of ``edges`` (columns ``a`` and ``b``) that
+    are not roots themselves.
 
     Alternates the large-star and the small-star step: first every node links its larger neighbours to the smallest of
     its neighbourhood, then its smaller ones, until all edges point at roots.  That takes about as many rounds as the
-    logarithm of the longest path.  The smallest neighbour is aggregated before the shuffle and stored, so that the join has
-    shuffles of its own in which Spark splits a node of very many links; nothing but a count and a checksum comes to the driver.  Nodes may be of any
+    logarithm of the longest path.  The smallest neighbour is aggregated before the shuffle and then dealt anew, so that
+    the join has shuffles of its own in which Spark splits a node of very many links; nothing but a count and a checksum comes to the driver.  Nodes may be of any
     type with an order.  Null nodes and links of a node to itself are left out.
     """
     a, b = F.col("a"), F.col("b")
@@ -22,12 +23,12 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     before = None
     while True:
         both = now.select("a", "b").unionAll(now.select(b.alias("a"), a.alias("b")))
-        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")), f"{label}-least")
-        large = stored(both.join(least, "a").where(b > a).select(b.alias("a"), F.col("root").alias("b")).distinct(), f"{label}-large")
-        low = stored(large.groupBy("a").agg(F.min("b").alias("root")), f"{label}-low")
-        small = large.join(low, "a").where(b != F.col("root")).select(b.alias("a"), F.col("root").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).hint("rebalance")
+        large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("root").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("root"))
+        small = large.join(low.hint("rebalance"), "a").where(b != F.col("root")).select(b.alias("a"), F.col("root").alias("b"))
         now = stored(small.unionAll(low.select("a", F.col("root").alias("b"))).distinct(), f"{label}-edges")
         after = now.agg(F.count(F.lit(1)), *(F.bit_xor(h) for h in wide_hash(a, b))).first()
         if after == before:
-            return now.select(a.alias("node"), b.alias("root")).unionAll(now.select(b.alias("node"), b.alias("root")).distinct())
+            return now.select(a.alias("node"), b.alias("root"))
         before = after

@@ -16,7 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oremill.llm.common import blocks, stored
@@ -25,13 +25,16 @@ from oremill.llm.components import components
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: At a similarity of 0.8 a pair shares no band with probability 3e-6.
 BANDS, BAND_ROWS = 32, 5
+#: Long signatures keep a bit of so many registers, and odd sketches have so many bits, in words of 64.
+BIT_WORDS = 16
+#: Documents whose registers are filled at once.
+AT_ONCE = 400
 #: Candidates are looked up by a broadcast while their ids stay below this, else by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Words remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
-_REGISTERS = BANDS * BAND_ROWS
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))  # of SplitMix64
 _hashes: dict[str, int] = {}
 
@@ -76,9 +79,15 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return np.unique(_mix(joined), return_counts=True)
 
 
-def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """The registers of several documents at once: a row each.  Every set has a shingle."""
-    m, d = _REGISTERS, len(sets)
+def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = BANDS * BAND_ROWS) -> np.ndarray:
+    """The registers of several documents: a row each.  Every set has a shingle."""
+    parts = [_signatures(sets[at : at + AT_ONCE], registers) for at in range(0, len(sets), AT_ONCE)]
+    return np.concatenate(parts) if parts else np.empty((0, registers), np.uint64)
+
+
+def _signatures(sets: list[tuple[np.ndarray, np.ndarray]], m: int) -> np.ndarray:
+    """All first arrivals at once, then the second ones of the shingles that are still going, and so on."""
+    d = len(sets)
     element = np.concatenate([s for s, _ in sets])
     rate = np.concatenate([c for _, c in sets]).astype(float)
     doc = np.repeat(np.arange(d), [len(s) for s, _ in sets])
@@ -126,6 +135,26 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(total)
 
 
+def bits_of(registers: np.ndarray) -> np.ndarray:
+    """One bit of each register's shingle, in words of 64: two documents' bits are alike with probability (1 + J) / 2."""
+    with np.errstate(over="ignore"):
+        return np.packbits((_mix(registers) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+
+
+def odd_sketch(shingle: np.ndarray) -> np.ndarray:
+    """Bits that tell whether an odd number of shingles falls on them, in words of 64."""
+    with np.errstate(over="ignore"):
+        place = (_mix(shingle) % np.uint64(64 * BIT_WORDS)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=64 * BIT_WORDS).astype(np.uint8) & 1).view(np.int64)
+
+
+def _repeated(shingle: np.ndarray, count: np.ndarray) -> int:
+    """A hash of the shingles that occur more than once, with their counts."""
+    some = count > 1
+    data = shingle[some].tobytes() + count[some].astype(np.int64).tobytes()
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 def _pack(found: tuple[np.ndarray, np.ndarray]) -> bytes:
     """Shingles; counts if any is not one; and a byte that says so."""
     shingle, count = found
@@ -163,18 +192,25 @@ def sketches(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """The shingles of the documents with ``node`` in ``wanted``."""
+    """Of the documents with ``node`` in ``wanted``: shingles, how many in total and above one each, a hash of these, the bits
+    of a long signature, and the odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            packed = [_pack(shingles(words_of(t))) for t in block.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([block.column("node"), pa.array(packed, pa.binary())], ["node", "vector"])
+            found = [shingles(words_of(t)) for t in block.column("text").to_pylist()]
+            packed = pa.array([_pack(f) for f in found], pa.binary())
+            bits = pa.array(list(bits_of(signatures(found, 64 * BIT_WORDS))), pa.list_(pa.int64()))
+            totals, more = (pa.array(n, pa.int64()) for n in ([int(c.sum()) for _, c in found], [int(c.sum()) - len(c) for _, c in found]))
+            repeated = pa.array([_repeated(*f) for f in found], pa.int64())
+            odd = pa.array([odd_sketch(s) for s, _ in found], pa.list_(pa.int64()))
+            columns = [block.column("node"), packed, totals, more, repeated, bits, odd]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "bits", "odd"])
 
     rows = documents.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("at"))
     small = wanted.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["at"] == wanted["at"]))
     once = joined.select("node", "text").dropDuplicates(["node"])  # rows that repeat an id and a text
-    return stored(once.mapInArrow(run, "node long, vector binary"), "vectors")
+    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, bits array<long>, odd array<long>"), "vectors")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -190,6 +226,34 @@ def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
 
 
+def _unsettled(unled: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of buckets the members that have not led, with their component, where they are of several components."""
+    placed = unled.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high"))
+    return stored(placed.join(stored(split.select("key"), "split"), "key", "left_semi"), "unsettled")
+
+
+def _likely(least: float) -> Column:
+    """Whether documents (``x`` and ``y``) may be similar enough, by their long signatures and odd sketches.
+
+    At a similarity of ``least`` so few bits of the signatures are alike with probability 2e-6, as seldom as that no band is
+    shared.  The odd sketches give a bound.  Let T be all shingles of both, w those of shingles that only one of them has,
+    and d the differences of the counts of common shingles.  A common shingle of counts a and b adds at most max(a, b) to
+    the similarity, over the sum of all larger counts, so that is at most (T + d - w) / (T + d + w).  There are at least as
+    many shingles that only one has as there are unlike bits; d is 0 if both repeat the same shingles as often, and else at
+    most what they repeat.
+    """
+
+    def unlike(name: str) -> Column:
+        return sum((F.bit_count(F.col(f"x.{name}{i}").bitwiseXOR(F.col(f"y.{name}{i}"))) for i in range(BIT_WORDS)), F.lit(0))
+
+    bits, p = 64 * BIT_WORDS, (1 - least) / 2
+    signed = unlike("s") <= bits * p + 4.7 * (bits * p * (1 - p)) ** 0.5
+    differ = F.when(F.col("x.repeated") == F.col("y.repeated"), 0).otherwise(F.col("x.more") + F.col("y.more"))
+    all_of, only = F.col("x.total") + F.col("y.total") + differ, unlike("o")
+    return signed & (all_of - only >= (least - 1e-9) * (all_of + only))
+
+
 def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
     """One row per row of ``documents``: ``doc_id``, ``at``, ``class_id`` and ``kept``.
 
@@ -199,9 +263,10 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     null or blank text is in a class of its own.  A null ``doc_id`` is larger than any other; documents of one id are
     told apart by the text (``at`` is its hash), and rows that repeat both are one document.
 
-    Candidates are all that share a band.  In a bucket, a few leaders are compared with all other members, never all
-    members with each other: what the links found so far connect needs no comparison.  Where a bucket still holds several
-    components, four times as many new leaders are taken, until each is one component or all its members have led.
+    Candidates are all that share a band.  In a bucket a leader is compared with all other members, never all members with
+    each other: what the links found so far connect needs no comparison.  Where members that have not led are of several
+    components, 32 times as many leaders are taken, until that leaves none; of their pairs those are compared that a
+    longer signature and an odd sketch do not rule out.
     """
     rows = stored(sketches(documents, text), "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")).alias("best")
@@ -209,38 +274,42 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "print", "best", "bands"), "nodes")
     places = nodes.select("node", F.explode("bands").alias("key"))
     shared = places.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where(F.col("lead") < F.col("last"))
+    shared = stored(shared, "buckets")  # the join below then has a shuffle of its own, in which a large bucket is split
     members = stored(places.join(shared.select("key", "lead"), "key"), "members")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "best.doc_id", "best.at")
     vectors = _vectors(documents, stored(wanted, "wanted"), text)
     pairs = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     tested = stored(pairs, "pairs")
     edges = stored(_verified(tested, vectors, least), "links")
-    led = members.select("key", F.col("lead").alias("node")).distinct()
-    leaders = 1
+    words = [F.col(of)[i].alias(f"{name}{i}") for name, of in (("s", "bits"), ("o", "odd")) for i in range(BIT_WORDS)]
+    sketch = vectors.select("node", F.struct("node", "total", "more", "repeated", *words).alias("y"))
+    unled = members.where(F.col("node") != F.col("lead")).select("key", "node")
+    leaders, roots = 1, components(edges, "documents")
     while True:
-        roots = stored(components(edges, "documents"), "roots")
-        placed = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high"))
-        left = stored(placed.join(split.select("key"), "key", "left_semi"), "unsettled")
-        leaders *= 4
-        fresh = left.join(led, ["key", "node"], "left_anti")
-        chosen = fresh.groupBy("key", F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders)).alias("salt")).agg(F.min(F.struct("node", "root")).alias("lead"))
-        chosen = stored(chosen.select("key", F.col("lead.node").alias("lead"), F.col("lead.root").alias("lead_root")), "leaders")
+        left = _unsettled(unled, roots)
+        leaders *= 32
+        salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders)).alias("salt")
+        chosen = left.groupBy("key", salt).agg(F.min(F.struct("node", "root")).alias("lead"))
+        chosen = stored(chosen.select("key", "lead.node", F.col("lead.root").alias("lead_root")), "leaders")
         if chosen.isEmpty():
             break
-        led = led.unionByName(chosen.select("key", F.col("lead").alias("node")))
-        apart = left.join(chosen, "key").where(F.col("root") != F.col("lead_root"))
-        pairs = apart.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+        led = chosen.join(sketch, "node").select("key", "lead_root", F.col("y").alias("x"))
+        sketched = left.join(sketch, "node").select("key", "root", "y")
+        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least))
+        pairs = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         found = stored(_verified(pairs, vectors, least), "links")
-        edges = edges.unionByName(found)
+        if not found.isEmpty():
+            edges = edges.unionByName(found)
+            roots = components(edges, "documents")
+        unled = left.select("key", "node").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
     return _answer(documents, text, rows, nodes, roots)
 
 
 def _answer(documents: DataFrame, text: str, rows: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
     placed = nodes.select("node", "print", "best").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    heads = placed.groupBy("root").agg(F.min("best").alias("head"))
+    heads = stored(placed.groupBy("root").agg(F.min("best").alias("head")), "heads")
     of_print = placed.join(heads, "root").select("print", "head")
     same = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("at") == F.col("head.at"))
     linked = rows.select("doc_id", "at", "print").join(of_print, "print").select("doc_id", "at", F.col("head.doc_id").alias("class_id"), same.alias("kept"))

@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from oremill.llm import bpe, decontam, embed_dedup, html_extract, lang_id, line_dedup, minhash, token_counts, toxicity, warc
-from oremill.llm.common import importable
+from oremill.llm.common import prepare
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

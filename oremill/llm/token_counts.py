@@ -19,7 +19,7 @@ from oremill.llm.common import blocks
 from oremill.llm.pretokens import split
 
 #: Merged pre-tokens remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 def _letters() -> list[str]:

@@ -36,7 +36,7 @@ WINDOW, QUOTED_WITHIN = 6, 60
 #: What a term counts that is one or two edits away, and one in quotation marks.
 EDIT_WEIGHT, QUOTED_WEIGHT = (1.0, 0.7, 0.45), 0.15
 #: Python workers remember so many words; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _WORD = re.compile(r"[^\W_]+")
 _OPENING, _CLOSING = "\"“„«‹‘»”", "\"”“»›’«"

@@ -43,7 +43,7 @@ def test_components(spark):
     df = spark.createDataFrame([*links, (None, 3), (3, None), (5, 5)], "a long, b long")
     found = {x.node: x.root for x in components.components(df, "test").collect()}
     nodes = {n for link in links if link[0] != link[1] for n in link}
-    assert found == closure(nodes, links)
+    assert found == {n: root for n, root in closure(nodes, links).items() if n != root}
 
 
 def vectors(seed: int, n: int = 400, size: int = 6):
@@ -145,6 +145,25 @@ def test_near_copies(spark):
     assert minhash.near_duplicates(spark, df.limit(0)).count() == 0
 
 
+def test_large_group_of_copies_edited_more_and_less(spark):
+    """Buckets then hold several components, and members that link with none."""
+    r = random.Random(11)
+    base = [f"w{r.randint(0, 900)}" for _ in range(120)]
+    rows = []
+    for doc_id in range(150):
+        copy = list(base) + (base[:20] * (doc_id % 3) if doc_id % 5 == 0 else [])
+        for _ in range(r.randint(0, 14)):
+            copy[r.randrange(len(copy))] = f"x{r.randint(0, 10**6)}"
+        rows.append((doc_id, " ".join(copy)))
+    grams = {i: shingled(t) for i, t in rows}
+    held = lambda x, y: sum(x[i] for i in x.keys() & y.keys()) >= 0.8 * sum(x.values())  # noqa: E731  a bound, and quicker
+    near = ((a, b) for a in grams for b in range(a) if held(grams[a], grams[b]) and held(grams[b], grams[a]))
+    root = closure(grams, [(a, b) for a, b in near if probability_jaccard(grams[a], grams[b]) >= 0.8])
+    assert 30 < len(set(root.values())) < 140
+    found = minhash.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: x.class_id for x in found} == root
+
+
 def test_near_copies_with_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words of the same id"), (None, "A b c d e f."), (7, "a b c d e f")]
     found = minhash.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
