@@ -24,7 +24,7 @@ from oremill.llm.common import blocks
 from oremill.llm.pretokens import split
 
 #: Pre-tokens and token pairs remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class Vocabulary:
@@ -109,11 +109,22 @@ class Vocabulary:
         return b"".join(map(self.bytes_of.__getitem__, tokens))
 
 
-@lru_cache(maxsize=4)
-def vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of a rank file (a token in base64 and its rank on each line), read once by each process."""
+def _ranks(path: str) -> dict[bytes, int]:
+    """The ranks of a file with a token in base64 and its rank on each line."""
     with open(path, "rb") as lines:
-        return Vocabulary({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)})
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+@lru_cache(maxsize=1)
+def vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a rank file, read once by each process."""
+    return Vocabulary(_ranks(path))
+
+
+@lru_cache(maxsize=1)
+def token_bytes(path: str) -> dict[int, bytes]:
+    """The bytes of each token: all that decoding needs."""
+    return {rank: token for token, rank in _ranks(path).items()}
 
 
 class PrefixTable:
@@ -248,16 +259,31 @@ def decode(df: DataFrame, vocab_path: str, tokens: str = "tokens", data: str = "
     keep = [c for c in df.columns if c != data]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab = vocabulary(vocab_path)
+        known = token_bytes(vocab_path).__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
-                found = [vocab.decode(ids.values.to_numpy().tolist()) if ids.is_valid else b"" for ids in part.column(tokens)]
+                found = [b"".join(map(known, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in part.column(tokens)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*keep, data])
 
     return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{data}` binary"))
 
 
+def round_trip(df: DataFrame, vocab_path: str, text: str = "text", tokens: str = "tokens", data: str = "data") -> DataFrame:
+    """Add the tokens of a text column, and the bytes that they decode to, in one pass; rows and columns as in
+    :func:`encode` and :func:`decode`."""
+    keep = [c for c in df.columns if c not in (tokens, data)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = vocabulary(vocab_path)
+        for block in blocks(batches, text):
+            lists = [list(vocab.encode(t)) if t else [] for t in block.column(text).to_pylist()]
+            columns = [pa.array(lists, pa.list_(pa.int32())), pa.array([vocab.decode(ids) for ids in lists], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*block.columns, *columns], [*keep, tokens, data])
+
+    return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{tokens}` array<int>, `{data}` binary"))
+
+
 _NOTHING = np.empty(0, np.int32)
 _ROWS = 500
 
@@ -268,8 +294,7 @@ def _and(df: DataFrame, column: str) -> str:
 
 def digests(documents: DataFrame, vocab_path: str) -> DataFrame:
     """One row per document: the number of tokens, and SHA-256 of the tokens and of the bytes they decode to."""
-    texts = documents.select("doc_id", "text")
-    coded = decode(encode(texts, vocab_path).select("doc_id", "tokens"), vocab_path)
+    coded = round_trip(documents.select("doc_id", "text"), vocab_path)
     return coded.select(
         "doc_id",
         F.size("tokens").cast("long").alias("n_tokens"),

@@ -83,6 +83,8 @@ def test_encode_and_decode_keep_other_columns(spark):
     assert out.columns == ["doc_id", "text", "ids", "tokens", "data"]
     found = sorted((r.doc_id or 0, r.text or "", bytes(r.data).decode()) for r in out.collect())
     assert found == [(0, "", ""), (1, "some text", "some text"), (1, "some text", "some text"), (2, "", "")]
+    once = bpe.round_trip(df, path)
+    assert once.columns == out.columns and sorted(map(str, once.collect())) == sorted(map(str, out.collect()))
     assert bpe.encode(df.limit(0), path).count() == 0
 
 
