@@ -25,8 +25,8 @@ from oremill.llm.components import components
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: At a similarity of 0.8 a pair shares no band with probability 3e-6.
 BANDS, BAND_ROWS = 32, 5
-#: Long signatures keep a bit of so many registers, and odd sketches have so many bits, in words of 64.
-BIT_WORDS = 16
+#: Odd sketches have so many words of 64 bits.
+ODD_WORDS = 16
 #: Documents whose registers are filled at once.
 AT_ONCE = 400
 #: Candidates are looked up by a broadcast while their ids stay below this, else by a shuffle.
@@ -135,17 +135,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(total)
 
 
-def bits_of(registers: np.ndarray) -> np.ndarray:
-    """One bit of each register's shingle, in words of 64: two documents' bits are alike with probability (1 + J) / 2."""
-    with np.errstate(over="ignore"):
-        return np.packbits((_mix(registers) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-
-
 def odd_sketch(shingle: np.ndarray) -> np.ndarray:
     """Bits that tell whether an odd number of shingles falls on them, in words of 64."""
     with np.errstate(over="ignore"):
-        place = (_mix(shingle) % np.uint64(64 * BIT_WORDS)).astype(np.int64)
-    return np.packbits(np.bincount(place, minlength=64 * BIT_WORDS).astype(np.uint8) & 1).view(np.int64)
+        place = (_mix(shingle) % np.uint64(64 * ODD_WORDS)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=64 * ODD_WORDS).astype(np.uint8) & 1).view(np.int64)
 
 
 def _repeated(shingle: np.ndarray, count: np.ndarray) -> int:
@@ -192,25 +186,24 @@ def sketches(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """Of the documents with ``node`` in ``wanted``: shingles, how many in total and above one each, a hash of these, the bits
-    of a long signature, and the odd sketch."""
+    """Of the documents with ``node`` in ``wanted``: shingles, how many in total and above one each, a hash of these, and the
+    odd sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             found = [shingles(words_of(t)) for t in block.column("text").to_pylist()]
             packed = pa.array([_pack(f) for f in found], pa.binary())
-            bits = pa.array(list(bits_of(signatures(found, 64 * BIT_WORDS))), pa.list_(pa.int64()))
             totals, more = (pa.array(n, pa.int64()) for n in ([int(c.sum()) for _, c in found], [int(c.sum()) - len(c) for _, c in found]))
             repeated = pa.array([_repeated(*f) for f in found], pa.int64())
             odd = pa.array([odd_sketch(s) for s, _ in found], pa.list_(pa.int64()))
-            columns = [block.column("node"), packed, totals, more, repeated, bits, odd]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "bits", "odd"])
+            columns = [block.column("node"), packed, totals, more, repeated, odd]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "odd"])
 
     rows = documents.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("at"))
     small = wanted.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["at"] == wanted["at"]))
     once = joined.select("node", "text").dropDuplicates(["node"])  # rows that repeat an id and a text
-    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, bits array<long>, odd array<long>"), "vectors")
+    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, odd array<long>"), "vectors")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -234,24 +227,19 @@ def _unsettled(unled: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _likely(least: float) -> Column:
-    """Whether documents (``x`` and ``y``) may be similar enough, by their long signatures and odd sketches.
+    """Whether documents (``x`` and ``y``) may be similar enough, by a bound from their odd sketches: no pair that is gets lost.
 
-    At a similarity of ``least`` so few bits of the signatures are alike with probability 2e-6, as seldom as that no band is
-    shared.  The odd sketches give a bound.  Let T be all shingles of both, w those of shingles that only one of them has,
+    Let T be all shingles of both, w those of shingles that only one of them has,
     and d the differences of the counts of common shingles.  A common shingle of counts a and b adds at most max(a, b) to
     the similarity, over the sum of all larger counts, so that is at most (T + d - w) / (T + d + w).  There are at least as
     many shingles that only one has as there are unlike bits; d is 0 if both repeat the same shingles as often, and else at
     most what they repeat.
     """
 
-    def unlike(name: str) -> Column:
-        return sum((F.bit_count(F.col(f"x.{name}{i}").bitwiseXOR(F.col(f"y.{name}{i}"))) for i in range(BIT_WORDS)), F.lit(0))
-
-    bits, p = 64 * BIT_WORDS, (1 - least) / 2
-    signed = unlike("s") <= bits * p + 4.7 * (bits * p * (1 - p)) ** 0.5
+    only = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(ODD_WORDS)), F.lit(0))
     differ = F.when(F.col("x.repeated") == F.col("y.repeated"), 0).otherwise(F.col("x.more") + F.col("y.more"))
-    all_of, only = F.col("x.total") + F.col("y.total") + differ, unlike("o")
-    return signed & (all_of - only >= (least - 1e-9) * (all_of + only))
+    all_of = F.col("x.total") + F.col("y.total") + differ
+    return all_of - only >= (least - 1e-9) * (all_of + only)
 
 
 def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
@@ -265,8 +253,8 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
 
     Candidates are all that share a band.  In a bucket a leader is compared with all other members, never all members with
     each other: what the links found so far connect needs no comparison.  Where members that have not led are of several
-    components, 32 times as many leaders are taken, until that leaves none; of their pairs those are compared that a
-    longer signature and an odd sketch do not rule out.
+    components, 32 times as many leaders are taken, until that leaves none; of their pairs those are compared that odd
+    sketches do not rule out.
     """
     rows = stored(sketches(documents, text), "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")).alias("best")
@@ -281,7 +269,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     pairs = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     tested = stored(pairs, "pairs")
     edges = stored(_verified(tested, vectors, least), "links")
-    words = [F.col(of)[i].alias(f"{name}{i}") for name, of in (("s", "bits"), ("o", "odd")) for i in range(BIT_WORDS)]
+    words = [F.col("odd")[i].alias(f"o{i}") for i in range(ODD_WORDS)]
     sketch = vectors.select("node", F.struct("node", "total", "more", "repeated", *words).alias("y"))
     unled = members.where(F.col("node") != F.col("lead")).select("key", "node")
     leaders, roots = 1, components(edges, "documents")

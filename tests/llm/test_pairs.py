@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oremill.llm import components, decontam, embed_dedup, line_dedup, minhash
@@ -164,6 +165,53 @@ def test_large_group_of_copies_edited_more_and_less(spark):
     assert {x.doc_id: x.class_id for x in found} == root
 
 
+def test_filter_of_large_buckets_rules_out_no_similar_pair(spark):
+    """Pairs at 0.8 and just above it: few shingles, more shingles, and a line that is repeated more and less often."""
+    r = random.Random(22)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    pairs = []
+    for n in range(1500):
+        base = [word() for _ in range((12, 13, 21)[n % 3])]
+        pairs.append([" ".join([*base, word()]) for _ in "xy"])
+    for _ in range(100):
+        line = [word() for _ in range(60)]
+        pairs.append([" ".join(line * 3), " ".join([*line[:30], word(), *line[31:]] * r.randint(2, 5))])
+    rows = [(2 * n + side, text) for n, pair in enumerate(pairs) for side, text in enumerate(pair)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    vectors = minhash._vectors(docs, docs.select(F.col("doc_id").alias("node"), "doc_id", F.xxhash64("text").alias("at")), "text")
+    letters = {"bits": "s", "odd": "o"}
+    words = [F.col(c)[i].alias(f"{letters[c]}{i}") for c in vectors.columns if c in letters for i in range(16)]
+    each = vectors.select(F.expr("node div 2").alias("n"), F.expr("node % 2").alias("side"), F.struct("total", "more", "repeated", *words).alias("y"))
+    both = each.where("side = 0").withColumnRenamed("y", "x").join(each.where("side = 1").select("n", "y"), "n")
+    likely = {x.n for x in both.where(minhash._likely(0.8)).select("n").collect()}
+    near = {n for n, (a, b) in enumerate(pairs) if minhash.similarity(*(minhash.shingles(minhash.words_of(t)) for t in (a, b))) >= 0.8}
+    assert len(near) == len(pairs) and near - likely == set()
+
+
+def test_buckets_of_several_components_lose_no_pair(spark):
+    """Texts of 13 words, whose pairs are just at the bound, and texts of one repeated line."""
+    r = random.Random(21)
+    families = []
+    for _ in range(5):
+        middle = [f"w{r.randint(0, 10**6)}" for _ in range(11)]
+        ends = [(f"f{n}", f"l{n}{side}") for n in range(40) for side in "ab"]
+        families.append([" ".join([first, *middle, last]) for first, last in ends])
+    line, lines = [f"v{n}" for n in range(50)], []
+    for n in range(16):
+        once = [*line[:10], f"c{n}", *line[11:20], f"e{n}", *line[21:]]
+        twice = [*once[:30], f"d{n}", *once[31:]]
+        lines += [" ".join(once * 3), " ".join(once * 4), " ".join(twice * 3)]
+    texts, links = [], []
+    for family in [*families, lines]:
+        grams, start = [shingled(t) for t in family], len(texts)
+        links += [(start + a, start + b) for a in range(len(family)) for b in range(a) if probability_jaccard(grams[a], grams[b]) >= 0.8 - 1e-9]
+        texts += family
+    root = closure(range(len(texts)), links)
+    assert len(set(root.values())) == 5 * 40 + 16
+    found = minhash.near_duplicates(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {x.doc_id: x.class_id for x in found} == root
+
+
 def test_near_copies_with_repeated_and_null_ids(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words of the same id"), (None, "A b c d e f."), (7, "a b c d e f")]
     found = minhash.classes(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
