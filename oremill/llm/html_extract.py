@@ -49,6 +49,8 @@ NOT_MAIN_NAMES = frozenset(
     " nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside widget footer foot masthead topbar toolbar share social related recommended"
     " comment comments reply replies respond disqus discussion reader-comments newsletter subscribe subscription signup login search form skip copyright pagination pager".split()
 )
+#: An element with one of these as a part of a longer name may be the layout around an article.
+LAYOUT_NAMES = frozenset("sidebar side share search notice notices banner nav navbar header footer skip topbar".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN_NAMES = frozenset("article post-content entry-content article-body story-body main-content post-body articlebody".split())
 #: A paragraph ends where one of these begins, as do items and cells of their kind.
@@ -65,7 +67,8 @@ def _hash(text: str) -> int:
 
 @lru_cache(maxsize=20_000)
 def _element(tag: str, attributes: str) -> tuple[str, int]:
-    """How a path names an element, and what its name says: -1 not the main text, 1 the article, 0 nothing."""
+    """How a path names an element, and what its name says: -2 not the main text, -1 not unless an article is inside, 1 the
+    article, 0 nothing."""
     names: list[str] = []
     role = ""
     if attributes:
@@ -76,9 +79,13 @@ def _element(tag: str, attributes: str) -> tuple[str, int]:
             else:
                 names += value.split()
     parts = {part for name in names for part in (name, *re.split(r"[-_]+", name))}
+    # On the whole page such names tell of its layout.
+    unlike = set() if tag in ("html", "body") else parts & NOT_MAIN_NAMES
     if tag in MAIN or role in ("main", "article") or parts & MAIN_NAMES:
         kind = 1
-    elif tag in NOT_MAIN or role in NOT_MAIN_ROLES or parts & NOT_MAIN_NAMES:
+    elif tag in NOT_MAIN or role in NOT_MAIN_ROLES or unlike - LAYOUT_NAMES or unlike & set(names):
+        kind = -2
+    elif unlike:
         kind = -1
     else:
         kind = 0
@@ -99,7 +106,8 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
     Broken markup is read as browsers do: a paragraph ends where a block begins, an end tag without its start is
     ignored, and elements that are still open end with the page.  A block is text between the starts and ends of block
     elements, white space made one blank, character references decoded.  Its kind is -1 inside an element that is not
-    main text by its tag or name, else 1 inside an article, else 0.
+    main text by its tag or name, else 1 inside an article, else 0.  Names of layouts, as parts of longer names, do not hold
+    for an article inside; on ``html`` and ``body`` no such names hold.
     """
     found: list[Block] = []
     elements: list[tuple[str, ...]] = []
@@ -114,7 +122,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
                 _, path, kind = stack[-1]
-                found.append(Block(path, kind, words, min(linked, len(words))))
+                found.append(Block(path, max(kind, -1), words, min(linked, len(words))))
             text.clear()
         linked = 0
 
@@ -167,7 +175,8 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
         name, kind = _element(tag, attributes)
         _, path, around = stack[-1]
         inner = (*path, name) if len(path) < 60 else path
-        stack.append((tag, inner, -1 if around < 0 or kind < 0 else max(around, kind)))
+        least = min(around, kind)
+        stack.append((tag, inner, kind if around == -1 and kind == 1 else least if least < 0 else max(around, kind)))
         elements.append(inner)
     close_block()
     return found, elements

@@ -83,6 +83,21 @@ def test_main_text_of_a_page(body, expected):
     assert text(body) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<html class='has-notice'><body class='no-sidebar comments-open'><p>kept</p></body></html>", "kept"),
+        ("<div class='content-sidebar-wrap'><article><p>kept</p></article><p>gone</p></div>", "kept"),
+        ("<div class='content-sidebar-wrap'><main><p>kept</p><div class='comments'><article>gone</article></div></main></div>", "kept"),
+        ("<p>kept</p><div class='comments-list'><article>gone</article></div>", "kept"),
+        ("<p>kept</p><div class='sidebar'><article>gone</article></div>", "kept"),
+        ("<p>kept</p><aside class='right'><article>gone</article></aside>", "kept"),
+    ],
+)
+def test_names_of_layouts_do_not_hide_an_article(page, expected):
+    assert html_extract._main_text(page, None, frozenset()) == expected
+
+
 def test_odd_pages():
     assert text("", "") == "" and text("", "<") == "<" and text("", "plain &amp; text") == "plain & text"
     assert text("", "<article><p>never closed") == "never closed"
