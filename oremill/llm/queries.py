@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oremill.llm import bpe, decontam, embed_dedup, hard_negatives, html_extract, lang_id, line_dedup, minhash, token_counts, toxicity, warc
+from oremill.llm import bpe, decontam, embed_dedup, fill_middle, hard_negatives, html_extract, lang_id, line_dedup, minhash, token_counts, toxicity, warc
 from oremill.llm.common import prepare
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -58,6 +58,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_texts(table(spark, sf_dir, "pages"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark, table(spark, sf_dir, "embeddings"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_language_id,
         op10_html_extraction,
+        op11_fill_middle,
         op13_hard_negatives,
     )
 }
