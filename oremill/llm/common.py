@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,3 +58,11 @@ def wide_hash(*columns: Column) -> list[Column]:
 def words(text: Column) -> Column:
     """The words of a text: maximal runs of letters, digits and marks of any script, in lower case."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """The finishing steps of SplitMix64, for arrays of unsigned 64-bit numbers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))

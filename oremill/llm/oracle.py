@@ -93,6 +93,59 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
 FROM parts
 """
 
+#: A bigram model.  Discounts follow from counts of counts, and are the fixed ones where these leave them out of range.
+ORACLE["op12_lm_scores"] = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, doc_id,
+           list_concat(['> '], regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ['< ']) AS words
+    FROM documents
+), crc_table AS (
+    SELECT n, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) AS v
+    FROM (SELECT unnest(range(256)) AS n)
+), crc_list AS (SELECT list(v ORDER BY n) AS t FROM crc_table),
+parted AS (
+    SELECT row, doc_id, words, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT)),
+               lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295), 4294967295) % 10 AS part
+    FROM texts, crc_list
+), bigrams AS (
+    SELECT row, part, unnest(words[:-2]) AS v, unnest(words[2:]) AS w FROM parted
+), counts AS (
+    SELECT v, w, count(*) AS c FROM bigrams WHERE part <> 0 GROUP BY v, w
+), contexts AS (
+    SELECT v, sum(c) AS total, count(*) FILTER (c = 1) AS once, count(*) FILTER (c = 2) AS twice, count(*) FILTER (c > 2) AS often FROM counts GROUP BY v
+), singles AS (
+    SELECT w, count(*) AS c, sum(c) AS seen FROM counts GROUP BY w
+), of_counts AS (
+    SELECT 2 AS k, count(*) FILTER (c = 1) AS n1, count(*) FILTER (c = 2) AS n2, count(*) FILTER (c = 3) AS n3, count(*) FILTER (c = 4) AS n4, count(*) FILTER (c > 2) AS more, sum(c) AS total FROM counts
+    UNION ALL
+    SELECT 1, count(*) FILTER (c = 1), count(*) FILTER (c = 2), count(*) FILTER (c = 3), count(*) FILTER (c = 4), count(*) FILTER (c > 2), sum(c) FROM singles
+), raw AS (
+    SELECT *, 1 - 2 * n1 / (n1 + 2 * n2) * n2 / nullif(n1, 0) AS r1, 2 - 3 * n1 / (n1 + 2 * n2) * n3 / nullif(n2, 0) AS r2, 3 - 4 * n1 / (n1 + 2 * n2) * n4 / nullif(n3, 0) AS r3,
+           n1 > 0 AND n2 > 0 AND n3 > 0 AND n4 > 0 AS told
+    FROM of_counts
+), discounts AS (
+    SELECT *, told AND r1 > 0 AND r1 < 1 AND r2 > 0 AND r2 < 2 AND r3 > 0 AND r3 < 3 AS fit FROM raw
+), d AS (
+    SELECT k, n1, n2, more, total, CASE WHEN fit THEN r1 ELSE 0.5 END AS d1, CASE WHEN fit THEN r2 ELSE 1.0 END AS d2, CASE WHEN fit THEN r3 ELSE 1.5 END AS d3 FROM discounts
+), whole AS (SELECT count(*) AS vocabulary, sum(seen) AS seen FROM singles),
+scored AS (
+    SELECT b.row, coalesce(s.seen, 0) AS seen, whole.seen AS all_seen, vocabulary,
+           (coalesce(s.c, 0) - CASE coalesce(s.c, 0) WHEN 0 THEN 0 WHEN 1 THEN l.d1 WHEN 2 THEN l.d2 ELSE l.d3 END
+            + (l.d1 * l.n1 + l.d2 * l.n2 + l.d3 * l.more) / (vocabulary + 1)) / l.total AS lower,
+           coalesce(c.c, 0) - CASE coalesce(c.c, 0) WHEN 0 THEN 0 WHEN 1 THEN h.d1 WHEN 2 THEN h.d2 ELSE h.d3 END AS left_over,
+           h.d1 * once + h.d2 * twice + h.d3 * often AS rest, x.total
+    FROM bigrams b CROSS JOIN whole JOIN d l ON l.k = 1 JOIN d h ON h.k = 2
+    LEFT JOIN counts c USING (v, w) LEFT JOIN contexts x USING (v) LEFT JOIN singles s ON s.w = b.w
+), summed AS (
+    SELECT row, count(*) AS n_tokens, count(*) FILTER (seen > 0) AS n_known, any_value(all_seen) AS train_tokens,
+           sum(log10((seen + 0.1) / (all_seen + 0.1 * (vocabulary + 1)))) AS base_score,
+           sum(log10(CASE WHEN total > 0 THEN (left_over + rest * lower) / total ELSE lower END)) AS score
+    FROM scored GROUP BY row
+)
+SELECT doc_id, part = 0 AS held_out, n_tokens, n_known, CAST(train_tokens AS BIGINT) AS train_tokens, CAST(base_score AS DOUBLE) AS base_score, CAST(score AS DOUBLE) AS score
+FROM parted JOIN summed USING (row)
+"""
+
 #: Components are whole numbers, so sums of products of doubles are exact.
 ORACLE["op13_hard_negatives"] = """
 WITH vectors AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oremill.llm import bpe, decontam, embed_dedup, fill_middle, hard_negatives, html_extract, lang_id, line_dedup, minhash, token_counts, toxicity, warc
+from oremill.llm import bpe, decontam, embed_dedup, fill_middle, hard_negatives, html_extract, kneser_ney, lang_id, line_dedup, minhash, token_counts, toxicity, warc
 from oremill.llm.common import prepare
 
 RANKS, SPEC = "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(spark, table(spark, sf_dir, "documents"))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.scored(spark, table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(spark, table(spark, sf_dir, "embeddings"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_html_extraction,
         op11_fill_middle,
+        op12_lm_scores,
         op13_hard_negatives,
     )
 }
