@@ -27,8 +27,8 @@ from oremill.llm.common import stored
 
 #: Rows and anchors of a block; a pair of blocks has so many scores in memory.
 BLOCK_ROWS, BLOCK_ANCHORS = 4096, 512
-#: Row blocks of a cell.
-CELL_BLOCKS = 16
+#: Row blocks of a cell at most; with fewer blocks there are as many cells as a shuffle has partitions.
+CELL_BLOCKS = 256
 
 _LONG = 1 << 63
 #: Anchor, inverted score, whether it is no positive, whether the id is null, id, row.
@@ -150,13 +150,16 @@ def _block(x: dict, name: str) -> Block:
 
 def _grid(anchors: DataFrame, others: DataFrame) -> DataFrame:
     """Each block of anchors beside each block of rows of vectors as long."""
-    cells = max(1, -(-others.count() // CELL_BLOCKS))
+    count = others.count()
+    cells = max(1, -(-count // CELL_BLOCKS), min(count, int(others.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     at = F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell")
     rest = [c for c in anchors.columns if c != "size"]
     left = anchors.select("size", at, *[F.col(c).alias(f"a_{c}") for c in rest])
     cell = F.pmod(F.xxhash64("rows"), F.lit(cells)).cast("int").alias("cell")
     right = others.select("size", cell, *[F.col(c).alias(f"b_{c}") for c in _PARTS])
-    return left.join(right, ["size", "cell"])
+    # A task's work follows the pairs of blocks and not its bytes, so partitions are not to be merged.
+    by = ["size", "cell"]
+    return left.repartition(cells, *by).join(right.repartition(cells, *by), by)
 
 
 def _selected(grid: DataFrame, select) -> RDD:
