@@ -27,6 +27,8 @@ BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 CHANGED, OF_THEM_SPM = 50, 80
 SEED = "42"
 
+#: Bytes of text for each partition of the sort, if that makes more partitions than a shuffle has.
+PARTITION_BYTES = 64 << 20
 #: Units of a piece, and bytes after which a piece ends within a unit.
 PIECE_UNITS, PIECE_BYTES = 2048, 1 << 16
 
@@ -120,9 +122,11 @@ def assembled(documents: DataFrame, partitions: int | None = None) -> RDD:
     A null text is empty.  A null id draws as empty text would, rows that repeat an id draw alike; every row is a document
     of its own.  ``documents`` should be a stored table: rows are told apart by where they stand.
     """
-    spark = documents.sparkSession
+    if not partitions:
+        size = documents.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+        partitions = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     rows = documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    return _sorted(rows.rdd.mapPartitions(_emitted), partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return _sorted(rows.rdd.mapPartitions(_emitted), partitions)
 
 
 class Marks:
