@@ -38,7 +38,7 @@ from oremill.session import scratch_dir
 ORDER = 2
 #: Bytes of text in a block, and for each shard.  Lists between them are as many as blocks times shards: for tens of terabytes
 #: raise both with the memory of a worker.
-BLOCK_BYTES, SHARD_BYTES = 24 << 20, 16 << 20
+BLOCK_BYTES, SHARD_BYTES = 10 << 20, 24 << 20
 #: Weight of a word that was not seen, in the base score.
 UNSEEN = 0.1
 #: Discounts of n-grams counted once, twice and more often, where counts of counts cannot tell them.
@@ -86,7 +86,7 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different keys in ascending order, and the place of each key among them."""
     codes, found = pd.factorize(keys)
     order = np.argsort(found)
-    place = np.empty(len(order), np.int64)
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     return found[order], place[codes]
 
@@ -114,24 +114,30 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 class Level:
-    """The different n-grams of one order in a block: hashes, words, and where their parts are one order below."""
+    """The different n-grams of one order in a block, in the order of their words: hashes, and where their parts are one
+    order below."""
 
     def __init__(self, vocabulary: np.ndarray, ids: np.ndarray, place: np.ndarray, lower: Level | None, order: int):
-        self.at = np.flatnonzero(place >= order - 1)  # positions in which an n-gram ends
+        self.at = np.flatnonzero(place >= order - 1).astype(np.int32)  # positions in which an n-gram ends
+        self.lower, self.vocabulary = lower, vocabulary
         if lower is None:
             self.hashes, self.of = vocabulary, ids
-            self.words = vocabulary[:, None]
             return
         key = lower.of[self.at - 1].astype(np.uint64) * np.uint64(len(vocabulary)) + ids[self.at].astype(np.uint64)
         keys, of = distinct(key)
-        last = (keys % np.uint64(len(vocabulary))).astype(np.int64)
-        self.prefix = (keys // np.uint64(len(vocabulary))).astype(np.int64)
-        self.suffix = np.empty(len(keys), np.int64)
+        self.last = (keys % np.uint64(len(vocabulary))).astype(np.int32)
+        self.prefix = (keys // np.uint64(len(vocabulary))).astype(np.int32)
+        self.suffix = np.empty(len(keys), np.int32)
         self.suffix[of] = lower.of[self.at]
-        self.of = np.full(len(ids), -1)
+        self.of = np.full(len(ids), -1, np.int32)
         self.of[self.at] = of
-        self.hashes = gram_hash(lower.hashes[self.prefix], vocabulary[last])
-        self.words = np.concatenate([lower.words[self.prefix], vocabulary[last][:, None]], axis=1)
+        self.hashes = gram_hash(lower.hashes[self.prefix], vocabulary[self.last])
+
+    def words(self, at: np.ndarray) -> np.ndarray:
+        """The word hashes of some n-grams, a row each."""
+        if self.lower is None:
+            return self.vocabulary[at][:, None]
+        return np.concatenate([self.lower.words(self.prefix[at]), self.vocabulary[self.last[at]][:, None]], axis=1)
 
 
 def levels(vocabulary: np.ndarray, ids: np.ndarray, place: np.ndarray, order: int) -> list[Level]:
@@ -155,7 +161,7 @@ def read(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray, n
 
 def _places(sizes: np.ndarray, order: int) -> np.ndarray:
     long = sizes + order - 1
-    return np.arange(long.sum()) - np.repeat(np.cumsum(long) - long, long)
+    return np.arange(long.sum(), dtype=np.int32) - np.repeat((np.cumsum(long) - long).astype(np.int32), long)
 
 
 def _in_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, list]]:
@@ -192,7 +198,7 @@ def _asked(documents: DataFrame, level: int, order: int, shards: int, block_byte
             by_shard = np.argsort(shard, kind="stable")
             for at in np.split(by_shard, np.flatnonzero(np.diff(shard[by_shard])) + 1):
                 if len(at):
-                    data = _words_packed(grams.words[at], counts[at])
+                    data = _words_packed(grams.words(at), counts[at])
                     yield _batch([{"kind": ASK, "level": level, "shard": int(shard[at[0]]), "block": block, "data": data}])
 
     return documents.mapInArrow(run, _SCHEMA)
@@ -247,6 +253,11 @@ def _added(hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return sorted_hashes[starts], sums, order[starts]
 
 
+def _columns(level: int, order: int) -> int:
+    """How much is kept of an n-gram: those of the highest order are no contexts, and no words."""
+    return COUNT + 1 if level == order > 1 else SEEN + 1
+
+
 def _facts(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What n-grams tell about those one shorter: one more word before their ends, and what follows their beginnings."""
     values = np.zeros((2 * len(words), OFTEN + 1), np.int64)
@@ -264,18 +275,19 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
 
     Stored tables and facts come before questions, which count too if the model is being learned.
     """
+    columns = _columns(level, order)
 
     def shard(number: int, parts: Iterator[dict]) -> Iterator[dict]:
         hashes, values, words, asked = [], [], [], []
         for part in parts:
             if part["kind"] == TABLE:
-                gaps, columns = unpack(part["data"])
+                gaps, stored = unpack(part["data"])
                 hashes.append(_sums(gaps))
-                values.append(columns.T)
+                values.append(stored.T)
                 continue
             grams, rest = _words_unpacked(part["data"], level)
             found = words_hash(grams)
-            counted = np.zeros((len(grams), SEEN + 1), np.int64)
+            counted = np.zeros((len(grams), columns), np.int64)
             if part["kind"] == FACT:
                 counted[:, : SEEN] = np.stack(rest, axis=1)
             elif learning:
@@ -290,13 +302,14 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
                 values.append(counted)
                 words.append(grams)
         every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        known, sums, first = _added(every, np.concatenate(values) if values else np.zeros((0, SEEN + 1), np.int64))
+        known, sums, first = _added(every, np.concatenate(values) if values else np.zeros((0, columns), np.int64))
         some = sums.any(axis=1)
         known, sums, first = known[some], sums[some], first[some]
         if learning and len(known):
             yield {"kind": TABLE, "shard": number, "data": pack(_gaps(known), sums.T)}
             counts = sums[:, COUNT]
-            totals = [*(int((counts == c).sum()) for c in (1, 2, 3, 4)), int((counts > 2).sum()), *(int(x) for x in (counts.sum(), sums[:, SEEN].sum(), (sums[:, SEEN] > 0).sum()))]
+            seen = sums[:, SEEN] if columns > SEEN else np.empty(0, np.int64)
+            totals = [int(n) for n in (*((counts == c).sum() for c in (1, 2, 3, 4)), (counts > 2).sum(), counts.sum(), seen.sum(), (seen > 0).sum())]
             yield {"kind": TOTAL, "shard": number, "totals": totals}
             if level > 1:
                 grams = np.concatenate(words)[first]
@@ -309,9 +322,7 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
                     yield {"kind": FACT, "level": level - 1, "shard": int(to[at[0]]), "data": _words_packed(shorter[at], *told[at].T)}
         model = Mapped(known, sums)
         for block, wanted in asked:
-            answer = model.find(wanted)
-            columns = [COUNT] if level == order > 1 else list(range(SEEN + 1))
-            yield {"kind": ANSWER, "shard": number, "block": block, "data": pack(np.ascontiguousarray(answer[:, columns].T))}
+            yield {"kind": ANSWER, "shard": number, "block": block, "data": pack(np.ascontiguousarray(model.find(wanted).T))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stream = (row for batch in batches for at in range(batch.num_rows) for row in batch.slice(at, 1).to_pylist())
@@ -405,11 +416,10 @@ def _scores(rows: DataFrame, parts: int, order: int, shards: int, totals: tuple[
             else:
                 data = part["data"]
         gaps, ids, sizes, doc_id, flags = unpack(data)
-        grams = levels(_sums(gaps), ids.astype(np.int64), _places(sizes, order), order)
+        grams = levels(_sums(gaps), ids.astype(np.int32), _places(sizes, order), order)
         values = []
         for k, level in enumerate(grams, 1):
-            columns = 1 if k == order > 1 else SEEN + 1
-            counted, shard = np.zeros((len(level.hashes), columns), np.int64), shard_of(level.hashes, shards)
+            counted, shard = np.zeros((len(level.hashes), _columns(k, order)), np.int64), shard_of(level.hashes, shards)
             by_shard = np.argsort(shard, kind="stable")
             for at in np.split(by_shard, np.flatnonzero(np.diff(shard[by_shard])) + 1):
                 counted[at] = unpack(answers[k, int(shard[at[0]])])[0].T
