@@ -19,17 +19,19 @@ LOG = declared("version INT, row_count BIGINT, mark STRING, committed_ts TIMESTA
 
 
 class VersionedTable:
+    LOG = LOG
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
     def history(self) -> DataFrame:
-        """``version, row_count, mark, committed_ts``, one row per commit."""
-        return ensure(self.spark, f"{self.path}/log", LOG)
+        """``version, row_count, mark, committed_ts``, and more where a table notes more; one row per commit."""
+        return ensure(self.spark, f"{self.path}/log", self.LOG)
 
     def latest(self) -> Row | None:
         """The newest commit, or None for a table without commits."""
-        return self.history().agg(F.max(F.struct(*LOG.names)).alias("commit")).first()["commit"]
+        return self.history().agg(F.max(F.struct(*self.LOG.names)).alias("commit")).first()["commit"]
 
     def current(self) -> int | None:
         commit = self.latest()

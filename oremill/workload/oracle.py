@@ -253,6 +253,43 @@ _BODIES = {
                CASE WHEN s.customer_id IS NULL THEN t.lifetime_value ELSE s.lifetime_value END AS lifetime_value
         FROM old_ltv t FULL JOIN m_ltv s ON t.customer_id = s.customer_id""",
     "upsert_top_products": "SELECT * FROM new_products",
+    "upsert_top_products_parts": "SELECT * FROM new_products",
+    "upsert_customer_ltv_parts": """
+        SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
+               CASE WHEN s.customer_id IS NULL THEN t.full_name ELSE s.full_name END AS full_name,
+               CASE WHEN s.customer_id IS NULL THEN t.total_orders ELSE s.total_orders END AS total_orders,
+               CASE WHEN s.customer_id IS NULL THEN t.lifetime_value ELSE s.lifetime_value END AS lifetime_value
+        FROM old_ltv t FULL JOIN m_ltv s ON t.customer_id = s.customer_id""",
+    "table_changes": """
+        SELECT CAST(-1 AS BIGINT) AS sign, t.* FROM old_products t JOIN m_products s ON t.product_id = s.product_id
+        UNION ALL SELECT CAST(1 AS BIGINT), * FROM m_products""",
+    "follow_changes": """
+        SELECT product_id, count(*) AS n_items, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+               round(sum(quantity * price_per_unit), 2) AS total_revenue
+        FROM s_items WHERE order_item_id NOT LIKE '%3' GROUP BY product_id""",
+    "gold_daily_sales_by_day": "SELECT * REPLACE (CAST(order_date AS VARCHAR) AS order_date) FROM m_daily_incr",
+    "ingest_rejects": """
+        SELECT OrderID, CustomerID, OrderDate, nullif(OrderStatus, '') AS OrderStatus, NULL AS line, NULL AS reason FROM raw_orders
+        WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL,
+               CASE WHEN o_orderkey % 11 = 0 THEN concat_ws(',', OrderID, CustomerID, OrderDate, coalesce(OrderStatus, ''), 'x')
+                    WHEN o_orderkey % 13 = 0 THEN concat_ws(',', OrderID, CustomerID)
+                    ELSE concat_ws(',', OrderID, CustomerID, OrderDate, '"' || coalesce(OrderStatus, '')) END,
+               CASE WHEN o_orderkey % 11 = 0 THEN 'TOO_MANY_FIELDS' WHEN o_orderkey % 13 = 0 THEN 'TOO_FEW_FIELDS' ELSE 'OPEN_QUOTE' END
+        FROM raw_orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0""",
+    "reconcile_contents": """
+        SELECT OrderID, CASE WHEN gone AND NOT more THEN 'MISSING' WHEN more AND NOT gone AND NOT changed THEN 'EXTRA'
+                             WHEN gone THEN 'MISSING' ELSE 'CHANGED' END AS difference,
+               CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows
+        FROM (SELECT OrderID, gone, more, changed, CASE WHEN gone AND more THEN 0 WHEN gone OR changed THEN copies - CASE WHEN more THEN copies ELSE 0 END ELSE 0 END AS source_rows,
+                     CASE WHEN changed AND NOT gone THEN copies WHEN more AND NOT gone THEN copies ELSE 0 END AS target_rows
+              FROM (SELECT OrderID, count(*) AS copies, any_value(o_orderkey % 89 = 0) AS gone, any_value(o_orderkey % 83 = 0) AS more,
+                           any_value(o_orderkey % 97 = 0) AS changed FROM raw_orders GROUP BY OrderID))
+        WHERE source_rows > 0 OR target_rows > 0""",
+    "clustered_read": """
+        SELECT job_name, task_name, task_run_id, source_count, status FROM task_log
+        WHERE job_name BETWEEN 'click' AND 'purchase' AND source_count BETWEEN 250 AND 400""",
     "upsert_since_watermark": f"""
         SELECT * REPLACE (strftime(ingest_ts, {ISO}) AS ingest_ts) FROM raw_customers
         QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY ingest_ts DESC) = 1""",

@@ -17,14 +17,15 @@ from pyspark.sql import types as T
 from oremill import functions as fn
 from oremill import schemas
 from oremill.config import IngestSpec, environment
-from oremill.operators import dedup, project, runlog, upsert
+from oremill.operators import dedup, fingerprint, project, retract, runlog, upsert
 from oremill.plans import gold, medallion, silver
 from oremill.plans.ingest import RunIds, announce, run_ingest
 from oremill.plans.table_load import run_table_load, upsert_table
 from oremill.session import scratch_dir
-from oremill.sinks import loads
+from oremill.sinks import clustering, loads
+from oremill.sinks.keyed import KeyedTable
 from oremill.sinks.versions import VersionedTable
-from oremill.sources import delimited, manifest
+from oremill.sources import delimited, manifest, rejects
 from oremill.streaming.incremental import ingest_new_files
 from oremill.workload import derive
 
@@ -227,6 +228,59 @@ def snapshot_read(spark, sf_dir):
     return states[0].unionByName(states[1])
 
 
+def _upserted_parts(stale: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """A mart stored in parts and brought forward twice: by half of the new rows, then by the others."""
+    table = KeyedTable(stale.sparkSession, scratch_dir(stale.sparkSession, "mart-parts"), [key], buckets=16)
+    table.commit(stale)
+    mart = loads.materialize(source, "mart")
+    half = F.xxhash64(key) % 2 == 0
+    for some in (mart.filter(half), mart.filter(~half)):
+        table.upsert(some)
+    return table.read()
+
+
+@query
+def upsert_customer_ltv_parts(spark, sf_dir):
+    source = gold.customer_lifetime_value(*[_silver(spark, sf_dir, t) for t in ("customers", "orders", "order_items")])
+    return _upserted_parts(_stale_ltv(spark, sf_dir), source, "customer_id")
+
+
+@query
+def upsert_top_products_parts(spark, sf_dir):
+    source = gold.top_products(_silver(spark, sf_dir, "products"), _silver(spark, sf_dir, "order_items"))
+    return _upserted_parts(_stale_top_products(spark, sf_dir), source, "product_id")
+
+
+@query
+def table_changes(spark, sf_dir):
+    """What an upsert did to a stored mart, row by row: what went and what came."""
+    table = KeyedTable(spark, scratch_dir(spark, "mart-changes"), ["product_id"], buckets=16)
+    first = table.commit(_stale_top_products(spark, sf_dir))
+    mart = gold.top_products(_silver(spark, sf_dir, "products"), _silver(spark, sf_dir, "order_items"))
+    return table.changes(first, table.upsert(portable(mart)))
+
+
+@query
+def follow_changes(spark, sf_dir):
+    """Revenue by product kept by changes: a third of the items comes later, and a third of the first goes again."""
+    items = loads.materialize(_silver(spark, sf_dir, "order_items"), "items")
+    late, gone = F.col("order_item_id").endswith("7"), F.col("order_item_id").endswith("3")
+    measures = ("n_items", {"quantity": F.col("quantity")}, {"value": F.col("quantity") * F.col("price_per_unit")})
+    kept = loads.materialize(retract.summed(items.filter(~late), ["product_id"], *measures), "kept")
+    changes = retract.net(retract.signed(items.filter(gone), items.filter(late)))
+    sums = retract.add_up(kept, retract.summed(changes, ["product_id"], *measures), ["product_id"], "n_items")
+    return sums.select("product_id", "n_items", retract.value_of("quantity", "long").alias("total_quantity"), retract.value_of("value", "double").alias("total_revenue"))
+
+
+@query
+def gold_daily_sales_by_day(spark, sf_dir):
+    """The incremental mart from items stored by the day of their order: only the window's days are read."""
+    table = KeyedTable(spark, scratch_dir(spark, "items-by-day"), ["order_item_id"], by="order_date")
+    orders = loads.materialize(_silver(spark, sf_dir, "orders"), "orders")
+    table.commit(_silver(spark, sf_dir, "order_items").join(orders.select("order_id", "order_date"), "order_id", "left"))
+    return gold.daily_sales_by_day(gold.since(orders, derive.AS_OF, INCREMENTAL_DAYS), table.read())
+
+
 # --- projections, casts, dedup --------------------------------------------------------------------------------
 
 
@@ -461,6 +515,26 @@ def ingest_delimited(spark, sf_dir):
     return delimited.read_delimited(spark, path, "csv", True, "|")
 
 
+@query
+def ingest_rejects(spark, sf_dir):
+    """Raw orders as lines, some with a field too many, too few or an open quote: rows and rejects."""
+    raw = derive.orders_with_key(spark, sf_dir)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in ("OrderID", "CustomerID", "OrderDate", "OrderStatus")]
+    fault = (
+        F.when(F.col("o_orderkey") % 11 == 0, F.concat_ws(",", *fields, F.lit("x")))
+        .when(F.col("o_orderkey") % 13 == 0, F.concat_ws(",", *fields[:2]))
+        .when(F.col("o_orderkey") % 17 == 0, F.concat(F.concat_ws(",", *fields[:3]), F.lit(',"'), fields[3]))
+        .otherwise(F.concat_ws(",", *fields[:3], F.concat(F.lit('"'), fields[3], F.lit('"'))))
+    )
+    path = scratch_dir(spark, "faulty")
+    raw.select(fault.alias("value")).write.text(path)
+    payload = schemas.payload(schemas.BRONZE["orders"])
+    scan = rejects.read_with_rejects(spark, path, payload, header=False)
+    nothing = F.lit(None).cast("string")
+    rows = scan.rows.select(*payload.names, *[nothing.alias(c) for c in ("line", "reason")])
+    return rows.unionByName(scan.rejects.select(*[nothing.alias(c) for c in payload.names], "line", "reason"))
+
+
 @query
 def ingest_quoted(spark, sf_dir):
     """Quotes, separators and blanks inside fields survive."""
@@ -674,6 +748,26 @@ def table_loads(spark, sf_dir):
     return every.withColumn("states", F.lit(states))
 
 
+@query
+def reconcile_contents(spark, sf_dir):
+    """A target with as many rows as its source in which rows are lost, doubled and changed: which keys differ, and how."""
+    source = loads.materialize(derive.orders_with_key(spark, sf_dir).drop("ingest_ts"), "source")
+    n = F.col("o_orderkey")
+    changed = source.withColumn("OrderStatus", F.when(n % 97 == 0, "lost in the load").otherwise(F.col("OrderStatus")))
+    target = changed.filter(n % 89 != 0).unionByName(source.filter(n % 83 == 0))
+    return fingerprint.differences(source, loads.materialize(target, "target"), ["OrderID"])
+
+
+@query
+def clustered_read(spark, sf_dir):
+    """A log clustered by three columns, and the rows of a range of two of them, read from the files that may hold such."""
+    log = loads.materialize(derive.task_control(spark, sf_dir), "log")
+    path = scratch_dir(spark, "clustered")
+    clustering.write_clustered(log, path, ["job_name", "task_name", "source_count"], 32)
+    wanted = {"job_name": ("click", "purchase"), "source_count": (250, 400)}
+    return clustering.read_clustered(spark, path, wanted).select("job_name", "task_name", "task_run_id", "source_count", "status")
+
+
 @query
 def not_started(spark, sf_dir):
     """The active tasks of a run, announced in its control log."""
