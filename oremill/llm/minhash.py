@@ -25,8 +25,10 @@ from oremill.llm.components import components
 SHINGLE_WORDS, LEAST = 5, 0.8
 #: At a similarity of 0.8 a pair shares no band with probability 3e-6.
 BANDS, BAND_ROWS = 32, 5
-#: Odd sketches have so many words of 64 bits.
-ODD_WORDS = 16
+#: Odd sketches have so many words of 64 bits, and the weight of a document's shingles is spread over so many buckets.
+ODD_WORDS, SPREAD = 16, 128
+#: Rounding of spread weights that may not cost a link.
+SLACK = 1e-4
 #: Documents whose registers are filled at once.
 AT_ONCE = 400
 #: Candidates are looked up by a broadcast while their ids stay below this, else by a shuffle.
@@ -142,6 +144,13 @@ def odd_sketch(shingle: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(place, minlength=64 * ODD_WORDS).astype(np.uint8) & 1).view(np.int64)
 
 
+def spread(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The share of a document's shingles that falls into each bucket of a hash."""
+    with np.errstate(over="ignore"):
+        place = (_mix(~shingle) % np.uint64(SPREAD)).astype(np.int64)
+    return (np.bincount(place, weights=count, minlength=SPREAD) / max(1, count.sum())).astype(np.float32)
+
+
 def _repeated(shingle: np.ndarray, count: np.ndarray) -> int:
     """A hash of the shingles that occur more than once, with their counts."""
     some = count > 1
@@ -186,8 +195,8 @@ def sketches(documents: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
-    """Of the documents with ``node`` in ``wanted``: shingles, how many in total and above one each, a hash of these, and the
-    odd sketch."""
+    """Of the documents with ``node`` in ``wanted``: shingles, how many in total and above one each, a hash of these, the odd
+    sketch, and the spread."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
@@ -196,14 +205,15 @@ def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
             totals, more = (pa.array(n, pa.int64()) for n in ([int(c.sum()) for _, c in found], [int(c.sum()) - len(c) for _, c in found]))
             repeated = pa.array([_repeated(*f) for f in found], pa.int64())
             odd = pa.array([odd_sketch(s) for s, _ in found], pa.list_(pa.int64()))
-            columns = [block.column("node"), packed, totals, more, repeated, odd]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "odd"])
+            spreads = pa.array([spread(*f) for f in found], pa.list_(pa.float32()))
+            columns = [block.column("node"), packed, totals, more, repeated, odd, spreads]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "odd", "spread"])
 
     rows = documents.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("at"))
     small = wanted.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["at"] == wanted["at"]))
     once = joined.select("node", "text").dropDuplicates(["node"])  # rows that repeat an id and a text
-    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, odd array<long>"), "vectors")
+    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, odd array<long>, spread array<float>"), "vectors")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -221,25 +231,30 @@ def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
 
 def _unsettled(unled: DataFrame, roots: DataFrame) -> DataFrame:
     """Of buckets the members that have not led, with their component, where they are of several components."""
-    placed = unled.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = unled.join(roots, "node", "left").select("key", "node", "weight", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") < F.col("high"))
     return stored(placed.join(stored(split.select("key"), "split"), "key", "left_semi"), "unsettled")
 
 
 def _likely(least: float) -> Column:
-    """Whether documents (``x`` and ``y``) may be similar enough, by a bound from their odd sketches: no pair that is gets lost.
+    """Whether documents (``x`` and ``y``) may be similar enough, by two bounds: no pair that is gets lost.
 
-    Let T be all shingles of both, w those of shingles that only one of them has,
+    The first is from odd sketches.  Let T be all shingles of both, w those of shingles that only one of them has,
     and d the differences of the counts of common shingles.  A common shingle of counts a and b adds at most max(a, b) to
     the similarity, over the sum of all larger counts, so that is at most (T + d - w) / (T + d + w).  There are at least as
     many shingles that only one has as there are unlike bits; d is 0 if both repeat the same shingles as often, and else at
     most what they repeat.
+
+    The second is from spreads.  The similarity is at most the sum over all shingles of the smaller of their shares in the two
+    documents, so that it is at most one less half of the difference of all shares.  Adding up shares within a bucket before
+    taking differences can only make these smaller.
     """
 
     only = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(ODD_WORDS)), F.lit(0))
     differ = F.when(F.col("x.repeated") == F.col("y.repeated"), 0).otherwise(F.col("x.more") + F.col("y.more"))
     all_of = F.col("x.total") + F.col("y.total") + differ
-    return all_of - only >= (least - 1e-9) * (all_of + only)
+    apart = F.aggregate(F.zip_with("x.spread", "y.spread", lambda a, b: F.abs(a - b).cast("double")), F.lit(0.0), lambda total, d: total + d)
+    return (all_of - only >= (least - 1e-9) * (all_of + only)) & (apart <= 2 * (1 - least) + SLACK)
 
 
 def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
@@ -252,38 +267,45 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     told apart by the text (``at`` is its hash), and rows that repeat both are one document.
 
     Candidates are all that share a band.  In a bucket a leader is compared with all other members, never all members with
-    each other: what the links found so far connect needs no comparison.  Where members that have not led are of several
-    components, 32 times as many leaders are taken, until that leaves none; of their pairs those are compared that odd
-    sketches do not rule out.
+    each other: what the links found so far connect needs no comparison.  The first leader is the member with the most
+    company in all its buckets: of edited copies that is the least edited, and it links with most of them.  Where members
+    that have not led are of several components, 32 times as many leaders are taken, until that leaves none; of their pairs
+    those are compared that bounds do not rule out, each in one of the buckets that the two share.
     """
     rows = stored(sketches(documents, text), "sketches")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")).alias("best")
     nodes = rows.groupBy("print").agg(best, F.first("bands").alias("bands"))
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "print", "best", "bands"), "nodes")
     places = nodes.select("node", F.explode("bands").alias("key"))
-    shared = places.groupBy("key").agg(F.min("node").alias("lead"), F.max("node").alias("last")).where(F.col("lead") < F.col("last"))
+    shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = stored(shared, "buckets")  # the join below then has a shuffle of its own, in which a large bucket is split
-    members = stored(places.join(shared.select("key", "lead"), "key"), "members")
+    crowded = stored(places.join(shared, "key"), "crowded")
+    company = stored(crowded.groupBy("node").agg(F.sum("n").alias("weight")), "company")
+    members = stored(crowded.select("key", "node").join(company, "node"), "members")
+    first = F.max(F.struct("weight", (-F.col("node")).alias("node"))).alias("lead")
+    leads = stored(members.groupBy("key").agg(first).select("key", (-F.col("lead.node")).alias("lead")), "leads")
     wanted = members.select("node").distinct().join(nodes, "node").select("node", "best.doc_id", "best.at")
     vectors = _vectors(documents, stored(wanted, "wanted"), text)
-    pairs = members.where(F.col("node") != F.col("lead")).select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+    led = members.join(leads, "key").where(F.col("node") != F.col("lead"))
+    pairs = led.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
     tested = stored(pairs, "pairs")
     edges = stored(_verified(tested, vectors, least), "links")
     words = [F.col("odd")[i].alias(f"o{i}") for i in range(ODD_WORDS)]
-    sketch = vectors.select("node", F.struct("node", "total", "more", "repeated", *words).alias("y"))
-    unled = members.where(F.col("node") != F.col("lead")).select("key", "node")
+    sketch = vectors.join(nodes.select("node", "bands"), "node").select("node", F.struct("node", "total", "more", "repeated", "bands", "spread", *words).alias("y"))
+    unled = led.select("key", "node", "weight")
     leaders, roots = 1, components(edges, "documents")
     while True:
         left = _unsettled(unled, roots)
         leaders *= 32
         salt = F.pmod(F.xxhash64("node", F.lit(leaders)), F.lit(leaders)).alias("salt")
-        chosen = left.groupBy("key", salt).agg(F.min(F.struct("node", "root")).alias("lead"))
-        chosen = stored(chosen.select("key", "lead.node", F.col("lead.root").alias("lead_root")), "leaders")
+        chosen = left.groupBy("key", salt).agg(F.max(F.struct("weight", (-F.col("node")).alias("node"), "root")).alias("lead"))
+        chosen = stored(chosen.select("key", (-F.col("lead.node")).alias("node"), F.col("lead.root").alias("lead_root")), "leaders")
         if chosen.isEmpty():
             break
         led = chosen.join(sketch, "node").select("key", "lead_root", F.col("y").alias("x"))
         sketched = left.join(sketch, "node").select("key", "root", "y")
-        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least))
+        once = F.array_min(F.array_intersect("x.bands", "y.bands")) == sketched["key"]
+        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & once)
         pairs = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
@@ -291,7 +313,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
         if not found.isEmpty():
             edges = edges.unionByName(found)
             roots = components(edges, "documents")
-        unled = left.select("key", "node").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
+        unled = left.select("key", "node", "weight").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
     return _answer(documents, text, rows, nodes, roots)
 
 
