@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from oremill.llm.common import blocks
 from oremill.llm.pretokens import split
 
-#: Pre-tokens and token pairs remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 150_000
+#: Token pairs remembered by each Python worker: a full memory is emptied.  Pre-tokens are remembered in two halves of so many
+#: each; when the newer one is full it becomes the older one, and what was not met in the meantime is forgotten.
+REMEMBERED, PIECES = 150_000, 200_000
+#: Longer pre-tokens, in characters, are not remembered.
+LONGEST_PIECE = 256
 
 
 class Vocabulary:
@@ -44,6 +47,7 @@ class Vocabulary:
         self.suffixes.make_automaton()
         self._pairs: dict[int, bool] = {}
         self._pieces: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
     def _last_merge(self, token: bytes) -> tuple[int, int] | None:
         parts = [token[i : i + 1] for i in range(len(token))]
@@ -87,15 +91,20 @@ class Vocabulary:
         """The tokens of one pre-token."""
         known = self._pieces.get(piece)
         if known is None:
-            if len(self._pieces) >= REMEMBERED:
-                self._pieces.clear()
+            known = self._older.get(piece)
+            if len(self._pieces) >= PIECES:  # those that were not met since the last time are forgotten
+                self._older, self._pieces = self._pieces, {}
+            if known is not None:
+                self._pieces[piece] = known
+                return known
             data = piece.encode()
             whole = self.ranks.get(data)
             if whole is not None and (len(data) == 1 or self.parts[whole]):
                 known = (whole,)
             else:
                 known = tuple(PrefixTable(self, data).tokens())
-            self._pieces[piece] = known
+            if len(piece) <= LONGEST_PIECE:
+                self._pieces[piece] = known
         return known
 
     def encode(self, text: str) -> Iterator[int]:
@@ -278,7 +287,9 @@ def round_trip(df: DataFrame, vocab_path: str, text: str = "text", tokens: str =
         vocab = vocabulary(vocab_path)
         for block in blocks(batches, text):
             lists = [list(vocab.encode(t)) if t else [] for t in block.column(text).to_pylist()]
-            columns = [pa.array(lists, pa.list_(pa.int32())), pa.array([vocab.decode(ids) for ids in lists], pa.binary())]
+            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+            values = np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1]))
+            columns = [pa.ListArray.from_arrays(ends, pa.array(values)), pa.array([vocab.decode(ids) for ids in lists], pa.binary())]
             yield pa.RecordBatch.from_arrays([*block.columns, *columns], [*keep, tokens, data])
 
     return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{tokens}` array<int>, `{data}` binary"))
