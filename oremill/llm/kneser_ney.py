@@ -330,7 +330,8 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
             for row in shard(number, parts):
                 yield _batch([{"level": level, **row}])
 
-    dealt = rows.repartition(shards, "shard").sortWithinPartitions("shard", "kind", "block")
+    # A task for each shard: shards are of about one size.
+    dealt = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "kind", "block")
     return dealt.mapInArrow(run, _SCHEMA)
 
 
