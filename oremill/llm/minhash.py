@@ -31,6 +31,8 @@ ODD_WORDS, SPREAD = 16, 128
 SLACK = 1e-4
 #: Documents whose registers are filled at once.
 AT_ONCE = 400
+#: Components are worked out anew when the links found since are more than this part of those before.
+RENEWED = 20
 #: Candidates are looked up by a broadcast while their ids stay below this, else by a shuffle.
 BROADCAST_ROWS = 2_000_000
 #: Words remembered by each Python worker; a full memory is emptied.
@@ -280,7 +282,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     shared = stored(shared, "buckets")  # the join below then has a shuffle of its own, in which a large bucket is split
     crowded = stored(places.join(shared, "key"), "crowded")
-    company = stored(crowded.groupBy("node").agg(F.sum("n").alias("weight")), "company")
+    company = crowded.groupBy("node").agg(F.sum("n").alias("weight"))  # a node is in as many buckets as there are bands
     members = stored(crowded.select("key", "node").join(company, "node"), "members")
     first = F.max(F.struct("weight", (-F.col("node")).alias("node"))).alias("lead")
     leads = stored(members.groupBy("key").agg(first).select("key", (-F.col("lead.node")).alias("lead")), "leads")
@@ -293,7 +295,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     words = [F.col("odd")[i].alias(f"o{i}") for i in range(ODD_WORDS)]
     sketch = vectors.join(nodes.select("node", "bands"), "node").select("node", F.struct("node", "total", "more", "repeated", "bands", "spread", *words).alias("y"))
     unled = led.select("key", "node", "weight")
-    leaders, roots = 1, components(edges, "documents")
+    leaders, roots, placed, waiting = 1, components(edges, "documents"), edges.count(), 0
     while True:
         left = _unsettled(unled, roots)
         leaders *= 32
@@ -310,10 +312,15 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         found = stored(_verified(pairs, vectors, least), "links")
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
-            roots = components(edges, "documents")
+        more = found.count()
+        if more:
+            edges, waiting = edges.unionByName(found), waiting + more
+        # Components that lag behind by few links cost comparisons that they would save, and no result.
+        if waiting * RENEWED > placed:
+            roots, placed, waiting = components(edges, "documents"), placed + waiting, 0
         unled = left.select("key", "node", "weight").join(chosen.select("key", "node"), ["key", "node"], "left_anti")
+    if waiting:
+        roots = components(edges, "documents")
     return _answer(documents, text, rows, nodes, roots)
 
 
