@@ -19,7 +19,7 @@ class Environment:
     # The landed files' marker of NULL; without one an empty field is NULL.
     null_value: str | None = None
     # Folders that a stored table is dealt into by its key: about one for each file that it should have.
-    buckets: int = 32
+    buckets: int = 16
 
     def table_path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"

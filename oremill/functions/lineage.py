@@ -18,3 +18,12 @@ def file_name(path: Column) -> Column:
 def file_timestamp(path: Column) -> Column:
     """The text between the last ``_`` and the extension of the file's own name; NULL where there is none."""
     return F.nullif(F.regexp_extract(path, r"_([^_/]*)[.][^./]*$", 1), F.lit(""))
+
+
+# The forms that the time in a file's name may have, the longest first.
+FILE_TIME_FORMATS = ("yyyyMMddHHmmss", "yyyyMMdd")
+
+
+def file_time(text: Column, formats: tuple[str, ...] = FILE_TIME_FORMATS) -> Column:
+    """The time that a file's timestamp text stands for, in the first form that it has; NULL where it has none."""
+    return F.coalesce(*[F.try_to_timestamp(F.when(F.length(text) == len(form), text), F.lit(form)) for form in formats])

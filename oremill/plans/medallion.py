@@ -106,6 +106,7 @@ def refresh_silver_table(
     bronze only new batches are read, and of the stored table only the parts that their keys fall in.
     """
     target = silver_table(spark, env, table)
+    target.alone = True
     commit = None if full else target.latest()
     bronze = _bronze(spark, env, table)
     if commit:
@@ -170,14 +171,15 @@ def _kept(rows: DataFrame, of: str) -> DataFrame:
 def _add(target: KeyedTable, change: DataFrame, count: str, mark: str) -> int:
     """Add a change to the kept sums of its groups; other groups are not read where they are in other parts."""
     change = materialize(change, "change")
+    touched = target.parts_of(change)
     stored = target.sums if isinstance(target, Mart) else target.read
-    old = matching(stored(of=target.parts_of(change)), change.select(*target.keys), "left_semi")
-    return target.replace(change, materialize(add_up(old, change, target.keys, count), "sums"), mark)
+    old = matching(stored(of=touched), change.select(*target.keys), "left_semi")
+    return target.replace(change, materialize(add_up(old, change, target.keys, count), "sums"), mark, touched)
 
 
-def _rows_of(keys: DataFrame, table: KeyedTable, version: int) -> DataFrame:
-    """The rows of some keys in a version: only parts that the keys fall in are read."""
-    return matching(table.read(version, table.parts_of(keys)), keys, "left_semi")
+def _rows_of(keys: DataFrame, parts: list[str], table: KeyedTable, version: int) -> DataFrame:
+    """The rows of some keys in a version: only ``parts``, those that the keys fall in, are read."""
+    return matching(table.read(version, parts), keys, "left_semi")
 
 
 def derived(spark: SparkSession, env: Environment) -> dict[str, Derived]:
@@ -186,6 +188,8 @@ def derived(spark: SparkSession, env: Environment) -> dict[str, Derived]:
     by_order, by_product, by_customer = (sums_table(spark, env, of) for of in ("order", "product", "customer"))
     marts = {mart: mart_table(spark, env, mart) for mart in GOLD}
     measures = ["quantity", "value"]
+    for table in (customers, products, orders, items, by_order, by_product, by_customer, *marts.values()):
+        table.alone = True
     found: dict[tuple, DataFrame] = {}
 
     def of_items(target: KeyedTable, key: str) -> Derived:
@@ -208,7 +212,8 @@ def derived(spark: SparkSession, env: Environment) -> dict[str, Derived]:
             at = (key, *seen.values(), *now.values())
             if at not in found:  # two tables may follow the same changes
                 touched = materialize(every(list(changes.values()), key), "touched")
-                before, after = (_rows_of(touched, rows, v[names[0]]).join(_rows_of(touched, sums, v[names[1]]), key) for v in (seen, now))
+                parts = rows.parts_of(touched)  # of both tables: they are dealt by the same key
+                before, after = (_rows_of(touched, parts, rows, v[names[0]]).join(_rows_of(touched, parts, sums, v[names[1]]), key) for v in (seen, now))
                 columns = [*NOTED[names[0]], *[c for m in measures for c in (f"{m}_values", m)]]
                 found[at] = materialize(signed(before.select(*columns), after.select(*columns)), "signed")
             return _add(target, grouped(found[at]), count, mark)
@@ -220,8 +225,9 @@ def derived(spark: SparkSession, env: Environment) -> dict[str, Derived]:
 
         def follow(changes: Tables, seen: Versions, now: Versions, mark: str) -> int:
             touched = materialize(every(list(changes.values()), key), "touched")
-            fresh = _rows_of(touched, rows, now[names[0]]).join(_rows_of(touched, sums, now[names[1]]), key).select(*shown)
-            return target.replace(touched, materialize(fresh, "named"), mark)
+            parts = target.parts_of(touched)
+            fresh = _rows_of(touched, parts, rows, now[names[0]]).join(_rows_of(touched, parts, sums, now[names[1]]), key).select(*shown)
+            return target.replace(touched, materialize(fresh, "named"), mark, parts)
 
         return Derived(target, {names[0]: rows, names[1]: sums}, lambda t: t[names[0]].join(t[names[1]], key).select(*shown), follow)
 
@@ -266,7 +272,8 @@ def refresh_items_by_day(spark: SparkSession, env: Environment, full: bool = Fal
     def follow(changes: Tables, seen: Versions, now: Versions, mark: str) -> int:
         touched = materialize(every([changes["orders"], changes["order_items"]], "order_id"), "touched")
         columns = NOTED["order_items"]
-        before, after = (_rows_of(touched, orders, v["orders"]).select("order_id", "order_date") for v in (seen, now))
+        parts = orders.parts_of(touched)
+        before, after = (_rows_of(touched, parts, orders, v["orders"]).select("order_id", "order_date") for v in (seen, now))
         days = touched.join(before, "order_id", "left")
         old = matching(target.read(of=target.parts_of(days)), touched, "left_semi")
         # Items without an order cannot be touched by one: only their own changes count.

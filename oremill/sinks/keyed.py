@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,7 @@ from oremill.sinks.versions import VersionedTable
 
 # Folders are named by these; no column of a table may be.
 BUCKET, VERSION = "key_bucket", "table_version"
+_PART = "changed_part"
 #: How Spark names the folder of a NULL.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 #: A part of more folders than this is written as one when rows are added to it.
@@ -34,7 +36,7 @@ MOST_FOLDERS = 8
 PARTS = T.ArrayType(
     T.StructType([*declared("part STRING").fields, T.StructField("versions", T.ArrayType(T.IntegerType())), *declared("part_rows BIGINT").fields])
 )
-LOG = T.StructType([*PLAIN_LOG.fields, *declared("columns STRING").fields, T.StructField("whole", T.BooleanType()), T.StructField("parts", PARTS)])
+LOG = T.StructType([*PLAIN_LOG.fields, *declared("columns STRING").fields, *declared("whole_since INT").fields, T.StructField("parts", PARTS)])
 
 
 class KeyedTable(VersionedTable):
@@ -53,6 +55,10 @@ class KeyedTable(VersionedTable):
     ):
         super().__init__(spark, path)
         self.keys, self.buckets, self.by, self.noted, self.sorted_by = keys, buckets, by or BUCKET, noted, sorted_by
+        #: Log rows read so far: a version's row never changes.
+        self._known: dict[int, Row] = {}
+        #: Whether only this object writes the table for now, so that its newest version need not be looked up again.
+        self.alone = False
 
     def part(self) -> Column:
         """The part of a row as text."""
@@ -64,19 +70,24 @@ class KeyedTable(VersionedTable):
         """The parts that rows fall in: at most as many as the table may have."""
         return sorted(r["part"] for r in rows.select(self.part().alias("part")).distinct().collect())
 
-    def commit_of(self, version: int | None = None) -> Row | None:
-        """The log row of a version, or of the newest."""
-        rows = self.history()
-        if version is not None:
-            rows = rows.filter(F.col("version") == version)
-        return rows.agg(F.max_by(F.struct(*self.LOG.names), "version").alias("commit")).first()["commit"]
+    def commit_of(self, version: int) -> Row | None:
+        """The log row of a version."""
+        if version not in self._known:
+            found = self.history().filter(F.col("version") == version).limit(1).collect()
+            self._known.update({version: row for row in found})
+        return self._known.get(version)
 
     def latest(self) -> Row | None:
-        return self.commit_of()
+        if not (self.alone and self._known):
+            newest = self.history().agg(F.max_by(F.struct(*self.LOG.names), "version").alias("commit")).first()["commit"]
+            if newest is None:
+                return None
+            self._known[newest["version"]] = newest
+        return self._known[max(self._known)]
 
     def read(self, version: int | None = None, of: Iterable[str] | None = None) -> DataFrame:
         """The current state, or the state as of ``version``; with ``of`` only those parts, and no file of any other."""
-        commit = self.commit_of(version)
+        commit = self.latest() if version is None else self.commit_of(version)
         if commit is None:
             raise LookupError(f"{self.path} has no committed version" + (f" {version}" if version else ""))
         return self._state(commit, of)
@@ -98,7 +109,7 @@ class KeyedTable(VersionedTable):
         number = (self.current() or 0) + 1
         counts = self._write(df, number)
         live = [(part, [number], rows) for part, rows in counts.items()]
-        return self._log(number, df.schema, live, mark, whole=True)
+        return self._log(number, df.schema, live, mark, whole_since=number)
 
     def _write(self, df: DataFrame, number: int) -> dict[str, int]:
         """Write a folder for each part of ``df``, dealt anew so that a part is few files; rows by part."""
@@ -112,11 +123,12 @@ class KeyedTable(VersionedTable):
         part = F.coalesce(F.col(self.by).cast("string"), F.lit(NULL_PART)).alias("part")
         return {r["part"]: r["count"] for r in written.groupBy(part).count().collect()}
 
-    def _log(self, number: int, schema: T.StructType, live: list[tuple], mark: str | None, whole: bool) -> int:
-        entry = self.spark.createDataFrame(
-            [(number, sum(rows for _, _, rows in live), mark, None, schema.json(), whole, sorted(live))], self.LOG
-        )
-        entry.withColumn("committed_ts", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+    def _log(self, number: int, schema: T.StructType, live: list[tuple], mark: str | None, whole_since: int) -> int:
+        entry = (number, sum(rows for _, _, rows in live), mark, datetime.now(timezone.utc), schema.json(), whole_since, sorted(live))
+        rows = self.spark.createDataFrame([entry], self.LOG)
+        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        parts = [Row(part=part, versions=versions, part_rows=count) for part, versions, count in entry[-1]]
+        self._known[number] = Row(**dict(zip(self.LOG.names, (*entry[:-1], parts), strict=True)))
         return number
 
     def _notes(self, number: int) -> str:
@@ -128,36 +140,43 @@ class KeyedTable(VersionedTable):
         ``rows`` may be computed from those parts of the version before.  ``changes`` are signed rows.
         """
         before = self.latest()
-        schema = T.StructType.fromJson(json.loads(before["columns"]))
-        number = before["version"] + 1
-        overwrite(net(changes.select(SIGN, *(self.noted or schema.names))), self._notes(number))
+        overwrite(changes, self._notes(before["version"] + 1))
+        return self._advance(before, set(touched), rows, mark, set(added))
+
+    def _advance(self, before: Row, anew: set[str], rows: DataFrame, mark: str | None, added: set[str]) -> int:
+        schema, number = T.StructType.fromJson(json.loads(before["columns"])), before["version"] + 1
         counts = self._write(rows.select(*schema.names), number)
-        gone, more = set(touched), set(added)
-        live = {p["part"]: (p["versions"], p["part_rows"]) for p in before["parts"] if p["part"] not in gone}
+        live = {p["part"]: (p["versions"], p["part_rows"]) for p in before["parts"] if p["part"] not in anew}
         for part, rows_of_part in counts.items():
-            if part not in gone | more:
+            if part not in anew | added:
                 raise ValueError(f"{self.path}: rows of the part {part}, which is not among those to be written")
             versions, held = live.get(part, ([], 0))
             live[part] = ([*versions, number], held + rows_of_part)
-        return self._log(number, schema, [(part, *of) for part, of in live.items()], mark, whole=False)
+        return self._log(number, schema, [(part, *of) for part, of in live.items()], mark, before["whole_since"])
 
-    def replace(self, keys: DataFrame, rows: DataFrame, mark: str | None = None) -> int:
+    def replace(self, keys: DataFrame, rows: DataFrame, mark: str | None = None, touched: list[str] | None = None) -> int:
         """The next version: stored rows of ``keys`` go, ``rows``, which are of those keys alone, come.  A NULL key is a key.
 
-        Both are read several times, so pass stored ones.  Of the parts that the keys fall in only the columns of the key
-        and of the notes are read, unless a row of the part goes: then the part is written anew.
+        Both are read several times, so pass stored ones; ``touched`` are the parts of the keys, if they are known.  Of these
+        only the columns of the key and of the notes are read, unless a row of the part goes: then the part is written anew.
         """
         if self.by != BUCKET:
             raise ValueError("only a table dealt by its key can be told by keys alone which parts they are in")
         before, keys = self.latest(), keys.select(*self.keys)
-        touched = self.parts_of(keys)
+        touched = self.parts_of(keys) if touched is None else touched
         noted = self.noted or T.StructType.fromJson(json.loads(before["columns"])).names
-        narrow = self._state(before, touched).select(*dict.fromkeys([*self.keys, *noted]))
-        gone = materialize(matching(narrow, keys, "left_semi"), "replaced")
+        columns = [*dict.fromkeys([*self.keys, *noted])]
+        gone = matching(self._state(before, touched).select(*columns), keys, "left_semi")
+        part = self.part().alias(_PART)
+        changes, notes = signed(gone, rows.select(*columns)).select(SIGN, *noted, part), self._notes(before["version"] + 1)
+        overwrite(changes, notes)
+        lost = self.spark.read.schema(changes.schema).parquet(notes).filter(F.col(SIGN) < 0).select(_PART).distinct()
         many = {p["part"] for p in before["parts"] if len(p["versions"]) >= MOST_FOLDERS}
-        anew = sorted({*self.parts_of(gone), *(many & set(touched))})
-        state = matching(self._state(before, anew), keys, "left_anti").unionByName(rows)
-        return self.rewrite(anew, state, signed(gone.select(*noted), rows.select(*noted)), mark, touched)
+        anew = {*(r[_PART] for r in lost.collect()), *(many & set(touched))}
+        state = rows
+        if anew:
+            state = matching(self._state(before, anew), keys, "left_anti").unionByName(rows)
+        return self._advance(before, anew, state, mark, set(touched))
 
     def upsert(self, source: DataFrame, keys: list[str] | None = None, update: list[str] | None = None, mark: str | None = None) -> int:
         """Upsert ``source`` by the table's key: only parts in which a stored row is matched are written anew.
@@ -182,10 +201,10 @@ class KeyedTable(VersionedTable):
     def changes(self, since: int, now: int) -> DataFrame | None:
         """What changed from one version to a later one, as signed rows of the noted columns, with what came and went again
         cancelled; None if the table was stored as a whole in between."""
-        log = self.history().filter((F.col("version") > since) & (F.col("version") <= now))
-        if log.filter("whole").limit(1).count():
+        commit = self.commit_of(now)
+        if commit["whole_since"] > since:
             return None
-        schema = T.StructType.fromJson(json.loads(self.commit_of(now)["columns"]))
+        schema = T.StructType.fromJson(json.loads(commit["columns"]))
         noted = T.StructType([f for name in self.noted or schema.names for f in schema.fields if f.name == name])
         columns = T.StructType([T.StructField(SIGN, T.LongType()), *noted.fields])
         if since == now:

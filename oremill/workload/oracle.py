@@ -252,6 +252,20 @@ _BODIES = {
                CASE WHEN s.customer_id IS NULL THEN t.total_orders ELSE s.total_orders END AS total_orders,
                CASE WHEN s.customer_id IS NULL THEN t.lifetime_value ELSE s.lifetime_value END AS lifetime_value
         FROM old_ltv t FULL JOIN m_ltv s ON t.customer_id = s.customer_id""",
+    "file_times": f"""
+        SELECT size, FILE_TS, strftime(coalesce(try_strptime(CASE WHEN length(FILE_TS) = 14 THEN FILE_TS END, '%Y%m%d%H%M%S'),
+                                                try_strptime(CASE WHEN length(FILE_TS) = 8 THEN FILE_TS END, '%Y%m%d')), {ISO}) AS file_time
+        FROM (SELECT size, CASE WHEN size % 10 = 0 THEN NULL ELSE CASE WHEN size % 3 = 0 THEN strftime(modified, '%Y%m%d') ELSE strftime(modified, '%Y%m%d%H%M%S') END END AS FILE_TS
+              FROM listing)""",
+    "file_runs": """
+        SELECT l.size, l.job_name, l.task_name, r.task_run_id, coalesce(r.execution_end_ts >= l.modified, false) AS in_run
+        FROM listing l ASOF LEFT JOIN (
+          SELECT * FROM task_log WHERE CAST(task_run_id AS BIGINT) % 3 = 0
+          QUALIFY row_number() OVER (PARTITION BY job_name, task_name, execution_start_ts ORDER BY task_run_id DESC) = 1) r
+          ON l.job_name = r.job_name AND l.task_name = r.task_name AND l.modified >= r.execution_start_ts""",
+    "distinct_customers_by_month": """
+        SELECT strftime(order_date, '%Y-%m') AS span, count(DISTINCT customer_id) AS customers FROM s_orders GROUP BY 1
+        UNION ALL SELECT 'all', count(DISTINCT customer_id) FROM s_orders""",
     "upsert_top_products": "SELECT * FROM new_products",
     "upsert_top_products_parts": "SELECT * FROM new_products",
     "upsert_customer_ltv_parts": """

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from oremill import functions as fn
 from oremill import schemas
 from oremill.config import IngestSpec, environment
-from oremill.operators import dedup, fingerprint, project, retract, runlog, upsert
+from oremill.operators import asof, dedup, distinct_days, fingerprint, project, retract, runlog, upsert
 from oremill.plans import gold, medallion, silver
 from oremill.plans.ingest import RunIds, announce, run_ingest
 from oremill.plans.table_load import run_table_load, upsert_table
@@ -448,6 +448,38 @@ def file_lineage(spark, sf_dir):
     )
 
 
+@query
+def file_times(spark, sf_dir):
+    """The time in each file's name, in one form for daily files and another for monthly ones."""
+    text = fn.file_timestamp(F.col("path"))
+    form = F.when(F.col("size") % 3 == 0, F.substring(text, 1, 8)).otherwise(text)
+    return derive.file_listing(spark, sf_dir).select("size", form.alias("FILE_TS"), fn.file_time(form).alias("file_time"))
+
+
+@query
+def file_runs(spark, sf_dir):
+    """Each file with the run that it came in, of every third event's run: ties, gaps between runs, and files before any."""
+    runs = derive.task_control(spark, sf_dir).filter(F.col("task_run_id").cast("long") % 3 == 0)
+    found = asof.attribute_files(derive.file_listing(spark, sf_dir), runs)
+    return found.select("size", "job_name", "task_name", "task_run_id", "in_run")
+
+
+@query
+def distinct_customers_by_month(spark, sf_dir):
+    """Customers with an order, by month and over all time, from bitmaps kept by day and brought forward once."""
+    orders = loads.materialize(_silver(spark, sf_dir, "orders"), "orders")
+    early = F.col("order_date") < F.lit("2001-07-25").cast("date")
+    numbers, kept = None, None
+    for some in (orders.filter(early), orders.filter(~early)):
+        numbers = loads.materialize(distinct_days.numbered(some, "customer_id", numbers), "customer-numbers")
+        days = distinct_days.bitmaps(some.join(numbers, "customer_id"), ["order_date"])
+        kept = days if kept is None else distinct_days.add_days(kept, days, ["order_date"])
+    kept = loads.materialize(kept, "customer-days")
+    spans = [F.date_format("order_date", "yyyy-MM"), F.lit("all")]
+    found = [distinct_days.counted(kept.withColumn("span", span), ["span"], "customers") for span in spans]
+    return found[0].unionByName(found[1])
+
+
 @query
 def latest_file(spark, sf_dir):
     return manifest.latest_file(derive.file_listing(spark, sf_dir), "202401", by=("job_name",))

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from oremill.operators import dedup, project, runlog, upsert
+from oremill.operators import asof, dedup, distinct_days, project, runlog, upsert
 from oremill.plans import gold, silver
 from oremill.schemas import BRONZE, CONTROL, SILVER
 from oremill.sinks.versions import VersionedTable
@@ -339,3 +339,68 @@ def test_watermark_default(spark):
 def test_retention_keeps_the_boundary(spark):
     df = spark.createDataFrame([(DAY,), (DAY - timedelta(seconds=1),)], "ts TIMESTAMP")
     assert runlog.retention_filter(df, F.lit(DAY + timedelta(days=180)), "ts").count() == 1
+
+
+# --- as-of joins and bitmaps ----------------------------------------------------------------------------------
+
+
+def test_asof_join_equals_brute_force(spark):
+    r = random.Random(3)
+    times = [None, *(DAY + timedelta(minutes=m) for m in range(30))]
+    # One key has most of the rows and events, so it fills several partitions of the sort.
+    key = lambda: r.choice(["hot"] * 6 + ["a", "b", None, "rows only"])
+    rows = [(key(), r.choice(times), n % 40) for n in range(300)]
+    events = [(k, r.choice(times), n) for n, k in enumerate(key() for _ in range(120)) if k != "rows only"]
+    left = spark.createDataFrame(rows, "k STRING, t TIMESTAMP, v INT")
+    right = spark.createDataFrame(events, "k STRING, at TIMESTAMP, id INT")
+    found = sorted(((x.k, x.t, x.v, x.event.id if x.event else None) for x in asof.asof_join(left, right, ["k"], "t", "at", ["id"]).collect()), key=repr)
+    expected = []
+    for k, t, v in rows:
+        before = [(at, i) for ek, at, i in events if ek == k and at is not None and t is not None and at <= t]
+        expected.append((k, t, v, max(before)[1] if before else None))
+    assert found == sorted(expected, key=repr) and sum(e[3] is None for e in expected) > 10
+    assert asof.asof_join(left.limit(0), right, ["k"], "t", "at", ["id"]).count() == 0
+    assert {x.event for x in asof.asof_join(left, right.limit(0), ["k"], "t", "at", ["id"]).collect()} == {None}
+
+
+def test_asof_join_cuts_a_hot_key(spark):
+    rows = spark.range(4_000).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("t"), "id")
+    events = spark.range(0, 4_000, 100).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("at"), "id")
+    found = asof.asof_join(rows, events, ["k"], "t", "at", ["id"])
+    assert found.filter(F.col("event.id") != F.floor(F.col("id") / 100) * 100).count() == 0 and found.count() == 4_000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_part" in plan and "NestedLoop" not in plan
+
+
+def test_files_are_attributed_to_runs(spark):
+    at = lambda m: DAY + timedelta(minutes=m)
+    runs = [("j", "t", "r1", at(10), at(20)), ("j", "t", "r2", at(30), None), ("j", "t", "r3", at(30), at(31)), ("j", "u", "r4", at(0), at(99))]
+    files = [("j", "t", f"f{m}", at(m)) for m in (5, 10, 20, 25, 30, 40)] + [("x", "t", "other", at(15))]
+    found = asof.attribute_files(
+        spark.createDataFrame(files, "job_name STRING, task_name STRING, path STRING, modified TIMESTAMP"),
+        spark.createDataFrame(runs, "job_name STRING, task_name STRING, task_run_id STRING, execution_start_ts TIMESTAMP, execution_end_ts TIMESTAMP"),
+    )
+    assert {x.path: (x.task_run_id, x.in_run) for x in found.collect()} == {
+        "f5": (None, False), "f10": ("r1", True), "f20": ("r1", True), "f25": ("r1", False), "f30": ("r3", True), "f40": ("r3", False), "other": (None, False)
+    }
+
+
+def test_bitmaps_count_distinct_over_any_span(spark):
+    r = random.Random(7)
+    rows = [(r.randrange(12), r.choice([None, *(f"c{n}" for n in range(70_000, 70_400))])) for _ in range(3_000)]
+    rows += [(0, f"c{n}") for n in range(40_000)]  # more values than a piece has bits
+    schema = "day INT, c STRING"
+    first = spark.createDataFrame([x for x in rows if x[0] < 6], schema).repartition(5)
+    later = spark.createDataFrame([x for x in rows if x[0] >= 4], schema)  # days 4 and 5 come twice
+    numbers = distinct_days.numbered(first, "c")
+    numbers = spark.createDataFrame(numbers.collect(), numbers.schema)
+    more = distinct_days.numbered(later, "c", numbers)
+    known = {x.c: x.number for x in more.collect()}
+    assert sorted(known.values()) == list(range(len({c for _, c in rows if c})))
+    assert all(known[x.c] == x.number for x in numbers.collect())
+    kept = distinct_days.bitmaps(first.join(numbers, "c"), ["day"])
+    kept = distinct_days.add_days(kept, distinct_days.bitmaps(later.join(more, "c"), ["day"]), ["day"])
+    for span in (1, 3, 5, 12):
+        found = {x.s: x.n for x in distinct_days.counted(kept.withColumn("s", F.floor(F.col("day") / span)), ["s"], "n").collect()}
+        assert found == {s: len({c for d, c in rows if d // span == s and c}) for s in {d // span for d, c in rows if c}}
+    assert distinct_days.numbered(first.limit(0), "c").count() == 0
