@@ -210,12 +210,10 @@ def test_refresh_that_died_is_completed(spark, tmp_path):
     for table, line in {"customers": "c1,Ann,,,,", "products": "p1,Pen,a,B,1", "orders": "o1,c1,2024-01-01,x", "order_items": "i1,o1,p1,2,1.5"}.items():
         write(landing / table / "1.csv", ["h", line])
     medallion.refresh(spark, env)
-    for day in (2, 3):
-        write(landing / "order_items" / f"{day}.csv", ["h", f"i1,o1,p1,{day},1.5", f"i{day},o1,p1,1,1"])
-        medallion.load_bronze(spark, env)
-        medallion.refresh_silver(spark, env)
-        tables = medallion.derived(spark, env)
-        tables["order_sums"].bring_up()  # and then it died
+    write(landing / "order_items" / "2.csv", ["h", "i1,o1,p1,2,1.5", "i2,o1,p1,1,1"])
+    medallion.load_bronze(spark, env)
+    medallion.refresh_silver(spark, env)
+    medallion.derived(spark, env)["order_sums"].bring_up()  # and then it died
     medallion.refresh(spark, env)
     for mart, expected in rebuilt(spark, env)[1].items():
         assert rows_of(medallion.mart_table(spark, env, mart).read()) == rows_of(expected), mart
