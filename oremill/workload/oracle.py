@@ -293,8 +293,7 @@ _BODIES = {
                CASE WHEN o_orderkey % 11 = 0 THEN 'TOO_MANY_FIELDS' WHEN o_orderkey % 13 = 0 THEN 'TOO_FEW_FIELDS' ELSE 'OPEN_QUOTE' END
         FROM raw_orders WHERE o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0""",
     "reconcile_contents": """
-        SELECT OrderID, CASE WHEN gone AND NOT more THEN 'MISSING' WHEN more AND NOT gone AND NOT changed THEN 'EXTRA'
-                             WHEN gone THEN 'MISSING' ELSE 'CHANGED' END AS difference,
+        SELECT OrderID, CASE WHEN target_rows = 0 THEN 'MISSING' WHEN source_rows = 0 THEN 'EXTRA' ELSE 'CHANGED' END AS difference,
                CAST(source_rows AS BIGINT) AS source_rows, CAST(target_rows AS BIGINT) AS target_rows
         FROM (SELECT OrderID, gone, more, changed, CASE WHEN gone AND more THEN 0 WHEN gone OR changed THEN copies - CASE WHEN more THEN copies ELSE 0 END ELSE 0 END AS source_rows,
                      CASE WHEN changed AND NOT gone THEN copies WHEN more AND NOT gone THEN copies ELSE 0 END AS target_rows
