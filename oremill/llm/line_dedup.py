@@ -113,6 +113,11 @@ def _deleted(documents: DataFrame, text: str, min_chars: int) -> DataFrame:
     return gone.groupBy(*_DOC).agg(F.collect_set("line").alias("gone"))
 
 
+def _left_of(lines: Column) -> Column:
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    return F.transform(places, lambda n: F.get(lines, n))
+
+
 def dedup(spark: SparkSession, df: DataFrame, text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """Delete the later copies of repeated line runs from a text column; needs ``doc_id``.
 
@@ -126,10 +131,11 @@ def dedup(spark: SparkSession, df: DataFrame, text: str = "text", min_chars: int
     rows = df.select(*rest, *_document(text))
     joined = rows.join(_deleted(df.select("doc_id", text), text, min_chars), _DOC, "left")
     lines = F.split(F.col(text), "\n")
-    left = F.filter(lines, lambda line, n: ~F.array_contains("gone", n))
+    # The lines are bound once, and places looked up by hash: a text takes time in proportion to its lines.
+    left = F.transform(F.array(lines), lambda all_lines: F.array_join(_left_of(all_lines), "\n"))[0]
     counted = F.size(F.filter(lines, lambda line: F.trim(line) != ""))
     return joined.select(
-        *[F.when(F.col("gone").isNull(), F.col(c)).otherwise(F.array_join(left, "\n")).alias(c) if c == text else F.col(c) for c in rest],
+        *[F.when(F.col("gone").isNull(), F.col(c)).otherwise(left).alias(c) if c == text else F.col(c) for c in rest],
         F.when(F.col(text).isNull(), 0).otherwise(counted).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_deleted"),
     )

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from oremill.llm.common import blocks
 from oremill.llm.pretokens import split
 
-#: Merged pre-tokens remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 150_000
+#: Merged pre-tokens remembered by each Python worker, and the longest of them; a full memory is emptied.
+REMEMBERED, REMEMBERED_CHARS = 150_000, 200
 
 
 def _letters() -> list[str]:
@@ -54,36 +55,31 @@ class Counter:
                     pass
 
     def _merge(self, parts: list[str]) -> int:
-        """The number of tokens after all merges, lowest rank first and, of one rank, from the left."""
-        rank, none = self.rank, 1 << 60
-        ranks = [rank.get(pair, none) for pair in zip(parts, parts[1:], strict=False)]
-        while ranks:
-            lowest = min(ranks)
-            if lowest == none:
-                break
-            if len(parts) > 400:
-                parts, ranks = self._sweep(parts, ranks, lowest)
+        """The number of tokens after all merges, lowest rank first and, of one rank, from the left.
+
+        Pairs wait in a heap, parts are linked to their neighbours: a pre-token of n letters takes n log n steps.
+        """
+        rank, left = self.rank, len(parts)
+        after, before = list(range(1, left + 1)), list(range(-1, left - 1))
+        waiting = [(r, at) for at, pair in enumerate(zip(parts, parts[1:], strict=False)) if (r := rank.get(pair)) is not None]
+        heapify(waiting)
+        while waiting:
+            r, at = heappop(waiting)
+            then = after[at]
+            # Merges have changed some pairs since: a part merged to its left is empty.
+            if then >= len(parts) or rank.get((parts[at], parts[then])) != r:
                 continue
-            at = ranks.index(lowest)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank.get((parts[at - 1], parts[at]), none)
-            if at < len(ranks):
-                ranks[at] = rank.get((parts[at], parts[at + 1]), none)
-        return len(parts)
-
-    def _sweep(self, parts: list[str], ranks: list[int], lowest: int) -> tuple[list[str], list[int]]:
-        """All merges of the lowest rank in one pass from the left; a merge makes only pairs of higher rank."""
-        out, at = [], 0
-        while at < len(parts):
-            if at < len(ranks) and ranks[at] == lowest:
-                out.append(parts[at] + parts[at + 1])
-                at += 2
-            else:
-                out.append(parts[at])
-                at += 1
-        return out, [self.rank.get(pair, 1 << 60) for pair in zip(out, out[1:], strict=False)]
+            parts[at] += parts[then]
+            parts[then] = ""
+            left -= 1
+            after[at] = further = after[then]
+            if further < len(parts):
+                before[further] = at
+                if (r := rank.get((parts[at], parts[further]))) is not None:
+                    heappush(waiting, (r, at))
+            if (earlier := before[at]) >= 0 and (r := rank.get((parts[earlier], parts[at]))) is not None:
+                heappush(waiting, (r, earlier))
+        return left
 
     def piece(self, piece: str) -> int:
         """The tokens of one pre-token."""
@@ -91,9 +87,11 @@ class Counter:
             return 1
         known = self._merged.get(piece)
         if known is None:
-            if len(self._merged) >= REMEMBERED:
-                self._merged.clear()
-            known = self._merged[piece] = self._merge([self.letters[b] for b in piece.encode()])
+            known = self._merge([self.letters[b] for b in piece.encode()])
+            if len(piece) <= REMEMBERED_CHARS:
+                if len(self._merged) >= REMEMBERED:
+                    self._merged.clear()
+                self._merged[piece] = known
         return known
 
     def _ordinary(self, text: str) -> int:
