@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
@@ -51,12 +52,21 @@ NOT_MAIN_NAMES = frozenset(
 )
 #: An element with one of these as a part of a longer name may be the layout around an article.
 LAYOUT_NAMES = frozenset("sidebar side share search notice notices banner nav navbar header footer skip topbar".split())
+#: Kinds of elements besides those of blocks: named by a part of a name that is not of layouts, and an article in such a one.
+MAYBE, WITHIN_MAYBE = -1.5, -1.25
+#: The kind of what is inside an article, in an element whose name speaks against it: the slot's text decides.
+DOUBTFUL = 2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Reader comments by a part of a name, but for names that say whether a page has any.
+COMMENT_NAMES = frozenset("comment comments reply replies respond disqus discussion".split())
+STATES = frozenset("has no with without is enabled disabled open closed on off".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 MAIN_NAMES = frozenset("article post-content entry-content article-body story-body main-content post-body articlebody".split())
 #: A paragraph ends where one of these begins, as do items and cells of their kind.
 _ENDED_BY = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_PLAIN = re.compile(r"[^>\"']*+")
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _DIGITS = re.compile(r"\d+")
 
@@ -65,10 +75,15 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def _of_comments(name: str) -> bool:
+    parts = set(re.split(r"[-_]+", name))
+    return bool(parts & COMMENT_NAMES) and not parts & STATES
+
+
 @lru_cache(maxsize=20_000)
-def _element(tag: str, attributes: str) -> tuple[str, int]:
-    """How a path names an element, and what its name says: -2 not the main text, -1 not unless an article is inside, 1 the
-    article, 0 nothing."""
+def _element(tag: str, attributes: str) -> tuple[str, float]:
+    """How a path names an element, and what its name says: -2 not the main text, -1 not unless an article is inside,
+    ``MAYBE`` the same unless the page has another article, 1 the article, 0 nothing."""
     names: list[str] = []
     role = ""
     if attributes:
@@ -83,38 +98,108 @@ def _element(tag: str, attributes: str) -> tuple[str, int]:
     unlike = set() if tag in ("html", "body") else parts & NOT_MAIN_NAMES
     if tag in MAIN or role in ("main", "article") or parts & MAIN_NAMES:
         kind = 1
-    elif tag in NOT_MAIN or role in NOT_MAIN_ROLES or unlike - LAYOUT_NAMES or unlike & set(names):
+    elif tag in NOT_MAIN or role in NOT_MAIN_ROLES or unlike & set(names) or (unlike and any(_of_comments(name) for name in names)):
         kind = -2
     elif unlike:
-        kind = -1
+        kind = -1 if unlike <= LAYOUT_NAMES else MAYBE
     else:
         kind = 0
     # Numbers in names differ from page to page.
     return ".".join([tag, *sorted({_DIGITS.sub("#", n) for n in names})]), kind
 
 
+class Path:
+    """The elements around a text, as a chain: the innermost one's name and what is around it."""
+
+    __slots__ = ("around", "doubtful", "hash", "slot")
+
+    def __init__(self, around: Path | None, name: str, doubtful: bool = False):
+        self.around, self.doubtful = around, doubtful
+        self.hash = _path_hash(around.hash if around else 0, name)
+        # Elements that only divide text have no slot of their own, so that all paragraphs of an article fill one.
+        self.slot: Path = around.slot if around and not doubtful and name.split(".")[0] in _DIVIDERS else self
+
+
 class Block:
     __slots__ = ("kind", "linked", "path", "text")
 
-    def __init__(self, path: tuple[str, ...], kind: int, text: str, linked: int):
+    def __init__(self, path: Path, kind: float, text: str, linked: int):
         self.path, self.kind, self.text, self.linked = path, kind, text, linked
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
+_DIVIDERS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre tr td th tbody thead tfoot table figcaption caption".split())
+
+
+@lru_cache(maxsize=50_000)
+def _path_hash(around: int, name: str) -> int:
+    return _hash(f"{around}/{name}")
+
+
+class Markup:
+    """The tags of a page one by one, in time that grows with the page however broken it is."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last_end = page.rfind(">")
+        # Quotes outside of which no tag ends any more; a tag that comes upon one need not look further.
+        self.open_quotes: set[int] = set()
+
+    def _tag_end(self, at: int) -> int:
+        """Where an open tag ends: behind the first ``>`` outside quotes, or the first of all if a quote stays open."""
+        page, here, seen = self.page, at, []
+        while True:
+            here = _PLAIN.match(page, here).end()
+            if here == len(page) or here in self.open_quotes:
+                break
+            if page[here] == ">":
+                return here + 1
+            seen.append(here)
+            closing = page.find(page[here], here + 1)
+            if closing < 0:
+                break
+            here = closing + 1
+        self.open_quotes.update(seen)
+        return page.find(">", at) + 1
+
+    def next(self, at: int) -> tuple[int, int, str, str, str] | None:
+        """The next tag or comment: start, end, slash, name and attributes; a comment or declaration has no name."""
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            if page.startswith("<!--", at):
+                closing = page.find("-->", at + 4)
+                return at, closing + 3 if closing >= 0 else len(page), "", "", ""
+            if at > self.last_end:  # only comments need no end
+                at = page.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            if page[at + 1] in "!?":
+                return at, page.find(">", at) + 1, "", "", ""
+            if tag := _TAG.match(page, at):
+                end = self._tag_end(tag.end())
+                return at, end, tag[1], tag[2].lower(), page[tag.end() : end - 1]
+            at += 1
+        return None
+
+
+def parse(page: str) -> tuple[list[Block], list[Path]]:
     """The text blocks of a page and the paths of its elements, in page order.
 
     Broken markup is read as browsers do: a paragraph ends where a block begins, an end tag without its start is
     ignored, and elements that are still open end with the page.  A block is text between the starts and ends of block
     elements, white space made one blank, character references decoded.  Its kind is -1 inside an element that is not
     main text by its tag or name, else 1 inside an article, else 0.  Names of layouts, as parts of longer names, do not hold
-    for an article inside; on ``html`` and ``body`` no such names hold.
+    for an article inside; nor do other such parts, if the page has no article but there.  On ``html`` and ``body`` no
+    such names hold.  Inside an article such a part of a name, or any name of a heading, is a doubt that the template has to
+    settle: the kind is ``DOUBTFUL``.  Elements may nest to any depth.
     """
     found: list[Block] = []
-    elements: list[tuple[str, ...]] = []
-    stack: list[tuple[str, tuple[str, ...], int]] = [("", (), 0)]
+    elements: list[Path] = []
+    stack: list[tuple[str, Path, float]] = [("", Path(None, ""), 0)]
+    still_open: Counter[str] = Counter()
     text: list[str] = []
     linked = in_link = at = 0
-    size, lowered = len(page), None
+    size, lowered, markup = len(page), None, Markup(page)
 
     def close_block() -> None:
         nonlocal linked
@@ -122,35 +207,35 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
             words = " ".join(html.unescape("".join(text)).split())
             if words:
                 _, path, kind = stack[-1]
-                found.append(Block(path, max(kind, -1), words, min(linked, len(words))))
+                found.append(Block(path, kind, words, min(linked, len(words))))
             text.clear()
         linked = 0
 
     while at < size:
-        token = _TOKEN.search(page, at)
-        end = token.start() if token else size
+        token = markup.next(at)
+        end = token[0] if token else size
         if end > at:
             text.append(page[at:end])
             if in_link:
                 linked += end - at
         if not token:
             break
-        at = token.end()
-        slash, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
+        _, at, slash, tag, attributes = token
         if not tag:
             continue
-        tag = tag.lower()
         if tag == "a":
             in_link = not slash
             continue
         if slash:
             if tag in BLOCK:
                 close_block()
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth][0] == tag:
-                        del stack[depth:]
-                        in_link = 0
-                        break
+                if still_open[tag]:
+                    while True:
+                        ended = stack.pop()[0]
+                        still_open[ended] -= 1
+                        if ended == tag:
+                            break
+                    in_link = 0
             continue
         if tag in RAW and not attributes.endswith("/"):
             lowered = page.lower() if lowered is None else lowered
@@ -171,32 +256,30 @@ def parse(page: str) -> tuple[list[Block], list[tuple[str, ...]]]:
         if tag in VOID:
             continue
         while len(stack) > 1 and tag in _ENDED_BY.get(stack[-1][0], ()):
-            stack.pop()
+            still_open[stack.pop()[0]] -= 1
         name, kind = _element(tag, attributes)
-        _, path, around = stack[-1]
-        inner = (*path, name) if len(path) < 60 else path
-        least = min(around, kind)
-        stack.append((tag, inner, kind if around == -1 and kind == 1 else least if least < 0 else max(around, kind)))
+        _, around, outer = stack[-1]
+        doubtful = outer in (1, DOUBTFUL) and (kind in (-1, MAYBE) or (kind == -2 and tag in HEADINGS))
+        inner = Path(around, name, doubtful)
+        if doubtful or (outer == DOUBTFUL and kind >= 0):
+            kind = DOUBTFUL
+        elif outer in (-1, MAYBE) and kind == 1:
+            kind = 1 if outer == -1 else WITHIN_MAYBE
+        elif outer == WITHIN_MAYBE:
+            kind = WITHIN_MAYBE if kind >= 0 else -2
+        else:
+            least = min(outer, kind)
+            kind = least if least < 0 else max(outer, kind)
+        stack.append((tag, inner, kind))
+        still_open[tag] += 1
         elements.append(inner)
     close_block()
+    alone = not any(b.kind == 1 for b in found)
+    for b in found:
+        b.kind = 1 if alone and b.kind == WITHIN_MAYBE else max(b.kind, -1)
     return found, elements
 
 
-def _slot(path: tuple[str, ...]) -> tuple[str, ...]:
-    """A path without the elements that only divide text, so that all paragraphs of an article fill one slot."""
-    while path and path[-1].split(".")[0] in _DIVIDERS:
-        path = path[:-1]
-    return path
-
-
-_DIVIDERS = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre tr td th tbody thead tfoot table figcaption caption".split())
-
-
-@lru_cache(maxsize=50_000)
-def _path_hash(path: tuple[str, ...]) -> int:
-    return _hash("/".join(path))
-
-
 TOKENS = "host string, page long, tokens array<struct<token:long,n:int,slot:long,kind:int,chars:int,linked:int,text:boolean>>"
 
 
@@ -211,11 +294,11 @@ def tokens(pages: DataFrame) -> DataFrame:
                 found, elements = parse(page or "")
                 seen: dict[int, dict] = {}
                 for path in elements:
-                    token = _path_hash(path)
+                    token = path.hash
                     row = seen.setdefault(token, {"token": token, "n": 0, "slot": token, "kind": 0, "chars": 0, "linked": 0, "text": False})
                     row["n"] += 1
                 for b in found:
-                    slot = _path_hash(_slot(b.path))
+                    slot = b.path.slot.hash
                     token = _hash(f"{slot} {b.text}")
                     row = seen.setdefault(token, {"token": token, "n": 0, "slot": slot, "kind": b.kind, "chars": len(b.text), "linked": b.linked, "text": True})
                     row["n"] += 1
@@ -245,7 +328,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum(F.col("n") * F.col("linked")).alias("linked"),
     )
     once = stored(once, "template-tokens")
-    hosts = each.groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).where(F.col("host_pages") >= HOST_PAGES)
+    hosts = pages.where("host != ''").groupBy("host").agg(F.count(F.lit(1)).alias("host_pages")).where(F.col("host_pages") >= HOST_PAGES)
     hosts = stored(hosts, "template-hosts")  # the join then has a shuffle of its own, in which a large host is split
     # Blocks that only one page has are no template tokens, and far the most of all: they only count for their slot.
     frequent = once.join(hosts, "host").where((F.col("pages") >= F.greatest(F.lit(2), F.ceil(F.col("host_pages") * CLASS_SHARE))))
@@ -262,11 +345,12 @@ def templates(pages: DataFrame) -> DataFrame:
         F.max("kind").alias("kind"),
         F.min("least_kind").alias("least_kind"),
     )
-    of_host = content.groupBy("host").agg(F.sum("chars").alias("all_chars"), F.max(F.col("kind") > 0).alias("marked"))
+    of_host = content.groupBy("host").agg(F.sum("chars").alias("all_chars"), F.max(F.col("kind") == 1).alias("marked"))
     judged = slots.join(content, ["host", "slot"], "left").join(of_host, "host", "left")
     fresh = (F.col("linked") <= MOST_LINKED * F.col("chars")) & (F.col("repeated") <= MOST_REPEATED * F.col("chars"))
     ample = (F.col("chars") >= LEAST_SHARE * F.col("all_chars")) & (F.col("chars") >= LEAST_BLOCK * F.col("blocks"))
-    named = F.when(F.col("marked"), F.col("kind") > 0).otherwise(fresh & ample)
+    settled = F.when(F.col("kind") == DOUBTFUL, fresh).otherwise(F.col("kind") == 1)
+    named = F.when(F.col("marked"), settled).otherwise(fresh & ample)
     main = F.coalesce((F.col("least_kind") >= 0) & named, F.lit(False))
     return judged.groupBy("host").agg(F.collect_list("slot").alias("slots"), F.collect_list(F.when(main, F.col("slot"))).alias("main"))
 
@@ -278,19 +362,17 @@ def _main_text(page: str | None, slots: frozenset[int] | None, main: frozenset[i
     has none of its article, is read by the names of its elements: the article if there is one, else all blocks of
     kind 0 that are not mostly links.
     """
-    found, _ = parse(page or "")
+    found, elements = parse(page or "")
     if slots:
-        kept = []
-        for b in found:
-            path = _slot(b.path)
-            while path and _path_hash(path) not in slots:
-                path = path[:-1]
-            if b.kind >= 0 and path and _path_hash(path) in main:
-                kept.append(b.text)
+        # An element comes after those around it, so each is looked at once.
+        inside: dict[Path, bool] = {}
+        for path in elements:
+            inside[path] = path.hash in main if path.hash in slots else not path.doubtful and inside.get(path.around, False)
+        kept = [b.text for b in found if b.kind >= 0 and inside.get(b.path.slot, False)]
         if kept:
             return "\n".join(kept)
-    marked = any(b.kind > 0 for b in found)
-    return "\n".join(b.text for b in found if (b.kind > 0 if marked else b.kind == 0 and b.linked <= MOST_LINKED * len(b.text)))
+    marked = any(b.kind == 1 for b in found)
+    return "\n".join(b.text for b in found if (b.kind == 1 if marked else b.kind == 0 and b.linked <= MOST_LINKED * len(b.text)))
 
 
 def _with_templates(rows: DataFrame, model: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import hashlib
+import time
 
 import pytest
 import zstandard
@@ -98,6 +99,71 @@ def test_names_of_layouts_do_not_hide_an_article(page, expected):
     assert html_extract._main_text(page, None, frozenset()) == expected
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("<div class='comments-enabled'><article><p>kept</p></article></div>", "kept"),
+        ("<div class='social-feed-page'><main><p>kept</p></main></div>", "kept"),
+        ("<article>kept</article><div class='comment-list'><article>gone</article></div>", "kept"),
+        ("<div class='ad-page'><article><p>kept</p><div class='promo'>gone</div></article></div>", "kept"),
+    ],
+)
+def test_parts_of_names_do_not_hide_the_only_article(page, expected):
+    assert html_extract._main_text(page, None, frozenset()) == expected
+
+
+@pytest.mark.parametrize(
+    "page, length",
+    [
+        ("<a " * 350_000, 1_049_999),
+        ('<p "' * 250_000, 1_000_000),
+        ('<p "' * 250_001 + ">x", 1),
+        ('<p "><p \'\'><p \'"' * 60_000, None),
+        ("<div>" * 100_000 + "</p>" * 100_000, 0),
+        ("<div>" * 90_000 + "x" + "</div>" * 90_000, 1),
+        ("<ul><li>x" * 50_000, 99_999),
+        ("<!--" * 250_000, 0),
+    ],
+)
+def test_broken_megabytes_take_seconds(page, length):
+    begun = time.monotonic()
+    found = html_extract._main_text(page, frozenset([1]), frozenset([1]))
+    assert time.monotonic() - begun < 30
+    assert length is None or len(found) == length
+
+
+def test_tags_by_a_regular_expression():
+    """Tags of well-formed pages, and of pages whose quotes do not close, against one pattern."""
+    import random
+    import re
+
+    pattern = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+    pick = random.Random(7)
+    for _ in range(3_000):
+        made = "".join(pick.choice(["<p", "<a ", "</p", ">", '"', "'", " x", "=", "<", "<!--", "-->", "<!d", "/"]) for _ in range(pick.randrange(25)))
+        markup, at, found = html_extract.Markup(made), 0, []
+        while token := markup.next(at):
+            found.append(token[:2])
+            at = token[1]
+        # A name with a quote in it is one name here; the pattern may cut it.
+        if not re.search(r"<[/]?[a-z][^\s/>]*[\"']", made):
+            assert found == [m.span() for m in pattern.finditer(made)], made
+
+
+def test_names_that_speak_against_parts_of_an_article_are_settled_by_its_template(spark):
+    def made(n: int) -> str:
+        body = f"<h2 class='alert'>Warning number {n} of the day</h2><div class='share-price'>Closed at {n * 37} points on day {n}</div>"
+        posts = "".join(f"<li><a href='/{i}'>Related story {i}</a></li>" for i in range(4))
+        extra = "<div class='related-rare'>seen on one page only</div>" if n == 5 else ""
+        body += f"<p>Story {n} tells what no other does.</p><div class='related-posts'><ul>{posts}</ul></div><div class='share-box'>Share this</div>{extra}"
+        return page(f"<div class='w1'><div class='w2'><article>{body}</article></div></div>")
+
+    df = spark.createDataFrame([(n, "http://h.example/", made(n)) for n in range(12)], "page_id long, url string, html string")
+    for r in html_extract.extract(df).collect():
+        n = r.page_id
+        assert r.text.split("\n") == [f"Warning number {n} of the day", f"Closed at {n * 37} points on day {n}", f"Story {n} tells what no other does."]
+
+
 def test_odd_pages():
     assert text("", "") == "" and text("", "<") == "<" and text("", "plain &amp; text") == "plain & text"
     assert text("", "<article><p>never closed") == "never closed"
