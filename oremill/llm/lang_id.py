@@ -13,13 +13,14 @@ from functools import lru_cache
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oremill.llm.common import blocks
 
-#: Bounds of what is learned: rows of each language, characters taken of each, bytes of a dictionary.
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 600, 3_000, 250_000
+#: Bounds of what is learned: rows of each language, bytes of a dictionary, and the pieces, spread over the whole of a text,
+#: that stand for a longer one, with the characters of each.
+SAMPLE_ROWS, DICTIONARY_BYTES, PIECES, PIECE_CHARS = 600, 250_000, 10, 300
 #: Texts are compressed in pieces of so many bytes, so that the dictionary counts in long texts as it does in short ones.
 PIECE_BYTES = 4_000
 LEVEL = 5
@@ -33,22 +34,62 @@ def plain(text: str) -> str:
     return _NO_WORD.sub(" ", text.lower()).strip()
 
 
+def _pieces(text: Column) -> Column:
+    """A text, or of a long one ``PIECES`` pieces at even distances, the first at its beginning and the last at its end."""
+    last = F.length(text) - PIECE_CHARS
+    starts = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda n: (n * last / (PIECES - 1)).cast("int") + 1)
+    return F.when(F.length(text) <= PIECES * PIECE_CHARS, text).otherwise(
+        F.array_join(F.transform(starts, lambda start: F.substring(text, start, F.lit(PIECE_CHARS))), " ")
+    )
+
+
+def _evenly(parts: list[bytes], most: int) -> list[bytes]:
+    """As much of each part as fits if all have the same share, where short ones leave theirs to the others."""
+    room, share = most - len(parts), 0
+    sizes = sorted(map(len, parts))
+    for n, size in enumerate(sizes):
+        share = max(0, room) // (len(sizes) - n)
+        if size > share:
+            break
+        room -= size
+        share = size
+    return [_spread(part, share) for part in parts]
+
+
+def _spread(part: bytes, most: int) -> bytes:
+    """Pieces at even distances of a longer part."""
+    if len(part) <= most:
+        return part
+    pieces = max(1, min(PIECES, most // 40))
+    size = most // pieces
+    starts = [n * (len(part) - size) // max(1, pieces - 1) for n in range(pieces)]
+    return b"".join(part[at : at + size] for at in starts)
+
+
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple[str, bytes]]:
     """The dictionary of each language, the language with most rows first.
 
     Rows without text or language are left out.  Of each language the ``SAMPLE_ROWS`` different texts of smallest hash
-    are used, whatever the partitioning; copies of a text count once, and only one hash per text is shuffled.
+    are used, whatever the partitioning; copies of a text count once, and only one hash per text is shuffled.  A long text
+    gives pieces from its beginning to its end, and all texts of the sample share the dictionary evenly.
+
+    Hashes are spread evenly, so only those below a bound taken from the counts are ranked: four times the sample, of a
+    language of any size, which leaves too few with a probability far below 1e-100.
     """
     known = rows.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     keyed = known.withColumn("at", F.xxhash64("text"))
     texts = keyed.groupBy("lang", "at").agg(F.count(F.lit(1)).alias("n"))
+    counts = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("different")).collect()
+    most = {r["lang"]: r["n"] for r in counts}
+    bounds = [(r["lang"], min(2**63 - 1, -(2**63) + 2**64 * 4 * SAMPLE_ROWS // r["different"])) for r in counts]
+    bound = rows.sparkSession.createDataFrame(bounds, "lang string, bound long")
     first = Window.partitionBy("lang").orderBy("at")
-    chosen = texts.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS).select("lang", "at")
-    most = {r["lang"]: r["n"] for r in texts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    near = texts.join(F.broadcast(bound), "lang").where("at <= bound")
+    chosen = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= SAMPLE_ROWS).select("lang", "at")
     # The join's small side has SAMPLE_ROWS rows a language.  Copies of a chosen text meet again in the aggregation.
     excerpts = (
         keyed.join(F.broadcast(chosen), ["lang", "at"], "left_semi")
-        .select("lang", "at", F.substring("text", 1, SAMPLE_CHARS).alias("part"))
+        .select("lang", "at", _pieces(F.col("text")).alias("part"))
         .groupBy("lang", "at")
         .agg(F.min("part").alias("part"))
     )
@@ -56,7 +97,7 @@ def learn(rows: DataFrame, text: str = "text", lang: str = "lang") -> list[tuple
     for row in sorted(excerpts.collect(), key=lambda r: (r["lang"], r["at"])):
         parts[row["lang"]].append(plain(row["part"]).encode())
     order = sorted(most, key=lambda name: (-most[name], name))
-    return [(name, b"\n".join(parts[name])[:DICTIONARY_BYTES]) for name in order]
+    return [(name, b"\n".join(_evenly(parts[name], DICTIONARY_BYTES))) for name in order]
 
 
 class Classifier:
