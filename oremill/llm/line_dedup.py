@@ -36,7 +36,9 @@ def _document(text: str) -> list[Column]:
 def _lines(documents: DataFrame, text: str) -> DataFrame:
     """The lines that are not blank: their document, place among these, place in the text, id and characters."""
     every = F.transform(F.split(F.col(text), "\n"), lambda line, n: F.struct(n.alias("line"), F.trim(line).alias("body")))
-    lines = documents.select(*_document(text), F.posexplode(F.filter(every, lambda s: s["body"] != "")).alias("pos", "s"))
+    # The key is worked out before the explosion: after it Spark would hash the whole text for each of its lines.
+    keyed = documents.select(*_document(text), F.filter(every, lambda s: s["body"] != "").alias("every"))
+    lines = keyed.select(*_DOC, F.posexplode("every").alias("pos", "s"))
     h1, h2 = wide_hash(F.col("s.body"))
     return lines.select(*_DOC, "pos", F.col("s.line").alias("line"), h1.alias("h1"), h2.alias("h2"), F.length("s.body").alias("chars"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -334,6 +335,18 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.deduped(spark, spark.createDataFrame(rows, "doc_id long, text string").limit(0)).count() == 0
 
 
+def test_line_dedup_of_a_hundred_thousand_repeated_lines(spark):
+    again = "the same long line comes again and again"
+    text = "\n".join(again if n % 2 else f"line number {n} is by itself" for n in range(100_000))
+    df = spark.createDataFrame([(1, text), (2, again), (3, None)], "doc_id long, text string")
+    line_dedup.dedup(spark, df.where("doc_id > 1")).collect()  # compiled before the clock starts
+    begun = time.monotonic()
+    found = {r.doc_id: r for r in line_dedup.dedup(spark, df).collect()}
+    assert time.monotonic() - begun < 60
+    assert (found[1].n_lines, found[1].n_deleted, found[2].n_deleted, found[2].text) == (100_000, 49_999, 1, "")
+    assert found[1].text.split("\n") == [line for n, line in enumerate(text.split("\n")) if n < 2 or n % 2 == 0]
+
+
 def test_pipeline_keeps_clean_documents_and_drops_the_rest(spark, tmp_path):
     r = random.Random(9)
     line = lambda n: " ".join(f"v{r.randint(0, 4000)}" for _ in range(n))
