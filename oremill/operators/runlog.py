@@ -40,6 +40,17 @@ def watermark_per_task(log: DataFrame) -> DataFrame:
     return log.groupBy(*TASK).agg(F.coalesce(done, F.lit(FIRST_WATERMARK).cast("timestamp")).alias("watermark"))
 
 
+def deciding_rows(log: DataFrame) -> DataFrame:
+    """Of each task the rows that its watermark and its last file follow from, and its newest row: three at most.
+
+    Picking again among picked and newer rows gives the same, so a log can be replaced by them up to any row.
+    """
+    row, done = F.struct(*log.columns), F.col("status") == COMPLETED
+    newest = F.struct("execution_start_ts", "task_run_id", "last_processed_file")
+    picked = [F.max_by(row, F.when(done, F.col("filter_end_ts"))), F.max_by(row, F.when(done, newest)), F.max_by(row, newest)]
+    return log.groupBy(*TASK).agg(F.array_distinct(F.array_compact(F.array(*picked))).alias("_rows")).select(F.inline("_rows"))
+
+
 def last_file_per_task(log: DataFrame, default_prefix: Column | None = None) -> DataFrame:
     """The file each task processed last, by its newest completed run.
 

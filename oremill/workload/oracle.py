@@ -347,6 +347,26 @@ _BODIES = {
         SELECT job_name, task_name, strftime(coalesce(max(filter_end_ts) FILTER (WHERE status = 'COMPLETED'),
                                                       TIMESTAMP '1900-01-01 00:00:00'), {ISO}) AS watermark
         FROM task_log GROUP BY job_name, task_name""",
+    "watermark_of_compacted_log": f"""
+        SELECT w.job_name, w.task_name, w.watermark, l.last_processed_file FROM (
+          SELECT job_name, task_name, strftime(coalesce(max(filter_end_ts) FILTER (WHERE status = 'COMPLETED'),
+                                                        TIMESTAMP '1900-01-01 00:00:00'), {ISO}) AS watermark
+          FROM task_log GROUP BY job_name, task_name) w
+        JOIN (SELECT t.job_name, t.task_name,
+                     coalesce(f.last_processed_file, t.job_name || '_19000101000000.csv') AS last_processed_file
+              FROM (SELECT DISTINCT job_name, task_name FROM task_log) t LEFT JOIN (
+                SELECT job_name, task_name, last_processed_file FROM task_log WHERE status = 'COMPLETED'
+                QUALIFY row_number() OVER (PARTITION BY job_name, task_name
+                                           ORDER BY execution_start_ts DESC, task_run_id DESC) = 1) f
+                ON t.job_name = f.job_name AND t.task_name = f.task_name) l
+          ON w.job_name = l.job_name AND w.task_name = l.task_name""",
+    "stream_without_repeats": """
+        SELECT event_type, CASE WHEN late THEN 'late' ELSE 'accepted' END AS state,
+               CAST(sum(copies) AS BIGINT) AS n_rows, CAST(sum(copies * event_id) AS BIGINT) AS ids
+        FROM (SELECT event_id, event_type, late, CASE WHEN late AND event_id % 7 = 0 THEN 2 ELSE 1 END AS copies
+              FROM (SELECT event_id, event_type, event_id % 10 = 3 AND (epoch_us(ts) - first) * 3 // greatest(1, last - first) = 0 AS late
+                    FROM events, (SELECT epoch_us(min(ts)) AS first, epoch_us(max(ts)) AS last FROM events)))
+        GROUP BY ALL""",
     "last_file_per_task": """
         SELECT t.job_name, t.task_name,
                coalesce(f.last_processed_file, t.job_name || '_19000101000000.csv') AS last_processed_file

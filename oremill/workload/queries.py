@@ -23,9 +23,11 @@ from oremill.plans.ingest import RunIds, announce, run_ingest
 from oremill.plans.table_load import run_table_load, upsert_table
 from oremill.session import scratch_dir
 from oremill.sinks import clustering, loads
+from oremill.sinks.compacted import CompactedLog
 from oremill.sinks.keyed import KeyedTable
 from oremill.sinks.versions import VersionedTable
 from oremill.sources import delimited, manifest, rejects
+from oremill.streaming import dedup as stream_dedup
 from oremill.streaming.incremental import ingest_new_files
 from oremill.workload import derive
 
@@ -355,6 +357,36 @@ def watermark_per_task(spark, sf_dir):
     return runlog.watermark_per_task(derive.task_control(spark, sf_dir))
 
 
+@query
+def watermark_of_compacted_log(spark, sf_dir):
+    """The log arrives in eleven parts, with a snapshot after every third; watermarks and last files of what readers see."""
+    rows = loads.materialize(derive.task_control(spark, sf_dir), "task-log")
+    log = CompactedLog(spark, scratch_dir(spark, "compacted-log"), rows.schema, runlog.deciding_rows, every=3)
+    for part in range(11):
+        log.append(rows.filter(F.pmod(F.xxhash64("task_run_id"), F.lit(11)) == part))
+    seen = log.read()
+    return runlog.watermark_per_task(seen).join(runlog.last_file_per_task(seen, F.col("job_name")), runlog.TASK)
+
+
+@query
+def stream_without_repeats(spark, sf_dir):
+    """Events in three waves by time; every seventh comes twice, and every tenth of the first wave with the last one."""
+    path = scratch_dir(spark, "stream-dedup")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros"))
+    span = events.agg(F.min("micros").alias("first"), F.max("micros").alias("last")).first()
+    wave = F.least(F.lit(2), F.expr(f"(micros - {span['first']}) * 3 DIV greatest(1, {span['last'] - span['first']})"))
+    held = F.when((wave == 0) & (F.col("event_id") % 10 == 3), 2).otherwise(wave)
+    copies = F.explode(F.sequence(F.lit(0), F.when(F.col("event_id") % 7 == 0, 1).otherwise(0))).alias("copy")
+    rows = loads.materialize(events.select("event_id", "event_type", "micros", held.cast("bigint").alias("wave"), copies).drop("copy"), "event-waves")
+    schema = schemas.declared("event_id BIGINT, event_type STRING, micros BIGINT, ingest_batch BIGINT")
+    for number in range(3):
+        loads.replace_partitions(rows.filter(F.col("wave") == number).withColumnRenamed("wave", "ingest_batch"), f"{path}/landed", ["ingest_batch"])
+        stream_dedup.accept_new_rows(spark, f"{path}/landed", schema, f"{path}/out", ["event_id"], F.timestamp_micros("micros"), "1 HOUR")
+    accepted = stream_dedup.accepted_rows(spark, f"{path}/out", schema).withColumn("state", F.lit("accepted"))
+    late = stream_dedup.late_rows(spark, f"{path}/out", schema).withColumn("state", F.lit("late"))
+    return accepted.unionByName(late).groupBy("event_type", "state").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("ids"))
+
+
 @query
 def last_file_per_task(spark, sf_dir):
     return runlog.last_file_per_task(derive.task_control(spark, sf_dir), F.col("job_name"))
