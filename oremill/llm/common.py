@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -50,6 +51,30 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK_BYT
             yield batch.slice(start)
 
 
+#: Of the GNU C library; others give memory back by themselves, or not at all.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
+    """Give freed memory back to the system.  Python workers outlive their tasks, and the allocators keep what a task has freed:
+    without this a worker holds the most that it has ever needed, for as long as the session lasts."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` after which its worker holds no more memory than it still uses."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return each
+
+
 def wide_hash(*columns: Column) -> list[Column]:
     """Two 64-bit hashes of the columns with unlike seeds: 128 bits, so that no two of 10^12 rows should meet."""
     return [F.xxhash64(F.lit(seed), *columns) for seed in ("first", "second")]

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from oremill.llm.common import blocks, mix64
+from oremill.llm.common import blocks, mix64, release, released
 from oremill.llm.lang_id import fold
 from oremill.session import scratch_dir
 
@@ -188,20 +188,24 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 def _asked(documents: DataFrame, level: int, order: int, shards: int, block_bytes: int) -> DataFrame:
     """What blocks ask the shards of an order for: lists of n-grams, with how often training documents have them."""
 
+    def ask(block: int, parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, ids, place, sizes = read(_values(parts, "text"), order)
+        grams = levels(vocabulary, ids, place, level)[-1]
+        learned = np.repeat(np.array(_values(parts, "learned"), bool), sizes + order - 1) & (place >= order - 1)
+        counts = np.bincount(grams.of[learned], minlength=len(grams.hashes)).astype(np.int64)
+        shard = shard_of(grams.hashes, shards)
+        by_shard = np.argsort(shard, kind="stable")
+        for at in np.split(by_shard, np.flatnonzero(np.diff(shard[by_shard])) + 1):
+            if len(at):
+                data = _words_packed(grams.words(at), counts[at])
+                yield _batch([{"kind": ASK, "level": level, "shard": int(shard[at[0]]), "block": block, "data": data}])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, parts in _in_blocks(batches, block_bytes):
-            vocabulary, ids, place, sizes = read(_values(parts, "text"), order)
-            grams = levels(vocabulary, ids, place, level)[-1]
-            learned = np.repeat(np.array(_values(parts, "learned"), bool), sizes + order - 1) & (place >= order - 1)
-            counts = np.bincount(grams.of[learned], minlength=len(grams.hashes)).astype(np.int64)
-            shard = shard_of(grams.hashes, shards)
-            by_shard = np.argsort(shard, kind="stable")
-            for at in np.split(by_shard, np.flatnonzero(np.diff(shard[by_shard])) + 1):
-                if len(at):
-                    data = _words_packed(grams.words(at), counts[at])
-                    yield _batch([{"kind": ASK, "level": level, "shard": int(shard[at[0]]), "block": block, "data": data}])
+            yield from ask(block, parts)
+            release()
 
-    return documents.mapInArrow(run, _SCHEMA)
+    return documents.mapInArrow(released(run), _SCHEMA)
 
 
 def _words_packed(words: np.ndarray, *values: np.ndarray) -> bytes:
@@ -244,11 +248,16 @@ class Mapped:
         return np.where((self.hashes[at] == hashes)[:, None], self.values[at], 0)
 
 
+def _starts(ascending: np.ndarray) -> np.ndarray:
+    """Where each of the different values begins."""
+    return np.flatnonzero(np.diff(ascending, prepend=~ascending[:1]) != 0) if len(ascending) else np.empty(0, np.int64)
+
+
 def _added(hashes: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The different hashes in order, the sums of their values, and where each hash stands first."""
     order = np.argsort(hashes, kind="stable")
     sorted_hashes = hashes[order]
-    starts = np.flatnonzero(np.diff(sorted_hashes, prepend=~sorted_hashes[:1]) != 0) if len(order) else np.empty(0, np.int64)
+    starts = _starts(sorted_hashes)
     sums = np.add.reduceat(values[order], starts, axis=0) if len(order) else values
     return sorted_hashes[starts], sums, order[starts]
 
@@ -260,14 +269,22 @@ def _columns(level: int, order: int) -> int:
 
 def _facts(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What n-grams tell about those one shorter: one more word before their ends, and what follows their beginnings."""
-    values = np.zeros((2 * len(words), OFTEN + 1), np.int64)
-    values[: len(words), COUNT] = 1
-    values[len(words) :, FOLLOWED] = counts
-    for column, some in ((ONCE, counts == 1), (TWICE, counts == 2), (OFTEN, counts > 2)):
-        values[len(words) :, column] = some
-    shorter = np.concatenate([words[:, 1:], words[:, :-1]])
-    _, sums, first = _added(words_hash(shorter), values)
-    return shorter[first], sums
+    hashes, values, shorter = [], [], []
+    told = {FOLLOWED: counts, ONCE: counts == 1, TWICE: counts == 2, OFTEN: counts > 2}
+    # Ends and beginnings apart and a column at a time: there are far fewer of either than of n-grams.
+    for part, columns in ((words[:, 1:], {COUNT: np.ones(len(words), bool)}), (words[:, :-1], told)):
+        every = words_hash(part)
+        order = np.argsort(every, kind="stable")
+        starts = _starts(every[order])
+        sums = np.zeros((len(starts), OFTEN + 1), np.int64)
+        for column, value in columns.items():
+            sums[:, column] = np.add.reduceat(value[order], starts, dtype=np.int64) if len(order) else 0
+        first = order[starts]
+        hashes.append(every[first])
+        values.append(sums)
+        shorter.append(part[first])
+    _, sums, first = _added(np.concatenate(hashes), np.concatenate(values))
+    return np.concatenate(shorter)[first], sums
 
 
 def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool) -> DataFrame:
@@ -302,7 +319,10 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
                 values.append(counted)
                 words.append(grams)
         every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
+        hashes.clear()
         known, sums, first = _added(every, np.concatenate(values) if values else np.zeros((0, columns), np.int64))
+        values.clear()
+        del every
         some = sums.any(axis=1)
         known, sums, first = known[some], sums[some], first[some]
         if learning and len(known):
@@ -312,8 +332,11 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
             totals = [int(n) for n in (*((counts == c).sum() for c in (1, 2, 3, 4)), (counts > 2).sum(), counts.sum(), seen.sum(), (seen > 0).sum())]
             yield {"kind": TOTAL, "shard": number, "totals": totals}
             if level > 1:
-                grams = np.concatenate(words)[first]
-                shorter, told = _facts(grams[counts > 0], counts[counts > 0])
+                grams = np.concatenate(words)
+                words.clear()
+                grams = grams[first[counts > 0]]
+                shorter, told = _facts(grams, counts[counts > 0])
+                del grams
                 order_by = np.lexsort(shorter.T[::-1])
                 shorter, told = shorter[order_by], told[order_by]
                 to = shard_of(words_hash(shorter), shards)
@@ -329,10 +352,11 @@ def _shards(rows: DataFrame, level: int, order: int, shards: int, learning: bool
         for number, parts in groupby(stream, key=itemgetter("shard")):
             for row in shard(number, parts):
                 yield _batch([{"level": level, **row}])
+            release()
 
     # A task for each shard: shards are of about one size.
     dealt = rows.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "kind", "block")
-    return dealt.mapInArrow(run, _SCHEMA)
+    return dealt.mapInArrow(released(run), _SCHEMA)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -399,7 +423,7 @@ def _read_blocks(documents: DataFrame, order: int, block_bytes: int) -> DataFram
             flags = np.array([2 * (r is None) + bool(h) for r, h in rows], np.uint8)
             yield _batch([{"kind": BLOCK, "block": block, "data": pack(_gaps(vocabulary), ids.astype(np.uint32), sizes, doc_id, flags)}])
 
-    return documents.mapInArrow(run, _SCHEMA)
+    return documents.mapInArrow(released(run), _SCHEMA)
 
 
 _SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -440,9 +464,10 @@ def _scores(rows: DataFrame, parts: int, order: int, shards: int, totals: tuple[
         stream = (row for batch in batches for at in range(batch.num_rows) for row in batch.slice(at, 1).to_pylist())
         for _, each in groupby(stream, key=itemgetter("block")):
             yield block(each)
+            release()
 
     dealt = rows.repartition(parts, "block").sortWithinPartitions("block", "kind", "level", "shard")
-    return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return dealt.mapInArrow(released(run), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _prepared(documents: DataFrame, learned: Column, held_out: Column) -> DataFrame:

@@ -6,15 +6,19 @@ import hashlib
 import math
 import random
 import re
+import subprocess
+import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from oremill.llm import fill_middle, hard_negatives, kneser_ney
-from oremill.llm.common import prepare
+from oremill.llm.common import mix64, prepare
 
 UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
 ODD_TEXTS = [
@@ -261,3 +265,41 @@ def test_scores_are_held_in_64_bits():
     found = hard_negatives.scores(block([[1e300, 2.0], [3.0, 4.0]]), block([[1e300, 0.0], [-1e300, 1.0], [2.0**53, 1.0], [5.0, 6.0]]))
     top = (1 << 63) - 1
     assert found.tolist() == [[top, -top - 1, top, top], [top, -top - 1, 3 * 2**53 + 4, 39]]
+
+
+def test_facts_of_many_n_grams_take_little_memory():
+    """A few words in very many pairs: what is told about the words must not take many times the room of the pairs."""
+    r = np.random.default_rng(5)
+    words, counts = mix64(r.integers(0, 5_000, (400_000, 2)).astype(np.uint64)), r.integers(1, 5, 400_000)
+    tracemalloc.start()
+    try:
+        shorter, told = kneser_ney._facts(words, counts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 5 * words.nbytes
+    expected = defaultdict(lambda: [0] * 5)
+    for (a, b), n in zip(words.tolist(), counts.tolist(), strict=True):
+        expected[b][0] += 1
+        expected[a][1] += n
+        expected[a][1 + min(n, 3)] += 1
+    assert {w: t for [w], t in zip(shorter.tolist(), told.tolist(), strict=True)} == expected
+
+
+def test_workers_give_freed_memory_back():
+    """Small objects fill the allocator's heap, and one that stays on top keeps it from shrinking by itself."""
+    code = """
+import re
+import pyarrow as pa
+from oremill.llm.common import released
+held = lambda: sum(int(n) for n in re.findall(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())) // 1024
+def run(batches):
+    some = [bytearray(1000) for _ in range(100_000)]
+    kept.append(bytearray(1000))
+    yield from batches
+    del some
+kept, before = [], held()
+assert len(list(released(run)(iter([pa.RecordBatch.from_pydict({"x": [1]})])))) == 1
+assert held() - before < 30, held() - before
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2])
