@@ -30,10 +30,23 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(setting, str(BATCH_ROWS))
 
 
+#: Lets Spark delete the shuffle files of an execution as soon as it has ended.
+_CLEANED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder of ``spark.checkpoint.dir`` and read it back: lost executors cost no rerun."""
-    path = scratch_dir(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
+    """Write a frame to the shared folder of ``spark.checkpoint.dir`` and read it back: lost executors cost no rerun.
+
+    The shuffles that led to it are needed no more, and their files go at once: else they would stay on the executors' disks
+    until the driver happens to collect its garbage.
+    """
+    path, conf = scratch_dir(df.sparkSession, f"llm-{label}"), df.sparkSession.conf
+    before = conf.get(_CLEANED, "false")
+    conf.set(_CLEANED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEANED, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

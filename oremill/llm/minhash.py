@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oremill.llm.common import blocks, stored
+from oremill.llm.common import blocks, released, stored
 from oremill.llm.components import components
 
 SHINGLE_WORDS, LEAST = 5, 0.8
@@ -193,7 +193,7 @@ def sketches(documents: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([kept.column("doc_id"), kept.column("at"), pa.array(prints, pa.binary()), lists], ["doc_id", "at", "print", "bands"])
 
     rows = documents.select("doc_id", F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("at"))
-    return rows.mapInArrow(run, "doc_id long, at long, print binary, bands array<long>")
+    return rows.mapInArrow(released(run), "doc_id long, at long, print binary, bands array<long>")
 
 
 def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
@@ -215,7 +215,7 @@ def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     small = wanted.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["at"] == wanted["at"]))
     once = joined.select("node", "text").dropDuplicates(["node"])  # rows that repeat an id and a text
-    return stored(once.mapInArrow(run, "node long, vector binary, total long, more long, repeated long, odd array<long>, spread array<float>"), "vectors")
+    return stored(once.mapInArrow(released(run), "node long, vector binary, total long, more long, repeated long, odd array<long>, spread array<float>"), "vectors")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -228,7 +228,7 @@ def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
 
     left = vectors.select(F.col("node").alias("a"), F.col("vector").alias("va"))
     right = vectors.select(F.col("node").alias("b"), F.col("vector").alias("vb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(released(run), "a long, b long")
 
 
 def _unsettled(unled: DataFrame, roots: DataFrame) -> DataFrame:
@@ -239,24 +239,26 @@ def _unsettled(unled: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _likely(least: float) -> Column:
-    """Whether documents (``x`` and ``y``) may be similar enough, by two bounds: no pair that is gets lost.
+    """Whether documents (``x`` and ``y``) may be similar enough, by their odd sketches: no pair that is gets lost.
 
-    The first is from odd sketches.  Let T be all shingles of both, w those of shingles that only one of them has,
-    and d the differences of the counts of common shingles.  A common shingle of counts a and b adds at most max(a, b) to
-    the similarity, over the sum of all larger counts, so that is at most (T + d - w) / (T + d + w).  There are at least as
-    many shingles that only one has as there are unlike bits; d is 0 if both repeat the same shingles as often, and else at
-    most what they repeat.
-
-    The second is from spreads.  The similarity is at most the sum over all shingles of the smaller of their shares in the two
-    documents, so that it is at most one less half of the difference of all shares.  Adding up shares within a bucket before
-    taking differences can only make these smaller.
+    Let T be all shingles of both, w those of shingles that only one of them has, and d the differences of the counts of common
+    shingles.  A common shingle of counts a and b adds at most max(a, b) to the similarity, over the sum of all larger counts, so
+    that is at most (T + d - w) / (T + d + w).  There are at least as many shingles that only one has as there are unlike bits;
+    d is 0 if both repeat the same shingles as often, and else at most what they repeat.
     """
 
     only = sum((F.bit_count(F.col(f"x.o{i}").bitwiseXOR(F.col(f"y.o{i}"))) for i in range(ODD_WORDS)), F.lit(0))
     differ = F.when(F.col("x.repeated") == F.col("y.repeated"), 0).otherwise(F.col("x.more") + F.col("y.more"))
     all_of = F.col("x.total") + F.col("y.total") + differ
+    return all_of - only >= (least - 1e-9) * (all_of + only)
+
+
+def _close(least: float) -> Column:
+    """The same by their spreads: the similarity is at most the sum over all shingles of the smaller of their shares in the two
+    documents, so that it is at most one less half of the difference of all shares.  Adding up shares within a bucket before
+    taking differences can only make these smaller."""
     apart = F.aggregate(F.zip_with("x.spread", "y.spread", lambda a, b: F.abs(a - b).cast("double")), F.lit(0.0), lambda total, d: total + d)
-    return (all_of - only >= (least - 1e-9) * (all_of + only)) & (apart <= 2 * (1 - least) + SLACK)
+    return apart <= 2 * (1 - least) + SLACK
 
 
 def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
@@ -307,7 +309,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
         led = chosen.join(sketch, "node").select("key", "lead_root", F.col("y").alias("x"))
         sketched = left.join(sketch, "node").select("key", "root", "y")
         once = F.array_min(F.array_intersect("x.bands", "y.bands")) == sketched["key"]
-        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & once)
+        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & _close(least) & once)
         pairs = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from oremill.llm import components, decontam, embed_dedup, line_dedup, minhash
+from oremill.llm.common import stored
 from oremill.llm.oracle import ORACLE
 from oremill.llm.queries import QUERIES
 from tests.compare import connect, duckdb_rows, spark_rows
@@ -189,6 +191,36 @@ def test_filter_of_large_buckets_rules_out_no_similar_pair(spark):
     assert len(near) == len(pairs) and near - likely == set()
 
 
+def test_spreads_rule_out_no_similar_pair(spark):
+    """A line that is repeated more and less often, with one word changed, and texts with other words at their ends."""
+    r = random.Random(23)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    pairs = []
+    for n in range(300):
+        line = [word() for _ in range((12, 21, 60)[n % 3])]
+        pairs.append([" ".join([*line, word()]) for _ in "xy"] if n % 2 else [" ".join(line * 3), " ".join([*line[:5], word(), *line[6:]] * r.randint(2, 5))])
+    rows = [(2 * n + side, text) for n, pair in enumerate(pairs) for side, text in enumerate(pair)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    vectors = minhash._vectors(docs, docs.select(F.col("doc_id").alias("node"), "doc_id", F.xxhash64("text").alias("at")), "text")
+    each = vectors.select(F.expr("node div 2").alias("n"), F.expr("node % 2").alias("side"), F.struct("spread").alias("y"))
+    both = each.where("side = 0").withColumnRenamed("y", "x").join(each.where("side = 1").select("n", "y"), "n")
+    close = {x.n for x in both.where(minhash._close(0.8)).select("n").collect()}
+    near = {n for n, (a, b) in enumerate(pairs) if minhash.similarity(*(minhash.shingles(minhash.words_of(t)) for t in (a, b))) >= 0.8}
+    assert near and len(close) < len(pairs) and near - close == set()
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    places = lambda: {p for top in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in Path(top).rglob("shuffle_*")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held, setting_before = places(), spark.conf.get(setting)
+    counts = stored(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count(), "counts")
+    until = time.time() + 20
+    while places() - held and time.time() < until:
+        time.sleep(0.2)
+    assert not places() - held and spark.conf.get(setting) == setting_before
+    assert counts.count() == 10
+
+
 def test_buckets_of_several_components_lose_no_pair(spark):
     """Texts of 13 words, whose pairs are just at the bound, and texts of one repeated line."""
     r = random.Random(21)
