@@ -173,6 +173,29 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Stored bytes of a bucket: what one task writes, and later reads, at once.  Rows take several times as much in a shuffle.
+BUCKET_BYTES = 4 * 1024 * 1024
+
+
+def bucket_count(tables: list[DataFrame], key: str, least: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """How many buckets stored tables that are bucketed alike by ``key`` should have: as many as keep one at about
+    ``bucket_bytes``, however large the tables.
+
+    No more than let an average bucket hold the largest key, which one bucket has to take anyway, nor than Spark allows, and at
+    least ``least``.
+    """
+    wanted, fits = least, [int(tables[0].sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))]
+    for df in tables:
+        files = df.groupBy("_metadata.file_path").agg(F.first("_metadata.file_size").alias("bytes"))
+        wanted = max(wanted, -(-(files.agg(F.sum("bytes").alias("bytes")).first()["bytes"] or 0) // bucket_bytes))
+    if wanted > least:
+        for df in tables:
+            per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+            size = per_key.agg(F.max("rows").alias("largest"), F.sum("rows").alias("total")).first()
+            fits.append((size["total"] or 0) // max(1, size["largest"] or 0))
+    return max(least, min([wanted, *fits]))
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Write a catalog table bucketed and sorted by ``key``.
 

@@ -902,6 +902,8 @@ def gold_daily_sales_bucketed(spark, sf_dir):
     prefix = _catalog_prefix()
     database = f"{prefix}silver"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_dir(spark, 'catalog')}'")
-    for table in ("orders", "order_items"):
-        loads.write_bucketed(loads.materialize(_silver(spark, sf_dir, table), table), f"{database}.{table}", "order_id", 8)
+    tables = {table: loads.materialize(_silver(spark, sf_dir, table), table) for table in ("orders", "order_items")}
+    buckets = loads.bucket_count(list(tables.values()), "order_id", 8)
+    for table, rows in tables.items():
+        loads.write_bucketed(rows, f"{database}.{table}", "order_id", buckets)
     return gold.daily_sales(spark.table(f"{database}.orders"), spark.table(f"{database}.order_items"))

@@ -176,6 +176,20 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
         loads.write_bucketed(hot, "bucketed.hot", "k", 4)
 
 
+def test_buckets_grow_with_stored_tables(spark, tmp_path):
+    sizes = {}
+    for rows in (1000, 100_000):
+        spark.range(rows).select("id", F.uuid().alias("text")).repartition(3).write.parquet(f"{tmp_path}/{rows}")
+        sizes[rows] = spark.read.parquet(f"{tmp_path}/{rows}")
+    small, large = (loads.bucket_count([sizes[1000], df], "id", 2, 200_000) for df in sizes.values())
+    stored = sum(p.stat().st_size for p in (tmp_path / "100000").glob("*.parquet"))
+    assert (small, large) == (2, -(-stored // 200_000)) and large > 10
+    hot = sizes[100_000].select(F.when(F.col("id") % 5 == 0, -1).otherwise(F.col("id")).alias("id"), "text")
+    hot.write.parquet(f"{tmp_path}/hot")
+    assert loads.bucket_count([spark.read.parquet(f"{tmp_path}/hot")], "id", 2, 200_000) == 5
+    assert loads.bucket_count([sizes[1000].limit(0)], "id", 2) == 2
+
+
 def test_replace_partitions_leaves_the_others(spark, tmp_path):
     target = f"{tmp_path}/t"
     loads.replace_partitions(spark.range(10).select("id", (F.col("id") % 2).alias("p")), target, ["p"])
