@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oremill.llm.common import blocks
+from oremill.llm.common import blocks, released
 from oremill.llm.pretokens import split
 
 #: Token pairs remembered by each Python worker: a full memory is emptied.  Pre-tokens are remembered in two halves of so many
@@ -257,7 +257,7 @@ def encode(df: DataFrame, vocab_path: str, text: str = "text", tokens: str = "to
             values = pa.array(np.concatenate(lists) if lists else _NOTHING, pa.int32())
             yield pa.RecordBatch.from_arrays([*block.columns, pa.ListArray.from_arrays(ends, values)], [*keep, tokens])
 
-    return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{tokens}` array<int>"))
+    return df.select(*keep).mapInArrow(released(run), _and(df.select(*keep), f"`{tokens}` array<int>"))
 
 
 def decode(df: DataFrame, vocab_path: str, tokens: str = "tokens", data: str = "data") -> DataFrame:
@@ -275,7 +275,7 @@ def decode(df: DataFrame, vocab_path: str, tokens: str = "tokens", data: str = "
                 found = [b"".join(map(known, ids.values.to_numpy().tolist())) if ids.is_valid else b"" for ids in part.column(tokens)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*keep, data])
 
-    return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{data}` binary"))
+    return df.select(*keep).mapInArrow(released(run), _and(df.select(*keep), f"`{data}` binary"))
 
 
 def round_trip(df: DataFrame, vocab_path: str, text: str = "text", tokens: str = "tokens", data: str = "data") -> DataFrame:
@@ -292,7 +292,7 @@ def round_trip(df: DataFrame, vocab_path: str, text: str = "text", tokens: str =
             columns = [pa.ListArray.from_arrays(ends, pa.array(values)), pa.array([vocab.decode(ids) for ids in lists], pa.binary())]
             yield pa.RecordBatch.from_arrays([*block.columns, *columns], [*keep, tokens, data])
 
-    return df.select(*keep).mapInArrow(run, _and(df.select(*keep), f"`{tokens}` array<int>, `{data}` binary"))
+    return df.select(*keep).mapInArrow(released(run), _and(df.select(*keep), f"`{tokens}` array<int>, `{data}` binary"))
 
 
 _NOTHING = np.empty(0, np.int32)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oremill.llm.common import blocks, stored
+from oremill.llm.common import blocks, released, stored
 
 K1, B = 1.2, 0.75
 #: Items are retrieved from this share of their own score on.
@@ -232,7 +232,7 @@ def shards(benchmark: DataFrame) -> Iterator[tuple]:
             yield pa.RecordBatch.from_pylist(rows, pa.schema([("item_id", pa.int64()), ("question", words), ("answer", words), ("terms", words)]))
 
     plain = benchmark.select(F.col("item_id").cast("long"), "text", answer.alias("answer"))
-    items = stored(plain.mapInArrow(run, "item_id long, question array<string>, answer array<string>, terms array<string>"), "items")
+    items = stored(plain.mapInArrow(released(run), "item_id long, question array<string>, answer array<string>, terms array<string>"), "items")
     size = F.size("question") + F.size("answer")
     total = items.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("words"), F.avg(size - 1).alias("mean")).first()
     count = -(-(total["words"] or 0) // SHARD_WORDS)
@@ -279,7 +279,7 @@ def leaks(spark: SparkSession, df: DataFrame, benchmark: DataFrame, text: str =
                     lists.append((before or []) + now)
                 yield pa.RecordBatch.from_arrays([*(block.column(c) for c in rest), pa.array(lists, arrow)], [*rest, "leaks"])
 
-        found = found.mapInArrow(run, fields)
+        found = found.mapInArrow(released(run), fields)
     return found.withColumn("leaks", F.coalesce("leaks", F.array().cast(LEAK)))
 
 

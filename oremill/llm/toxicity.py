@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oremill.llm.common import blocks, stored, words
+from oremill.llm.common import blocks, released, stored, words
 from oremill.llm.lang_id import fold
 
 #: A classifier is fitted on about so many labelled rows, picked by a hash of their id.
@@ -251,7 +251,7 @@ def _learn(rows: DataFrame) -> Model:
 
     # Words near a term that clean texts use as often as toxic ones are no misspellings.
     usual = counts.where((F.col("c") >= 1) & (F.col("c") * 3 * n_toxic >= F.col("t") * n_clean)).select("word")
-    ordinary = frozenset(r["word"] for r in usual.mapInArrow(near, "word string").collect())
+    ordinary = frozenset(r["word"] for r in usual.mapInArrow(released(near), "word string").collect())
     found = Model(terms, ordinary)
     context = _context(rows, found)
     found = Model(terms, ordinary, context)
@@ -277,7 +277,7 @@ def _context(rows: DataFrame, model: Model) -> tuple[tuple[str, float], ...]:
             near = [sorted({w for hit in scorer.hits(t) for w in hit[4]}) for t in block.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([block.column("toxic"), pa.array(near, pa.list_(pa.string()))], ["toxic", "near"])
 
-    found = rows.select("toxic", "text").mapInArrow(around, "toxic boolean, near array<string>").where(F.size("near") > 0)
+    found = rows.select("toxic", "text").mapInArrow(released(around), "toxic boolean, near array<string>").where(F.size("near") > 0)
     n = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(n) < 2:
         return ()
@@ -329,7 +329,7 @@ def scored(df: DataFrame, model: Model, what: str = "score", text: str = "text")
             found = pa.array([function(scorer, t) for t in block.column(text).to_pylist()], arrow)
             yield pa.RecordBatch.from_arrays([*block.columns, found], [*block.schema.names, what])
 
-    return rest.mapInArrow(run, fields)
+    return rest.mapInArrow(released(run), fields)
 
 
 def predictions(spark: SparkSession, documents: DataFrame, labels: DataFrame) -> DataFrame:
