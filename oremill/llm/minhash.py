@@ -27,8 +27,8 @@ SHINGLE_WORDS, LEAST = 5, 0.8
 BANDS, BAND_ROWS = 32, 5
 #: Odd sketches have so many words of 64 bits, and the weight of a document's shingles is spread over so many buckets.
 ODD_WORDS, SPREAD = 16, 128
-#: Rounding of spread weights that may not cost a link.
-SLACK = 1e-4
+#: Shares of a spread are whole numbers of parts of this size.
+PARTS = 32_767
 #: Documents whose registers are filled at once.
 AT_ONCE = 400
 #: Components are worked out anew when the links found since are more than this part of those before.
@@ -147,10 +147,10 @@ def odd_sketch(shingle: np.ndarray) -> np.ndarray:
 
 
 def spread(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The share of a document's shingles that falls into each bucket of a hash."""
+    """The share of a document's shingles that falls into each bucket of a hash, rounded to whole parts."""
     with np.errstate(over="ignore"):
         place = (_mix(~shingle) % np.uint64(SPREAD)).astype(np.int64)
-    return (np.bincount(place, weights=count, minlength=SPREAD) / max(1, count.sum())).astype(np.float32)
+    return np.rint(np.bincount(place, weights=count, minlength=SPREAD) / max(1, count.sum()) * PARTS).astype(np.int16)
 
 
 def _repeated(shingle: np.ndarray, count: np.ndarray) -> int:
@@ -207,7 +207,7 @@ def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
             totals, more = (pa.array(n, pa.int64()) for n in ([int(c.sum()) for _, c in found], [int(c.sum()) - len(c) for _, c in found]))
             repeated = pa.array([_repeated(*f) for f in found], pa.int64())
             odd = pa.array([odd_sketch(s) for s, _ in found], pa.list_(pa.int64()))
-            spreads = pa.array([spread(*f) for f in found], pa.list_(pa.float32()))
+            spreads = pa.array([spread(*f) for f in found], pa.list_(pa.int16()))
             columns = [block.column("node"), packed, totals, more, repeated, odd, spreads]
             yield pa.RecordBatch.from_arrays(columns, ["node", "vector", "total", "more", "repeated", "odd", "spread"])
 
@@ -215,7 +215,7 @@ def _vectors(documents: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     small = wanted.count() <= BROADCAST_ROWS
     joined = rows.join(F.broadcast(wanted) if small else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["at"] == wanted["at"]))
     once = joined.select("node", "text").dropDuplicates(["node"])  # rows that repeat an id and a text
-    return stored(once.mapInArrow(released(run), "node long, vector binary, total long, more long, repeated long, odd array<long>, spread array<float>"), "vectors")
+    return stored(once.mapInArrow(released(run), "node long, vector binary, total long, more long, repeated long, odd array<long>, spread array<short>"), "vectors")
 
 
 def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
@@ -256,9 +256,21 @@ def _likely(least: float) -> Column:
 def _close(least: float) -> Column:
     """The same by their spreads: the similarity is at most the sum over all shingles of the smaller of their shares in the two
     documents, so that it is at most one less half of the difference of all shares.  Adding up shares within a bucket before
-    taking differences can only make these smaller."""
-    apart = F.aggregate(F.zip_with("x.spread", "y.spread", lambda a, b: F.abs(a - b).cast("double")), F.lit(0.0), lambda total, d: total + d)
-    return apart <= 2 * (1 - least) + SLACK
+    taking differences can only make these smaller, and rounding them changes each by a part at most."""
+    apart = F.aggregate(F.zip_with("x.spread", "y.spread", lambda a, b: F.abs(a - b).cast("int")), F.lit(0), lambda total, d: total + d)
+    return apart <= (2 * (1 - least) + 1e-9) * PARTS + SPREAD
+
+
+def _possible(members: DataFrame, leaders: DataFrame, least: float) -> DataFrame:
+    """The pairs ``a``, ``b`` of a member and a leader of a bucket, of unlike components, that the bounds do not rule out.
+
+    Where both sides of a bucket are large, Spark would split both and have a task for each pair of splits.  Of an outer join it
+    splits the members only, so that the tasks grow with the members; members without a pair go at once.
+    """
+    once = F.array_min(F.array_intersect("x.bands", "y.bands")) == members["key"]
+    both = members.join(leaders, (members["key"] == leaders["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & _close(least) & once, "left")
+    pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return pairs.where(F.col("a") != F.col("b"))  # the least and the greatest of one node and none are that node
 
 
 def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, text: str = "text") -> DataFrame:
@@ -296,6 +308,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
     edges = stored(_verified(tested, vectors, least), "links")
     words = [F.col("odd")[i].alias(f"o{i}") for i in range(ODD_WORDS)]
     sketch = vectors.join(nodes.select("node", "bands"), "node").select("node", F.struct("node", "total", "more", "repeated", "bands", "spread", *words).alias("y"))
+    sketch = stored(sketch, "bounds")
     unled = led.select("key", "node", "weight")
     leaders, roots, placed, waiting = 1, components(edges, "documents"), edges.count(), 0
     while True:
@@ -307,10 +320,7 @@ def classes(spark: SparkSession, documents: DataFrame, least: float = LEAST, tex
         if chosen.isEmpty():
             break
         led = chosen.join(sketch, "node").select("key", "lead_root", F.col("y").alias("x"))
-        sketched = left.join(sketch, "node").select("key", "root", "y")
-        once = F.array_min(F.array_intersect("x.bands", "y.bands")) == sketched["key"]
-        apart = sketched.join(led, (sketched["key"] == led["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & _close(least) & once)
-        pairs = apart.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+        pairs = _possible(left.join(sketch, "node").select("key", "root", "y"), led, least).distinct()
         pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(pairs)
         found = stored(_verified(pairs, vectors, least), "links")

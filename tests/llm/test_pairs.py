@@ -209,6 +209,40 @@ def test_spreads_rule_out_no_similar_pair(spark):
     assert near and len(close) < len(pairs) and near - close == set()
 
 
+def test_tasks_of_a_large_bucket_grow_with_its_members_alone(spark):
+    """Two large sides of a bucket: the tasks are not as many as pairs of splits, and all pairs are found."""
+    r = random.Random(24)
+    base = [f"w{r.randint(0, 10**6)}" for _ in range(40)]
+    texts = [" ".join([*base, f"x{n}"]) for n in range(300)]
+    found = [minhash.shingles(minhash.words_of(t)) for t in texts]
+    bands = minhash.bands_of(minhash.signatures(found)).tolist()
+    rows = [(n, int(c.sum()), 0, 0, bands[n], minhash.spread(s, c).tolist(), *minhash.odd_sketch(s).tolist()) for n, (s, c) in enumerate(found)]
+    words = ", ".join(f"o{i} long" for i in range(16))
+    y = spark.createDataFrame(rows, f"node long, total long, more long, repeated long, bands array<long>, spread array<short>, {words}")
+    key = Counter(b for some in bands for b in some).most_common(1)[0][0]
+    inside = [n for n in range(300) if key in bands[n]]
+    expected = {(a, b) for a in inside for b in inside if a < b and min(set(bands[a]) & set(bands[b])) == key}
+    every = y.where(F.array_contains("bands", F.lit(key).cast("long"))).select(F.lit(key).cast("long").alias("key"), F.struct("*").alias("y"))
+    names = {"advisoryPartitionSizeInBytes": "8k", "coalescePartitions.enabled": "false", "skewJoin.skewedPartitionThresholdInBytes": "8k", "skewJoin.skewedPartitionFactor": "1.5"}
+    settings = {**{f"spark.sql.adaptive.{k}": v for k, v in names.items()}, "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    members = every.select("key", F.col("y.node").alias("root"), "y").repartition(16)
+    leaders = every.select("key", F.col("y.node").alias("lead_root"), F.col("y").alias("x")).repartition(16)
+    context = spark.sparkContext
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        context.setJobGroup("bucket", "bucket")
+        assert {(x.a, x.b) for x in minhash._possible(members, leaders, 0.8).distinct().collect()} == expected
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    tracker = context.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("bucket") for s in tracker.getJobInfo(j).stageIds]
+    assert len(inside) > 200 and 12 < max(s.numTasks for s in stages if s) <= 8 + 16
+
+
 def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
     places = lambda: {p for top in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString() for p in Path(top).rglob("shuffle_*")}
     setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
