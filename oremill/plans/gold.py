@@ -3,7 +3,8 @@
 Silver tables hold one row per key, and every mart is built on that.  Items are summed to one row per order (or
 product) *before* they are joined: Spark adds them up inside each task first, so an order, product or NULL key that
 holds a third of all items crosses the network as one row per task, every join is between unique keys, and an
-order is counted by a plain count where a join of raw items would need COUNT(DISTINCT).
+order is counted by a plain count where a join of raw items would need COUNT(DISTINCT).  Marts built together can share
+these sums: pass them as ``totals``, stored, and items are shuffled once for each key and not for each mart.
 
 A NULL quantity or price makes the item's amount NULL, which a sum skips; a group of only such items sums to NULL and
 its orders still count.
@@ -83,9 +84,9 @@ def sales_per_category(products: DataFrame, totals: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales(orders: DataFrame, items: DataFrame) -> DataFrame:
+def daily_sales(orders: DataFrame, items: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Orders and sales per day.  For a refresh of the last days pass ``since(orders, ...)``."""
-    return sales_per_day(orders, order_totals(items))
+    return sales_per_day(orders, order_totals(items) if totals is None else totals)
 
 
 def daily_sales_by_day(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -99,19 +100,19 @@ def daily_sales_by_day(orders: DataFrame, items: DataFrame) -> DataFrame:
     return both.groupBy("order_date").agg(F.count("order_id").alias("total_orders"), F.sum("order_value").alias("total_sales"))
 
 
-def customer_lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
+def customer_lifetime_value(customers: DataFrame, orders: DataFrame, items: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Orders and value per customer."""
-    return value_per_customer(customers, orders, order_totals(items))
+    return value_per_customer(customers, orders, order_totals(items) if totals is None else totals)
 
 
-def top_products(products: DataFrame, items: DataFrame) -> DataFrame:
+def top_products(products: DataFrame, items: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Quantity and revenue of every product sold."""
-    return sales_per_product(products, product_totals(items))
+    return sales_per_product(products, product_totals(items) if totals is None else totals)
 
 
-def category_sales(products: DataFrame, items: DataFrame) -> DataFrame:
+def category_sales(products: DataFrame, items: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Quantity and revenue per category."""
-    return sales_per_category(products, product_totals(items))
+    return sales_per_category(products, product_totals(items) if totals is None else totals)
 
 
 def top_products_report(mart: DataFrame, count: int) -> DataFrame:

@@ -734,15 +734,17 @@ def load_counts(spark, sf_dir):
 
 
 def _layers(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, DataFrame]]:
-    """Rows for every declared table, silver stored once for the marts."""
+    """Rows for every declared table; silver, and the sums of items that marts share, stored once for the marts."""
     bronze = {table: rows(spark, sf_dir) for table, rows in derive.BRONZE.items()}
     clean = {table: loads.materialize(silver.CLEANERS[table](rows, derive.stamp()), table) for table, rows in bronze.items()}
     customers, products, orders, items = (clean[t] for t in ("customers", "products", "orders", "order_items"))
+    by_order = loads.materialize(gold.order_totals(items), "order-totals")
+    by_product = loads.materialize(gold.product_totals(items), "product-totals")
     marts = {
-        "daily_sales": gold.daily_sales(orders, items),
-        "customer_lifetime_value": gold.customer_lifetime_value(customers, orders, items),
-        "top_products": gold.top_products(products, items),
-        "category_sales": gold.category_sales(products, items),
+        "daily_sales": gold.daily_sales(orders, items, by_order),
+        "customer_lifetime_value": gold.customer_lifetime_value(customers, orders, items, by_order),
+        "top_products": gold.top_products(products, items, by_product),
+        "category_sales": gold.category_sales(products, items, by_product),
     }
     log, tasks = derive.task_control(spark, sf_dir), derive.task_metadata(spark, sf_dir)
     missing = {f.name: F.lit(None) for f in schemas.CONTROL["ingest_metadata"].fields if f.name not in tasks.columns}
