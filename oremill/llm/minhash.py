@@ -261,14 +261,41 @@ def _close(least: float) -> Column:
     return apart <= (2 * (1 - least) + 1e-9) * PARTS + SPREAD
 
 
+def _at_best(least: float) -> Column:
+    """The same by the similarity of the spreads themselves, which is that of the documents or more.
+
+    Let two shingles of weights x1, x2 and y1, y2 fall into one bucket, with x2 / x1 = r at least y2 / y1 = s, and let D1 and D2
+    be the sums that their parts of the similarity are one over.  Let U be the sum of x_j / x1 of all others with
+    x_j / (x1 + x2) >= y_j / (y1 + y2), and V that of y_j / y1 of the rest.  Then D1 >= (1 + r) + U + V and
+    D2 >= (1 + 1 / s) + U / r + V / s.  One over the sum of one over each is superadditive, so 1 / (1 / D1 + 1 / D2) is at least
+    1 + U / (1 + r) + V / (1 + s), the sum of the bucket; those of other shingles only get smaller.
+
+    A sum over larger ratios is no smaller than one that takes each bucket's ratio from either document: from ``x`` for buckets
+    that come before in the order of x / y, from ``y`` for the rest.  Shares are within half a part of what they were rounded to.
+    """
+    half = F.lit(0.5)
+    low = lambda share: F.greatest(share - half, F.lit(0.0))
+    each = F.zip_with("x.spread", "y.spread", lambda p, q: F.struct(((p + half) / (q + half)).alias("ratio"), p.cast("double").alias("p"), q.cast("double").alias("q")))
+    rest = F.aggregate("y.spread", F.lit(0.0), lambda total, q: total + low(q.cast("double")))
+
+    def step(so_far: Column, of: Column) -> Column:
+        rest = so_far["rest"] - low(of["q"])
+        part = 1 / (1 + so_far["before"] / (of["p"] + half) + rest / (of["q"] + half))
+        return F.struct((so_far["before"] + low(of["p"])).alias("before"), rest.alias("rest"), (so_far["total"] + part).alias("total"))
+
+    start = F.struct(F.lit(0.0).alias("before"), rest.alias("rest"), F.lit(0.0).alias("total"))
+    return F.aggregate(F.sort_array(each, asc=False), start, step, lambda end: end["total"]) >= least - 1e-9
+
+
 def _possible(members: DataFrame, leaders: DataFrame, least: float) -> DataFrame:
-    """The pairs ``a``, ``b`` of a member and a leader of a bucket, of unlike components, that the bounds do not rule out.
+    """The pairs ``a``, ``b`` of a member and a leader of a bucket, of unlike components, that the bounds do not rule out.  The
+    bounds are applied from the cheapest to the dearest.
 
     Where both sides of a bucket are large, Spark would split both and have a task for each pair of splits.  Of an outer join it
     splits the members only, so that the tasks grow with the members; members without a pair go at once.
     """
     once = F.array_min(F.array_intersect("x.bands", "y.bands")) == members["key"]
-    both = members.join(leaders, (members["key"] == leaders["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & _close(least) & once, "left")
+    both = members.join(leaders, (members["key"] == leaders["key"]) & (F.col("root") != F.col("lead_root")) & _likely(least) & _close(least) & once & _at_best(least), "left")
     pairs = both.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
     return pairs.where(F.col("a") != F.col("b"))  # the least and the greatest of one node and none are that node
 

@@ -209,6 +209,34 @@ def test_spreads_rule_out_no_similar_pair(spark):
     assert near and len(close) < len(pairs) and near - close == set()
 
 
+def test_similarity_of_spreads_is_that_of_texts_or_more_and_leaves_few_unlike_pairs(spark):
+    """Texts of the same phrases, repeated in other numbers, and lines of all lengths with words changed."""
+    r = random.Random(25)
+    word = lambda: f"w{r.randint(0, 10**6)}"
+    phrases = [" ".join(word() for _ in range(5)) for _ in range(5)]
+    texts = [" ".join(" ".join([phrase] * r.randint(2, 5)) for phrase in phrases) for _ in range(60)]
+    unlike = len(texts)
+    for n in range(60):
+        line = [word() for _ in range((3, 12, 40, 400, 4000)[n % 5])]
+        texts += [" ".join(line * 3), " ".join([*line[: n % 20], word(), *line[1 + n % 20 :]] * r.randint(1, 5))]
+    found = [minhash.shingles(minhash.words_of(t)) for t in texts]
+    rows = [(n, int(c.sum()), int((c - 1).sum()), n, [7], minhash.spread(s, c).tolist(), *minhash.odd_sketch(s).tolist()) for n, (s, c) in enumerate(found)]
+    words = ", ".join(f"o{i} long" for i in range(16))
+    y = spark.createDataFrame(rows, f"node long, total long, more long, repeated long, bands array<long>, spread array<short>, {words}").repartition(4)
+    pairs = [(a, b) for a in range(unlike) for b in range(a)] + [(n, n + 1) for n in range(unlike, len(texts), 2)]
+    alike = {(a, b): minhash.similarity(found[a], found[b]) for a, b in pairs}
+    both = spark.createDataFrame([(a, b, s) for (a, b), s in alike.items()], "a long, b long, similar double")
+    both = both.join(y.select(F.col("node").alias("a"), F.struct("*").alias("x")), "a").join(y.select(F.col("node").alias("b"), F.struct("*").alias("y")), "b")
+    assert both.where(~minhash._at_best(F.col("similar"))).count() == 0
+    key = F.lit(7).cast("long").alias("key")
+    some = y.where(F.col("node") < unlike)
+    members, leaders = some.select(key, F.col("node").alias("root"), F.struct("*").alias("y")), some.select(key, F.col("node").alias("lead_root"), F.struct("*").alias("x"))
+    likely = both.where((F.col("a") < unlike) & minhash._likely(0.8) & minhash._close(0.8)).count()
+    near = {(b, a) for (a, b), s in alike.items() if a < unlike and s >= 0.8}
+    left = {(x.a, x.b) for x in minhash._possible(members, leaders, 0.8).distinct().collect()}
+    assert near - left == set() and likely - len(near) > 4 * len(left - near), (len(near), len(left), likely)
+
+
 def test_tasks_of_a_large_bucket_grow_with_its_members_alone(spark):
     """Two large sides of a bucket: the tasks are not as many as pairs of splits, and all pairs are found."""
     r = random.Random(24)
