@@ -173,13 +173,16 @@ def _add(target: KeyedTable, change: DataFrame, count: str, mark: str) -> int:
     change = materialize(change, "change")
     touched = target.parts_of(change)
     stored = target.sums if isinstance(target, Mart) else target.read
-    old = matching(stored(of=touched), change.select(*target.keys), "left_semi")
-    return target.replace(change, materialize(add_up(old, change, target.keys, count), "sums"), mark, touched)
+    old = materialize(matching(stored(of=touched), change.select(*target.keys), "left_semi"), "before")
+    return target.replace(change, materialize(add_up(old, change, target.keys, count), "sums"), mark, touched, old)
 
 
 def _rows_of(keys: DataFrame, parts: list[str], table: KeyedTable, version: int) -> DataFrame:
-    """The rows of some keys in a version: only ``parts``, those that the keys fall in, are read."""
-    return matching(table.read(version, parts), keys, "left_semi")
+    """The rows of some keys, none of them NULL, in a version: only ``parts``, those that the keys fall in, are read.
+
+    By plain equality, so that a join by the key afterwards takes no shuffle of its own.
+    """
+    return table.read(version, parts).join(keys, table.keys, "left_semi")
 
 
 def derived(spark: SparkSession, env: Environment) -> dict[str, Derived]:

@@ -27,7 +27,7 @@ from oremill.sinks.versions import VersionedTable
 
 # Folders are named by these; no column of a table may be.
 BUCKET, VERSION = "key_bucket", "table_version"
-_PART = "changed_part"
+_PART, _HASH = "changed_part", "_key_hash"
 #: How Spark names the folder of a NULL.
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 #: A part of more folders than this is written as one when rows are added to it.
@@ -154,11 +154,22 @@ class KeyedTable(VersionedTable):
             live[part] = ([*versions, number], held + rows_of_part)
         return self._log(number, schema, [(part, *of) for part, of in live.items()], mark, before["whole_since"])
 
-    def replace(self, keys: DataFrame, rows: DataFrame, mark: str | None = None, touched: list[str] | None = None) -> int:
+    def _recurring(self, state: DataFrame, keys: DataFrame) -> DataFrame:
+        """The stored rows of ``keys``.  Hashes of keys are compared first, so that rows whose key is not among them are not
+        shuffled with all their columns."""
+        hashed = F.xxhash64(*self.keys).alias(_HASH)
+        again = materialize(state.select(hashed).join(keys.select(hashed).distinct(), _HASH, "left_semi").distinct(), "recurring")
+        some = state.withColumn(_HASH, F.xxhash64(*self.keys)).join(again, _HASH, "left_semi").drop(_HASH)
+        return matching(some, keys, "left_semi")
+
+    def replace(
+        self, keys: DataFrame, rows: DataFrame, mark: str | None = None, touched: list[str] | None = None, gone: DataFrame | None = None,
+    ) -> int:
         """The next version: stored rows of ``keys`` go, ``rows``, which are of those keys alone, come.  A NULL key is a key.
 
-        Both are read several times, so pass stored ones; ``touched`` are the parts of the keys, if they are known.  Of these
-        only the columns of the key and of the notes are read, unless a row of the part goes: then the part is written anew.
+        Both are read several times, so pass stored ones; ``touched`` are the parts of the keys, and ``gone`` the stored rows
+        of the keys, if they are known.  Of these parts only the columns of the key and of the notes are read, unless a row of
+        the part goes: then the part is written anew.
         """
         if self.by != BUCKET:
             raise ValueError("only a table dealt by its key can be told by keys alone which parts they are in")
@@ -166,7 +177,9 @@ class KeyedTable(VersionedTable):
         touched = self.parts_of(keys) if touched is None else touched
         noted = self.noted or T.StructType.fromJson(json.loads(before["columns"])).names
         columns = [*dict.fromkeys([*self.keys, *noted])]
-        gone = matching(self._state(before, touched).select(*columns), keys, "left_semi")
+        if gone is None:
+            gone = self._recurring(self._state(before, touched).select(*columns), keys)
+        gone = gone.select(*columns)
         part = self.part().alias(_PART)
         changes, notes = signed(gone, rows.select(*columns)).select(SIGN, *noted, part), self._notes(before["version"] + 1)
         overwrite(changes, notes)

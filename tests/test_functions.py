@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -57,6 +58,18 @@ def test_file_lineage(spark):
     assert evaluate(spark, paths, file_timestamp) == ["20240101", None, None, "20240102.csv", None]
 
 
+def test_file_lineage_is_that_of_patterns_without_a_pattern(spark):
+    """Paths of all shapes against the patterns that once took them apart; these cost as much as parsing a row."""
+    paths = ["", "/", "a", ".", "_", "_.", "a_.csv", "_b.c", "a.b_c", "a_b.c_d", "a_b.c.d", "a__b.c", "a_b_.c", "a_b/c.d", "a.b/c_d", "/a/b/c/d", "a/b/c/d/", "//a_1.x", "é_ü.ö", "a_b.", "x_y/.z_1", "file:/r/n_a/o/part-0_1-c000.csv.gz", None]
+    found = list(zip(evaluate(spark, paths, file_name), evaluate(spark, paths, file_timestamp), strict=True))
+    for path, (name, time) in zip(paths, found, strict=True):
+        match = None if path is None else re.search(r"_([^_/]*)[.][^./]*$", path)
+        assert name == (None if path is None else "/".join(path.split("/")[-4:])), path
+        assert time == ((match.group(1) or None) if match else None), path
+    df = spark.createDataFrame([("a",)], "path string").select(file_name(F.col("path")), file_timestamp(F.col("path")))
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_durations(spark):
     row = spark.createDataFrame(
         [(datetime(2024, 1, 1, 10, 0, 0), datetime(2024, 1, 1, 11, 1, 31))], "s TIMESTAMP, e TIMESTAMP"

@@ -203,6 +203,40 @@ def test_refresh_reads_no_unchanged_items(spark, tmp_path):
         assert rows_of(medallion.mart_table(spark, env, mart).read()) == rows_of(expected), mart
 
 
+def test_rows_of_touched_keys_are_shuffled_once_to_be_found_and_joined(spark, table, tmp_path):
+    """The lookup by key leaves both tables dealt as the join by key needs them."""
+    other = KeyedTable(spark, f"{tmp_path}/other", ["k"], buckets=16)
+    other.commit(spark.createDataFrame([(f"k{n}", n, "y") for n in range(0, 300, 2)], STATE))
+    keys = spark.createDataFrame([(f"k{n}",) for n in range(0, 400, 3)], "k STRING")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        some, more = (medallion._rows_of(keys, table.parts_of(keys), t, 1) for t in (table, other))
+        both = some.join(more.withColumnRenamed("v", "u").drop("w"), "k")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r.k, r.v, r.u) for r in both.collect()) == sorted((f"k{n}", n, n) for n in range(0, 200, 6))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") <= 4 and "coalesce(k" not in plan
+
+
+def test_replace_finds_recurring_keys_whatever_they_are(spark, tmp_path):
+    """NULL and repeated keys, and columns that are no key; rows that do not come again are found by their key's hash alone."""
+    rows = [(None if n == 5 else f"k{n}", n, "x") for n in range(50)]
+    found = KeyedTable(spark, f"{tmp_path}/t", ["k"], buckets=4)
+    found.commit(spark.createDataFrame(rows, STATE))
+    keys = spark.createDataFrame([(None,), ("k7",), ("k7",), ("new",)], "k STRING")
+    gone = found._recurring(found.read(), keys)
+    assert sorted(r.v for r in gone.collect()) == [5, 7]
+    come = spark.createDataFrame([(None, -5, "y"), ("new", 1, "y")], STATE)
+    found.replace(keys, come)
+    assert sorted((r.k or "", r.v) for r in found.read().collect()) == sorted([(k or "", v) for k, v, _ in rows if v not in (5, 7)] + [("", -5), ("new", 1)])
+    assert sorted((r.sign, r.v) for r in found.changes(1, 2).collect()) == [(-1, 5), (-1, 7), (1, -5), (1, 1)]
+
+
 def test_refresh_that_died_is_completed(spark, tmp_path):
     """Sums that were brought up before a mart was do not hide the change from the mart."""
     env = environment("prod", f"{tmp_path}/lake")
